@@ -274,6 +274,41 @@ DEDUP_LATEST = f"""{_src()}
 SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY {_DEDUP_ORDER}) AS rn FROM raw) WHERE rn = 1"""
 
 
+STREAM_DEDUP_KEYS = f"""{_src()}
+SELECT DISTINCT shipment_id FROM raw"""
+
+
+def _group_count(table: str, keys: str) -> str:
+    return f"(SELECT COUNT(*) FROM (SELECT {keys} FROM {table} GROUP BY {keys}))"
+
+
+QUALITY_REPORT = f"""{_cln()}
+SELECT 'source_rows' AS check_name, COUNT(*) AS observed, CASE WHEN COUNT(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM source_text
+UNION ALL SELECT 'valid_rows', COUNT(*), CASE WHEN COUNT(*) > 0 THEN 'PASS' ELSE 'FAIL' END FROM raw
+UNION ALL SELECT 'landed_rows', COUNT(*), 'PASS' FROM raw
+UNION ALL SELECT 'warehouse_kpis_rows', {_group_count('clean', 'warehouse_block')}, 'PASS'
+UNION ALL SELECT 'route_kpis_rows', {_group_count('clean', 'route')}, 'PASS'
+UNION ALL SELECT 'category_kpis_rows', {_group_count('clean', 'product_category, mode_of_shipment')}, 'PASS'"""
+
+RUN_SUMMARY = f"""{_src()}
+SELECT '{S.PIPELINE_NAME}' AS pipeline, DATE '2024-01-01' AS run_date,
+  (SELECT COUNT(*) FROM source_text) AS source_rows,
+  (SELECT COUNT(*) FROM raw) AS landed_rows,
+  CAST({len(S.KPI_TABLES)} AS BIGINT) AS kpi_outputs,
+  'SUCCESS' AS status"""
+
+ROUNDTRIPS = ("csv_roundtrip", "csv_inferred_read", "parquet_roundtrip", "source_preference", "dated_landing",
+              "partitioned_overwrite", "json_publish", "stream_ingest")
+
+SQL_REPORTS = {
+    "sql_report_on_time_by_warehouse": REPORT_ON_TIME,
+    "sql_report_high_risk_routes": REPORT_HIGH_RISK,
+    "sql_report_rating_distribution": REPORT_RATING,
+    "sql_report_monthly_volume": REPORT_MONTHLY,
+    "sql_report_rolling_delay": REPORT_ROLLING,
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ingest_raw": INGEST_RAW,
@@ -296,4 +331,10 @@ def oracle_sql() -> dict[str, str]:
         "sample_rows": SAMPLE_ROWS,
         "dedup_latest": DEDUP_LATEST,
         "incremental_dedup": INCREMENTAL_DEDUP,
+        **{k: INGEST_RAW for k in ROUNDTRIPS},
+        "table_read_query": WAREHOUSE_KPIS,
+        "stream_ingest_dedup": STREAM_DEDUP_KEYS,
+        "quality_report": QUALITY_REPORT,
+        "run_summary": RUN_SUMMARY,
+        **SQL_REPORTS,
     }

@@ -16,8 +16,8 @@ from parcelwise import schema as S
 from parcelwise.functions import lenient_cast, lenient_date, missing_to_null, second_precision_now
 
 
-def conform(text: DataFrame, date_formats: tuple[str, ...] = ()) -> DataFrame:
-    """Conform source text to the declared source schema (no rows dropped).
+def typed_columns(date_formats: tuple[str, ...] = ()) -> list[Column]:
+    """The source columns conformed to the declared types, as column expressions.
 
     Missing-value tokens become NULL in every column; malformed numbers and
     dates become NULL instead of failing the job.
@@ -32,7 +32,12 @@ def conform(text: DataFrame, date_formats: tuple[str, ...] = ()) -> DataFrame:
         else:
             typed = lenient_cast(raw, data_type)
         cols.append(typed.alias(name))
-    return text.select(*cols)
+    return cols
+
+
+def conform(text: DataFrame, date_formats: tuple[str, ...] = ()) -> DataFrame:
+    """Conform source text to the declared source schema (no rows dropped)."""
+    return text.select(*typed_columns(date_formats))
 
 
 def run_timestamp(run_ts: str | dt.datetime | None = None) -> Column:

@@ -20,9 +20,19 @@ from parcelwise.operators import ingest as G
 from parcelwise.operators import kpis as A
 from parcelwise.operators import reports as R
 from parcelwise.operators.sample import first_rows
+from parcelwise.plans import pipeline as P
+from parcelwise.plans import quality as Q
+from parcelwise.plans import sql as SQL
+from parcelwise.session import shared_path
+from parcelwise.sinks import ddl as K
+from parcelwise.sinks import writers as W
+from parcelwise.sources import readers as SR
 from parcelwise.sources.fixture import shipments_text
+from parcelwise.streaming import ingest_stream as T2
+from parcelwise.streaming import messages as T1
 
 # A fixed run time for queries whose output would otherwise depend on the clock.
+RUN_DATE = "2024-01-01"
 RUN_TS = "2024-01-01 06:00:00"
 NEXT_RUN_TS = "2024-01-02 06:00:00"
 DEDUP_CUTOFF = "1997-01-01"
@@ -126,6 +136,142 @@ def q_dedup_latest(spark, sf_dir):
     return _no_run_time(D.latest_per_key(raw_shipments(spark, sf_dir)))
 
 
+
+# --- sources and sinks: write under shared storage, return the data read back ---
+
+def _land_source_csv(spark, sf_dir, path):
+    W.write_csv(source_text(spark, sf_dir), path)
+    return path
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    path = _land_source_csv(spark, sf_dir, shared_path(spark, "source_csv"))
+    return _no_run_time(G.ingest(SR.read_source_csv(spark, path), run_ts=RUN_TS))
+
+
+def q_csv_inferred_read(spark, sf_dir):
+    path = _land_source_csv(spark, sf_dir, shared_path(spark, "source_csv"))
+    inferred = SR.read_csv_inferred(spark, path)
+    text = inferred.select(*[F.col(c).cast("string").alias(c) for c in S.SOURCE_COLUMNS])
+    return _no_run_time(G.ingest(text, run_ts=RUN_TS))
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    path = shared_path(spark, "raw_flat")
+    W.land_raw(raw_shipments(spark, sf_dir), path)
+    return _no_run_time(SR.read_landed(spark, path))
+
+
+def q_source_preference(spark, sf_dir):
+    base = shared_path(spark, "preference")
+    csv = _land_source_csv(spark, sf_dir, f"{base}/source_csv")
+    landed = f"{base}/landed"
+    first, kind = SR.load_raw(spark, landed, csv)          # nothing landed yet: the CSV
+    assert kind == "csv"
+    W.land_raw(G.ingest(first, run_ts=RUN_TS), landed)
+    second, kind = SR.load_raw(spark, landed, csv)         # now the landed Parquet
+    assert kind == "parquet"
+    return _no_run_time(second)
+
+
+def q_dated_landing(spark, sf_dir, ds: str = RUN_DATE):
+    prefix = shared_path(spark, "landing")
+    W.write_csv(source_text(spark, sf_dir), SR.landing_path(prefix, ds))
+    history = SR.read_landing(spark, prefix)
+    return _no_run_time(G.ingest(history.filter(F.col("ds") == ds).drop("ds"), run_ts=RUN_TS))
+
+
+def q_partitioned_overwrite(spark, sf_dir):
+    base = shared_path(spark, "warehouse")
+    K.ensure_database(spark, S.DATASET, f"{base}/{S.DATASET}.db")
+    location = f"{base}/{S.RAW_TABLE}"
+    raw = raw_shipments(spark, sf_dir)
+    W.land_partitioned(raw, location)
+    W.land_partitioned(raw, location)            # a rerun replaces, never duplicates
+    return _no_run_time(SR.read_landed(spark, location))
+
+
+def q_table_read_query(spark, sf_dir):
+    base = shared_path(spark, "warehouse")
+    K.ensure_database(spark, S.DATASET, f"{base}/{S.DATASET}.db")
+    tables = K.ensure_kpi_tables(spark, base)
+    cleaned = clean_rows(spark, sf_dir)
+    for name, build in P.KPI_BUILDERS.items():
+        W.publish_table(W.conform_kpis(build(cleaned), name, RUN_TS), tables[name])
+    published = SR.read_query(spark, f"SELECT * FROM {tables['warehouse_kpis']}")
+    return published.drop("computed_at")
+
+
+def q_incremental_dedup(spark, sf_dir, cutoff: str = DEDUP_CUTOFF):
+    target = shared_path(spark, "incremental")
+    text = source_text(spark, sf_dir)
+    early = F.col("shipment_date") < F.lit(cutoff).cast("date")
+    first = G.ingest(text, run_ts=RUN_TS).filter(early)
+    second = G.ingest(text, run_ts=NEXT_RUN_TS).filter(~early | F.col("shipment_date").isNull())
+    W.land_raw(D.latest_per_key(first), target)                         # day 1
+    W.append_rows(D.new_rows(SR.read_landed(spark, target), second), target)   # day 2
+    return _no_run_time(SR.read_landed(spark, target))
+
+
+# --- messages and streams ---
+
+def _publish(spark, sf_dir):
+    topic = shared_path(spark, "topic")
+    T1.publish(raw_shipments(spark, sf_dir), topic)
+    return topic
+
+
+def q_json_publish(spark, sf_dir):
+    topic = _publish(spark, sf_dir)
+    text = T1.decode(spark.read.text(topic))
+    return G.conform(text)
+
+
+def q_stream_ingest(spark, sf_dir):
+    topic = _publish(spark, sf_dir)
+    base = shared_path(spark, "stream")
+    events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint",
+                                  max_files_per_trigger=2)
+    return _no_run_time(events)
+
+
+def q_stream_ingest_dedup(spark, sf_dir):
+    topic = _publish(spark, sf_dir)
+    base = shared_path(spark, "stream")
+    events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint",
+                                  dedup_delay="1 hour")
+    return events.select("shipment_id")
+
+
+# --- the daily run and its checks ---
+
+def _run(spark, sf_dir):
+    base = shared_path(spark, "run")
+    source = _land_source_csv(spark, sf_dir, f"{base}/source/{RUN_DATE}")
+    return P.run_pipeline(spark, source, base, RUN_DATE, run_ts=RUN_TS)
+
+
+def q_quality_report(spark, sf_dir):
+    result = _run(spark, sf_dir)
+    return Q.quality_report(spark, result.source_path, result.landed_path, result.outputs)
+
+
+def q_run_summary(spark, sf_dir):
+    result = _run(spark, sf_dir)
+    return spark.read.schema(P.RUN_LOG_SCHEMA).parquet(f"{result.landed_path.rsplit('/', 1)[0]}/run_log")
+
+
+# --- the reports as Spark SQL text ---
+
+def _sql_report(name):
+    def run(spark, sf_dir):
+        view = f"raw_shipments_{shared_path(spark, 'v').rsplit('-', 1)[1]}"
+        raw_shipments(spark, sf_dir).createOrReplaceTempView(view)
+        return SQL.run_report(spark, name, view)
+    run.__name__ = f"q_sql_report_{name}"
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "ingest_raw": q_ingest_raw,
     "ingest_counts": q_ingest_counts,
@@ -146,4 +292,18 @@ QUERIES: dict[str, Query] = {
     "report_rolling_delay": q_report_rolling,
     "sample_rows": q_sample_rows,
     "dedup_latest": q_dedup_latest,
+    "incremental_dedup": q_incremental_dedup,
+    "csv_roundtrip": q_csv_roundtrip,
+    "csv_inferred_read": q_csv_inferred_read,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "source_preference": q_source_preference,
+    "dated_landing": q_dated_landing,
+    "partitioned_overwrite": q_partitioned_overwrite,
+    "table_read_query": q_table_read_query,
+    "json_publish": q_json_publish,
+    "stream_ingest": q_stream_ingest,
+    "stream_ingest_dedup": q_stream_ingest_dedup,
+    "quality_report": q_quality_report,
+    "run_summary": q_run_summary,
+    **{f"sql_report_{name}": _sql_report(name) for name in SQL.REPORTS},
 }
