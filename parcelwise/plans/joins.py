@@ -1,0 +1,70 @@
+"""Join helpers: size-checked broadcast and an input-parallelism guard.
+
+``broadcast_if_bounded`` broadcasts a side only after proving its size: it
+counts at most ``cap + 1`` rows (a bounded job - each task stops reading
+once it has enough), where ``cap`` is the session's broadcast threshold
+divided by the side's row width. Beyond the bound the side is left to the
+planner, which shuffles both sides into a sort-merge join (and AQE may still
+switch to broadcast from measured shuffle sizes).
+
+``spread_narrow`` redistributes a scan only when it yields fewer partitions
+than the cluster has cores (e.g. one large single-row-group file); a scan of
+a big table already has many splits and is returned unchanged, so the extra
+exchange never happens at scale.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Spark's own per-type size estimates (bytes) for planning; strings count 20.
+_WIDTH = {
+    T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+    T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
+    T.BooleanType: 1, T.StringType: 20,
+}
+
+
+def row_width(schema: T.StructType) -> int:
+    return max(1, sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields) + 8)
+
+
+def _parse_bytes(text: str) -> int:
+    text = text.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if text.endswith(suffix) and text[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(text[: -len(suffix)]) * units[suffix]
+    return int(text)
+
+
+def broadcast_limit_bytes(df: DataFrame) -> int:
+    """The session's broadcast threshold in bytes (<= 0: broadcasting disabled)."""
+    return _parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when it provably fits ``max_bytes``; otherwise ``df`` unchanged."""
+    limit = broadcast_limit_bytes(df) if max_bytes is None else max_bytes
+    if limit <= 0:
+        return df
+    cap = limit // row_width(df.schema)
+    if cap <= 0:
+        return df
+    rows = df.limit(cap + 1).count()
+    return F.broadcast(df) if rows <= cap else df
+
+
+def spread_narrow(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan across the cluster's cores when it has fewer splits than cores.
+
+    Hashing on a key (rather than round-robin) needs no pre-sort for
+    determinism and, when the key is the next join's key, doubles as that
+    join's exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *keys) if keys else df.repartition(cores)
+    return df

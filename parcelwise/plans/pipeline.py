@@ -11,6 +11,7 @@ they use from the landed Parquet table.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,7 @@ class RunResult:
     landed_rows: int = 0
     output_rows: dict[str, int] = field(default_factory=dict)
     status: str = "RUNNING"
+    step_seconds: dict[str, float] = field(default_factory=dict)
 
 
 def output_paths(base: str) -> dict[str, str]:
@@ -89,10 +91,23 @@ def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str
         run_date = dt.date.fromisoformat(run_date)
     base = base.rstrip("/")
     result = RunResult(run_date, source_path, f"{base}/{S.RAW_TABLE}", output_paths(base))
-    result.source_rows = Q.source_row_count(spark, source_path)                  # validate
-    result.landed_rows = ingest_step(spark, source_path, result.landed_path, run_ts)   # ingest
-    result.output_rows = transform_step(spark, result.landed_path, result.outputs)  # transform
-    Q.require_non_empty(Q.output_counts(spark, result.outputs))                  # verify
+    clock = time.perf_counter()
+
+    def lap(step: str) -> None:
+        nonlocal clock
+        now = time.perf_counter()
+        result.step_seconds[step] = round(now - clock, 3)
+        clock = now
+
+    result.source_rows = Q.source_row_count(spark, source_path)
+    lap("validate")
+    result.landed_rows = ingest_step(spark, source_path, result.landed_path, run_ts)
+    lap("ingest")
+    result.output_rows = transform_step(spark, result.landed_path, result.outputs)
+    lap("transform")
+    Q.require_non_empty(Q.output_counts(spark, result.outputs))
+    lap("verify")
     result.status = "SUCCESS"
-    summary_frame(spark, result).write.mode("append").parquet(run_log or f"{base}/run_log")  # notify
+    summary_frame(spark, result).write.mode("append").parquet(run_log or f"{base}/run_log")
+    lap("notify")
     return result

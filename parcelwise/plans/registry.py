@@ -230,8 +230,7 @@ def q_json_publish(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     topic = _publish(spark, sf_dir)
     base = shared_path(spark, "stream")
-    events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint",
-                                  max_files_per_trigger=2)
+    events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint")
     return _no_run_time(events)
 
 

@@ -6,15 +6,14 @@ would return them) from lineitem and its dimensions, so every query's work
 grows with the given tables. Missing keys, the ``n/a`` and ``not-a-date``
 values and repeated shipment ids come from integer rules on the keys.
 
-Join plan (scale notes): the nation/region lookups are 25-row dimensions and
-fall under Spark's size-checked automatic broadcast; supplier, customer and
-part grow with the scale factor, so no broadcast is forced on them - the
-planner (and AQE at runtime, from measured shuffle sizes) picks broadcast
-only when the measured side fits ``spark.sql.autoBroadcastJoinThreshold``,
-and a sort-merge join otherwise. Orders are enriched with the customer's
-region before meeting lineitem, so lineitem takes part in exactly three
-equi-joins (orderkey, partkey, suppkey). Only the referenced columns are
-read from each parquet file.
+Join plan (scale notes): every dimension side (region, nation, supplier,
+customer, part, and orders enriched with the customer's region) is
+broadcast only after a bounded count proves it fits the session's broadcast
+threshold; beyond that bound it is left to a sort-merge join, as at 100 TB
+where orders, part, customer and supplier all grow with the data. Orders
+meet the customer's region before lineitem, so lineitem takes part in
+exactly three equi-joins (orderkey, partkey, suppkey) and is never itself
+broadcast. Only the referenced columns are read from each parquet file.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelwise.plans.joins import broadcast_if_bounded, spread_narrow
 from parcelwise.session import table_path
 
 BLOCKS = "ABCDE"
@@ -38,25 +38,27 @@ def _text(c: Column) -> Column:
 def shipments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw shipments CSV content: 16 string columns, one row per lineitem."""
     region = _read(spark, sf_dir, "region", "r_regionkey", "r_name")
-    geo = (_read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-           .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-           .select("n_nationkey", "n_regionkey", "r_name"))
-
-    supplier = (_read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-                .join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
-                .select("s_suppkey", F.col("n_regionkey").alias("s_regionkey"),
-                        F.col("r_name").alias("s_region")))
-    customer = (_read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-                .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
-                .select("c_custkey", F.col("n_regionkey").alias("c_regionkey"),
-                        F.col("r_name").alias("c_region")))
-    orders = (_read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-              .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-              .select("o_orderkey", "o_custkey", "c_regionkey", "c_region"))
-    part = _read(spark, sf_dir, "part", "p_partkey", "p_type", "p_size")
-
-    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-               "l_linenumber", "l_extendedprice", "l_discount", "l_shipdate")
+    geo = broadcast_if_bounded(
+        _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+        .join(broadcast_if_bounded(region), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("n_nationkey", "n_regionkey", "r_name"))
+
+    supplier = broadcast_if_bounded(
+        _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+        .join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
+        .select("s_suppkey", F.col("n_regionkey").alias("s_regionkey"), F.col("r_name").alias("s_region")))
+    customer = broadcast_if_bounded(
+        _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("c_custkey", F.col("n_regionkey").alias("c_regionkey"), F.col("r_name").alias("c_region")))
+    orders = broadcast_if_bounded(
+        _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "o_custkey", "c_regionkey", "c_region"))
+    part = broadcast_if_bounded(_read(spark, sf_dir, "part", "p_partkey", "p_type", "p_size"))
+
+    li = spread_narrow(_read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                             "l_linenumber", "l_extendedprice", "l_discount", "l_shipdate"), "l_orderkey")
     joined = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(part, F.col("l_partkey") == F.col("p_partkey"))
               .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))

@@ -31,8 +31,8 @@ def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """The landed raw table (flat or partitioned by shipment_date) with the declared schema."""
-    return spark.read.schema(S.RAW_SCHEMA).parquet(path)
+    """The landed raw table (flat or partitioned by shipment_date) in the declared column order."""
+    return spark.read.schema(S.RAW_SCHEMA).parquet(path).select(*S.RAW_SCHEMA.fieldNames())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
