@@ -1,11 +1,12 @@
 """The daily run: validate -> ingest -> transform -> verify -> summary.
 
 Each step is a Spark job over shared storage, in the reference's order.
-Compared with running each step's actions separately, the run scans the
-source once for validation, lands it in one write (its row count comes from
-an ``Observation`` on that write), and writes each KPI output in one job
-whose count is observed in the same pass. KPI jobs read only the columns
-they use from the landed Parquet table.
+Validation reads only the first records of the source; the source, keyed
+and landed row counts are observed during the single landing write (no
+separate counting scan), and each KPI output's count is observed in its
+own write. The three KPI tables come from a
+single scan of the landed table (only the columns they use) and a single
+grouping-sets aggregation.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ import datetime as dt
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelwise import schema as S
@@ -22,6 +24,7 @@ from parcelwise.operators import clean as C
 from parcelwise.operators import ingest as G
 from parcelwise.operators import kpis as A
 from parcelwise.plans import quality as Q
+from parcelwise.session import ensure_checkpoint_dir
 from parcelwise.sinks.writers import land_partitioned, write_output
 from parcelwise.sources.readers import read_landed, read_source_csv
 
@@ -58,20 +61,33 @@ def output_paths(base: str) -> dict[str, str]:
     return {name: f"{base.rstrip('/')}/{name}_output.parquet" for name in KPI_BUILDERS}
 
 
-def ingest_step(spark: SparkSession, source_path: str, landed_path: str, run_ts=None) -> int:
-    """Source CSV -> typed, keyed rows -> partitioned full refresh. Returns rows landed."""
-    raw = G.ingest(read_source_csv(spark, source_path), run_ts=run_ts)
-    raw, obs = G.observed(raw, "landed")
+def ingest_step(spark: SparkSession, source_path: str, landed_path: str, run_ts=None) -> tuple[int, int]:
+    """Source CSV -> typed, keyed rows -> partitioned full refresh.
+
+    Returns (source rows, rows landed), both observed during the landing
+    write itself - the source is read once.
+    """
+    source_obs = Observation("source")
+    text = read_source_csv(spark, source_path).observe(source_obs, F.count(F.lit(1)).alias("rows"))
+    raw, landed_obs = G.observed(G.ingest(text, run_ts=run_ts), "landed")
     land_partitioned(raw, landed_path)
-    return int(obs.get["rows"])
+    return int(source_obs.get["rows"]), int(landed_obs.get["rows"])
 
 
 def transform_step(spark: SparkSession, landed_path: str, outputs: dict[str, str]) -> dict[str, int]:
-    """Landed rows -> clean -> each KPI output written once (count observed in the same job)."""
-    cleaned = C.clean(read_landed(spark, landed_path))
+    """Landed rows -> clean -> all KPI aggregates in one scan -> one write per output.
+
+    The grouped result (one row per block, route and category/mode) is cut
+    from its lineage with a reliable checkpoint in the shared checkpoint
+    folder, so the three output writes read those few rows instead of
+    rescanning the landed table, and a lost executor never forces the scan
+    to rerun.
+    """
+    ensure_checkpoint_dir(spark)
+    rollup = A.kpi_rollup(C.clean(read_landed(spark, landed_path))).checkpoint(eager=True)
     rows = {}
-    for name, build in KPI_BUILDERS.items():
-        df, obs = G.observed(build(cleaned), name)
+    for name, df in A.kpis_from_rollup(rollup).items():
+        df, obs = G.observed(df, name)
         write_output(df, outputs[name])
         rows[name] = int(obs.get["rows"])
     return rows
@@ -99,9 +115,9 @@ def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str
         result.step_seconds[step] = round(now - clock, 3)
         clock = now
 
-    result.source_rows = Q.source_row_count(spark, source_path)
+    Q.require_rows(spark, source_path)
     lap("validate")
-    result.landed_rows = ingest_step(spark, source_path, result.landed_path, run_ts)
+    result.source_rows, result.landed_rows = ingest_step(spark, source_path, result.landed_path, run_ts)
     lap("ingest")
     result.output_rows = transform_step(spark, result.landed_path, result.outputs)
     lap("transform")

@@ -27,6 +27,13 @@ def require_source(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"source data not found at {path}")
 
 
+def require_rows(spark: SparkSession, path: str) -> None:
+    """Q1 + Q2: the source exists and holds at least one record (reads only the first rows)."""
+    require_source(spark, path)
+    if read_source_csv(spark, path).isEmpty():
+        raise QualityError(f"source {path} is empty; aborting the run")
+
+
 def source_row_count(spark: SparkSession, path: str) -> int:
     """Q2 + Q3: count source records (header excluded, quoted newlines safe); empty aborts."""
     require_source(spark, path)

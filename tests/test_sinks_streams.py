@@ -146,3 +146,21 @@ def test_pipeline_run(spark, sf_small):
     assert len(log) == 1 and log[0].status == "SUCCESS"
     report = Q.quality_report(spark, source, result.landed_path, result.outputs).collect()
     assert all(r.status == "PASS" for r in report) and len(report) == 6
+
+
+def test_one_pass_rollup_equals_separate_kpis(spark, sf_small):
+    from parcelwise.operators import kpis as A
+
+    cleaned = Rg.clean_rows(spark, sf_small)
+    split = A.kpis_from_rollup(A.kpi_rollup(cleaned))
+    for name, build in P.KPI_BUILDERS.items():
+        one, sep = split[name], build(cleaned)
+        assert one.columns == sep.columns
+        assert _same(one, sep), name
+
+
+def test_empty_source_stops_the_pipeline(spark):
+    empty = shared_path(spark, "t_empty_run")
+    spark.createDataFrame([(",".join(S.SOURCE_COLUMNS),)], "value string").coalesce(1).write.text(empty)
+    with pytest.raises(Q.QualityError):
+        P.run_pipeline(spark, empty, shared_path(spark, "t_empty_base"), "2024-01-01")
