@@ -64,7 +64,11 @@ def spread_narrow(df: DataFrame, *keys: str) -> DataFrame:
     determinism and, when the key is the next join's key, doubles as that
     join's exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (remote session): leave the scan as planned
+        return df
+    if splits < cores:
         return df.repartition(cores, *keys) if keys else df.repartition(cores)
     return df

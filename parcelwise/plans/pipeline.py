@@ -52,6 +52,8 @@ class RunResult:
     outputs: dict[str, str]
     source_rows: int = 0
     landed_rows: int = 0
+    clean_rows: int = 0
+    clean_columns: int = 0
     output_rows: dict[str, int] = field(default_factory=dict)
     status: str = "RUNNING"
     step_seconds: dict[str, float] = field(default_factory=dict)
@@ -84,8 +86,9 @@ def transform_step(spark: SparkSession, landed_path: str, outputs: dict[str, str
     to rerun.
     """
     ensure_checkpoint_dir(spark)
-    rollup = A.kpi_rollup(C.clean(read_landed(spark, landed_path))).checkpoint(eager=True)
-    rows = {}
+    cleaned, clean_obs = G.observed(C.clean(read_landed(spark, landed_path)), "clean")
+    rollup = A.kpi_rollup(cleaned).checkpoint(eager=True)
+    rows = {"clean": int(clean_obs.get["rows"]), "clean_columns": len(cleaned.columns)}
     for name, df in A.kpis_from_rollup(rollup).items():
         df, obs = G.observed(df, name)
         write_output(df, outputs[name])
@@ -119,7 +122,9 @@ def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str
     lap("validate")
     result.source_rows, result.landed_rows = ingest_step(spark, source_path, result.landed_path, run_ts)
     lap("ingest")
-    result.output_rows = transform_step(spark, result.landed_path, result.outputs)
+    output_rows = transform_step(spark, result.landed_path, result.outputs)
+    result.clean_rows, result.clean_columns = output_rows.pop("clean"), output_rows.pop("clean_columns")
+    result.output_rows = output_rows
     lap("transform")
     Q.require_non_empty(Q.output_counts(spark, result.outputs))
     lap("verify")

@@ -37,13 +37,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server's setting is the only one
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="parcelwise-ckpt-")
+        configured = tempfile.mkdtemp(prefix="parcelwise-ckpt-")  # local runs only (tests)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
