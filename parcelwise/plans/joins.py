@@ -1,9 +1,10 @@
 """Join helpers: size-checked broadcast and an input-parallelism guard.
 
-``broadcast_if_bounded`` broadcasts a side only after proving its size: it
-counts at most ``cap + 1`` rows (a bounded job - each task stops reading
-once it has enough), where ``cap`` is the session's broadcast threshold
-divided by the side's row width. Beyond the bound the side is left to the
+``broadcast_if_bounded`` / ``bounded_sides`` broadcast a side only after
+proving its size: they count at most ``cap + 1`` rows per side (a bounded
+job - each task stops reading once it has enough), where ``cap`` is the
+session's broadcast threshold divided by the side's row width; several
+sides are proven in one job. Beyond the bound the side is left to the
 planner, which shuffles both sides into a sort-merge join (and AQE may still
 switch to broadcast from measured shuffle sizes).
 
@@ -15,6 +16,8 @@ exchange never happens at scale.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,16 +48,68 @@ def broadcast_limit_bytes(df: DataFrame) -> int:
     return _parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
 
+def bounded_sides(frames: dict[str, DataFrame], max_bytes: int | None = None) -> dict[str, bool]:
+    """Which frames provably fit the broadcast threshold, proven in one bounded job.
+
+    Each frame contributes at most ``cap + 1`` rows (its cap = threshold /
+    row width) to a single union that is counted per frame, so the check
+    costs one job however many sides are tested and never reads more than
+    the caps allow.
+    """
+    if not frames:
+        return {}
+    first = next(iter(frames.values()))
+    limit = broadcast_limit_bytes(first) if max_bytes is None else max_bytes
+    caps = {name: (limit // row_width(df.schema) if limit > 0 else 0) for name, df in frames.items()}
+    probes = [df.limit(caps[name] + 1).select(F.lit(name).alias("side"))
+              for name, df in frames.items() if caps[name] > 0]
+    if not probes:
+        return {name: False for name in frames}
+    counted = reduce(DataFrame.unionByName, probes).groupBy("side").count().collect()
+    rows = {r["side"]: r["count"] for r in counted}
+    return {name: caps[name] > 0 and rows.get(name, 0) <= caps[name] for name in frames}
+
+
+MAX_PROBE_FILES = 64
+
+
+def probe_tables(tables: dict[str, tuple[DataFrame, str | None, int]],
+                 max_files: int = MAX_PROBE_FILES) -> dict[str, tuple[int, int | None]]:
+    """Bounded row and distinct-key counts of several tables in one job.
+
+    ``tables`` maps a name to (frame, key column or None, cap). Each frame is
+    read up to ``cap + 1`` rows per task; when the row count comes back <= cap
+    the probe saw the whole table, so its distinct-key count is exact and
+    says whether the key is unique. A table stored in more than ``max_files``
+    files is not probed at all and reported as over its cap (declining a
+    broadcast is always safe), which keeps the probe to a few small tasks
+    however large the big tables grow. Returns name -> (rows seen, distinct keys).
+    """
+    probes = []
+    result: dict[str, tuple[int, int | None]] = {}
+    for name, (df, key, cap) in tables.items():
+        if cap <= 0 or len(df.inputFiles()) > max_files:
+            result[name] = (cap + 1, None)
+            continue
+        limited = df.limit(max(cap, 0) + 1)
+        distinct = F.countDistinct(key) if key else F.lit(None).cast("long")
+        probes.append(limited.agg(F.count(F.lit(1)).alias("n"), distinct.alias("d"))
+                      .select(F.lit(name).alias("side"), "n", "d"))
+    if probes:
+        for r in reduce(DataFrame.unionByName, probes).collect():
+            result[r["side"]] = (r["n"], r["d"])
+    return result
+
+
+def cap_rows(df: DataFrame, max_bytes: int | None = None) -> int:
+    """How many rows of ``df``'s schema fit the broadcast threshold (0: none)."""
+    limit = broadcast_limit_bytes(df) if max_bytes is None else max_bytes
+    return limit // row_width(df.schema) if limit > 0 else 0
+
+
 def broadcast_if_bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """``broadcast(df)`` when it provably fits ``max_bytes``; otherwise ``df`` unchanged."""
-    limit = broadcast_limit_bytes(df) if max_bytes is None else max_bytes
-    if limit <= 0:
-        return df
-    cap = limit // row_width(df.schema)
-    if cap <= 0:
-        return df
-    rows = df.limit(cap + 1).count()
-    return F.broadcast(df) if rows <= cap else df
+    return F.broadcast(df) if bounded_sides({"side": df}, max_bytes)["side"] else df
 
 
 def spread_narrow(df: DataFrame, *keys: str) -> DataFrame:

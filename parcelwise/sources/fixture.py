@@ -8,8 +8,9 @@ values and repeated shipment ids come from integer rules on the keys.
 
 Join plan (scale notes): every dimension side (region, nation, supplier,
 customer, part, and orders enriched with the customer's region) is
-broadcast only after a bounded count proves it fits the session's broadcast
-threshold; beyond that bound it is left to a sort-merge join, as at 100 TB
+broadcast only after one bounded probe job proves it fits the session's
+broadcast threshold (base-table counts plus the key uniqueness that bounds
+each join's output); beyond that bound it is left to a sort-merge join, as at 100 TB
 where orders, part, customer and supplier all grow with the data. Orders
 meet the customer's region before lineitem, so lineitem takes part in
 exactly three equi-joins (orderkey, partkey, suppkey) and is never itself
@@ -21,14 +22,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.plans.joins import broadcast_if_bounded, spread_narrow
+from parcelwise.plans.joins import cap_rows, probe_tables, spread_narrow
 from parcelwise.session import table_path
 
 BLOCKS = "ABCDE"
 
 
+# The columns read from each test table, declared so no read infers a schema
+# from file footers.
+TABLE_COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_extendedprice double, l_discount double, l_shipdate timestamp_ntz"),
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, table)).select(*cols)
+    return spark.read.schema(TABLE_COLUMNS[table]).parquet(table_path(sf_dir, table)).select(*cols)
 
 
 def _text(c: Column) -> Column:
@@ -38,24 +53,73 @@ def _text(c: Column) -> Column:
 def shipments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw shipments CSV content: 16 string columns, one row per lineitem."""
     region = _read(spark, sf_dir, "region", "r_regionkey", "r_name")
-    geo = broadcast_if_bounded(
-        _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-        .join(broadcast_if_bounded(region), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_regionkey", "r_name"))
-
-    supplier = broadcast_if_bounded(
-        _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-        .join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", F.col("n_regionkey").alias("s_regionkey"), F.col("r_name").alias("s_region")))
-    customer = broadcast_if_bounded(
-        _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-        .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", F.col("n_regionkey").alias("c_regionkey"), F.col("r_name").alias("c_region")))
-    orders = broadcast_if_bounded(
-        _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "o_custkey", "c_regionkey", "c_region"))
-    part = broadcast_if_bounded(_read(spark, sf_dir, "part", "p_partkey", "p_type", "p_size"))
+    nation = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    supplier_t = _read(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    customer_t = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    orders_t = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    part = _read(spark, sf_dir, "part", "p_partkey", "p_type", "p_size")
+
+    def geo_of(region_side):
+        return (nation.join(region_side, F.col("n_regionkey") == F.col("r_regionkey"))
+                .select("n_nationkey", "n_regionkey", "r_name"))
+
+    def supplier_of(geo):
+        return (supplier_t.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
+                .select("s_suppkey", F.col("n_regionkey").alias("s_regionkey"), F.col("r_name").alias("s_region")))
+
+    def customer_of(geo):
+        return (customer_t.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+                .select("c_custkey", F.col("n_regionkey").alias("c_regionkey"), F.col("r_name").alias("c_region")))
+
+    def orders_of(customer):
+        return (orders_t.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+                .select("o_orderkey", "o_custkey", "c_regionkey", "c_region"))
+
+    # Prove each dimension side's size before hinting a broadcast. One bounded
+    # job probes the base tables (row count, and key uniqueness where a join
+    # relies on it): an inner join on a unique dimension key keeps at most the
+    # other side's row count, so e.g. orders x customer-region has at most
+    # |orders| rows when c_custkey is unique. A side whose bound is not proven
+    # (a table beyond its cap) is left to a sort-merge join.
+    geo0 = geo_of(region)
+    sides = {"region": region, "geo": geo0, "supplier": supplier_of(geo0), "customer": customer_of(geo0),
+             "orders": orders_of(customer_of(geo0)), "part": part}
+    cap = {name: cap_rows(df) for name, df in sides.items()}
+    probe = probe_tables({
+        "region": (region, "r_regionkey", cap["region"]),
+        "nation": (nation, "n_nationkey", cap["geo"]),
+        "supplier": (supplier_t, None, cap["supplier"]),
+        "customer": (customer_t, "c_custkey", cap["customer"]),
+        "orders": (orders_t, None, cap["orders"]),
+        "part": (part, None, cap["part"]),
+    })
+
+    def within(table, limit):
+        return 0 < limit and probe[table][0] <= limit
+
+    def unique(table):
+        n, d = probe[table]
+        return d is not None and n == d
+
+    region_ok = within("region", cap["region"])
+    geo_key_unique = region_ok and unique("region") and within("nation", cap["geo"]) and unique("nation")
+    fits = {
+        "region": region_ok,
+        "geo": geo_key_unique,
+        "supplier": geo_key_unique and within("supplier", cap["supplier"]),
+        "customer": geo_key_unique and within("customer", cap["customer"]),
+        "orders": geo_key_unique and within("customer", cap["customer"]) and unique("customer")
+                  and within("orders", cap["orders"]),
+        "part": within("part", cap["part"]),
+    }
+
+    def hint(name, df):
+        return F.broadcast(df) if fits[name] else df
+
+    geo = hint("geo", geo_of(hint("region", region)))
+    supplier = hint("supplier", supplier_of(geo))
+    orders = hint("orders", orders_of(hint("customer", customer_of(geo))))
+    part = hint("part", part)
 
     li = spread_narrow(_read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                              "l_linenumber", "l_extendedprice", "l_discount", "l_shipdate"), "l_orderkey")

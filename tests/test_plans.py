@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from parcelwise.operators import dedup as D
 from parcelwise.plans import registry as Rg
-from parcelwise.plans.joins import broadcast_if_bounded, row_width
+from parcelwise.plans.joins import broadcast_if_bounded, probe_tables, row_width
 from parcelwise.session import shared_path
 from parcelwise.sinks import writers as W
 from parcelwise.sources import readers as SR
@@ -69,3 +69,11 @@ def test_checked_broadcast(spark, sf_small, capsys):
     assert "broadcast" in plan_text(small, capsys, "extended").lower()
     big = broadcast_if_bounded(part, max_bytes=row_width(part.schema) * 10)   # cap 10 rows: does not
     assert "ResolvedHint" not in plan_text(big, capsys, "extended")
+
+
+def test_probe_declines_many_file_tables(spark, sf_small):
+    part = spark.read.parquet(f"{sf_small}/part.parquet").select("p_partkey")
+    got = probe_tables({"part": (part, "p_partkey", 1000)})
+    assert got["part"] == (200, 200)                       # whole table seen, key unique
+    assert probe_tables({"part": (part, "p_partkey", 1000)}, max_files=0)["part"][0] > 1000   # not probed
+    assert probe_tables({"part": (part, "p_partkey", 10)})["part"][0] == 11                    # over the cap
