@@ -36,3 +36,20 @@ def new_rows(target: DataFrame, batch: DataFrame, key: str = "shipment_id",
     """Rows of ``batch`` (deduplicated) whose key the target does not hold yet."""
     fresh = latest_per_key(batch, key, recency)
     return fresh.join(target.select(key), on=key, how="left_anti").select(*batch.columns)
+
+
+def create_bucketed_target(df: DataFrame, table: str, path: str, buckets: int, key: str = "shipment_id") -> None:
+    """First load of an incremental target: a table bucketed and sorted on the key.
+
+    Later anti-joins against it read each bucket in place - only the new
+    batch is shuffled (into the same bucket count), never the whole target.
+    """
+    (df.write.mode("overwrite").format("parquet").option("path", path)
+       .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+
+
+def append_new(batch: DataFrame, table: str, key: str = "shipment_id", recency: Sequence[str] = RECENCY) -> None:
+    """Append the batch's newest row per key, for keys the bucketed target lacks."""
+    target = batch.sparkSession.table(table)
+    fresh = new_rows(target, batch, key, recency).select(*target.columns)
+    fresh.write.insertInto(table)

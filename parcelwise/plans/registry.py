@@ -202,15 +202,19 @@ def q_table_read_query(spark, sf_dir):
     return published.drop("computed_at")
 
 
-def q_incremental_dedup(spark, sf_dir, cutoff: str = DEDUP_CUTOFF):
-    target = shared_path(spark, "incremental")
+def q_incremental_dedup(spark, sf_dir, cutoff: str = DEDUP_CUTOFF, buckets: int = 8):
+    """Two daily loads into a target bucketed on shipment_id: day 1 deduplicated,
+    day 2 appends only keys the target lacks (anti-join reads the target's
+    buckets in place)."""
+    path = shared_path(spark, "incremental")
+    table = f"incremental_{path.rsplit('-', 1)[1]}"
     text = source_text(spark, sf_dir)
     early = F.col("shipment_date") < F.lit(cutoff).cast("date")
     first = G.ingest(text, run_ts=RUN_TS).filter(early)
     second = G.ingest(text, run_ts=NEXT_RUN_TS).filter(~early | F.col("shipment_date").isNull())
-    W.land_raw(D.latest_per_key(first), target)                         # day 1
-    W.append_rows(D.new_rows(SR.read_landed(spark, target), second), target)   # day 2
-    return _no_run_time(SR.read_landed(spark, target))
+    D.create_bucketed_target(D.latest_per_key(first), table, path, buckets)   # day 1
+    D.append_new(second, table)                                               # day 2
+    return _no_run_time(spark.table(table)).select(*S.SOURCE_COLUMNS)
 
 
 # --- messages and streams ---

@@ -16,7 +16,12 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "parcelwise") -> SparkSession:
-    """Session for tests and the bench; a cluster job receives its session instead."""
+    """Session for tests and the bench; a cluster job receives its session instead.
+
+    Listing parallelism is sized to the cores (Spark's default of 10,000 runs
+    one task per partition folder, which a day-partitioned table with years
+    of history turns into thousands of tiny tasks).
+    """
     spark = (
         SparkSession.builder.master(master)
         .appName(app)
@@ -27,6 +32,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(8, 4 * shuffle_partitions)))
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )

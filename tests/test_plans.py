@@ -77,3 +77,17 @@ def test_probe_declines_many_file_tables(spark, sf_small):
     assert got["part"] == (200, 200)                       # whole table seen, key unique
     assert probe_tables({"part": (part, "p_partkey", 1000)}, max_files=0)["part"][0] > 1000   # not probed
     assert probe_tables({"part": (part, "p_partkey", 10)})["part"][0] == 11                    # over the cap
+
+
+def test_incremental_anti_join_reads_target_buckets_in_place(spark, sf_small, capsys):
+    Rg.q_incremental_dedup(spark, sf_small)
+    table = sorted(t.name for t in spark.catalog.listTables() if t.name.startswith("incremental_"))[-1]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # a target too large to broadcast
+    try:
+        text = plan_text(D.new_rows(spark.table(table), Rg.raw_shipments(spark, sf_small)), capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "LeftAnti" in text
+    target_scan = [line for line in text.splitlines() if line.startswith("Bucketed:")]
+    assert any("true" in line for line in target_scan), target_scan
