@@ -25,6 +25,7 @@ def plan_text(df, capsys, mode="formatted"):
 def test_no_python_udf_in_plans(spark, sf_small, capsys, key):
     text = plan_text(E.queries()[key](spark, sf_small), capsys, "extended")
     assert not any(node in text for node in PYTHON_NODES), key
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, key
 
 
 @pytest.fixture(scope="module")
