@@ -43,3 +43,21 @@ def test_risk_band_counts(spark, sf_small):
     unrounded = raw.groupBy("route").agg(((1 - F.avg("on_time_delivery")) * 100).alias("r")).select(
         F.when(F.col("r") > 40, "HIGH").when(F.col("r") > 20, "MEDIUM").otherwise("LOW").alias("risk_level"))
     assert bands(unrounded, "risk_level") == {"HIGH": 10, "MEDIUM": 9, "LOW": 7}
+
+
+def test_large_scale_join_path_gives_same_results(spark, sf_small, capsys):
+    """With broadcasting off (every dimension over the threshold, as at 100 TB) the
+    source join runs as sort-merge joins and the KPIs are unchanged."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Rg.q_warehouse_kpis(spark, sf_small)
+        capsys.readouterr()
+        df.explain()
+        plan = capsys.readouterr().out
+        got = {r.warehouse_block: (r.total_shipments, r.on_time_delivery_pct, r.avg_delay_days, r.avg_customer_rating,
+                                   r.avg_product_cost, r.high_value_shipments, r.warehouse_rank) for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert got == WAREHOUSE_SF0001
