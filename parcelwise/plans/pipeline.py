@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelwise import schema as S
+from parcelwise.functions import missing_to_null
 from parcelwise.operators import clean as C
 from parcelwise.operators import ingest as G
 from parcelwise.operators import kpis as A
@@ -51,6 +52,7 @@ class RunResult:
     landed_path: str
     outputs: dict[str, str]
     source_rows: int = 0
+    valid_rows: int = 0
     landed_rows: int = 0
     clean_rows: int = 0
     clean_columns: int = 0
@@ -63,17 +65,19 @@ def output_paths(base: str) -> dict[str, str]:
     return {name: f"{base.rstrip('/')}/{name}_output.parquet" for name in KPI_BUILDERS}
 
 
-def ingest_step(spark: SparkSession, source_path: str, landed_path: str, run_ts=None) -> tuple[int, int]:
+def ingest_step(spark: SparkSession, source_path: str, landed_path: str, run_ts=None) -> tuple[int, int, int]:
     """Source CSV -> typed, keyed rows -> partitioned full refresh.
 
-    Returns (source rows, rows landed), both observed during the landing
-    write itself - the source is read once.
+    Returns (source rows, keyed source rows, rows landed), all observed
+    during the landing write itself - the source is read once.
     """
     source_obs = Observation("source")
-    text = read_source_csv(spark, source_path).observe(source_obs, F.count(F.lit(1)).alias("rows"))
+    text = read_source_csv(spark, source_path)
+    text = text.observe(source_obs, F.count(F.lit(1)).alias("rows"),
+                        F.count(missing_to_null(F.col("shipment_id"))).alias("keyed"))
     raw, landed_obs = G.observed(G.ingest(text, run_ts=run_ts), "landed")
     land_partitioned(raw, landed_path)
-    return int(source_obs.get["rows"]), int(landed_obs.get["rows"])
+    return int(source_obs.get["rows"]), int(source_obs.get["keyed"]), int(landed_obs.get["rows"])
 
 
 def transform_step(spark: SparkSession, landed_path: str, outputs: dict[str, str]) -> dict[str, int]:
@@ -120,7 +124,8 @@ def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str
 
     Q.require_rows(spark, source_path)
     lap("validate")
-    result.source_rows, result.landed_rows = ingest_step(spark, source_path, result.landed_path, run_ts)
+    result.source_rows, result.valid_rows, result.landed_rows = ingest_step(
+        spark, source_path, result.landed_path, run_ts)
     lap("ingest")
     output_rows = transform_step(spark, result.landed_path, result.outputs)
     result.clean_rows, result.clean_columns = output_rows.pop("clean"), output_rows.pop("clean_columns")

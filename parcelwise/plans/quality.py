@@ -68,17 +68,24 @@ def require_non_empty(counts: DataFrame) -> dict[str, int]:
     return observed
 
 
-def quality_report(spark: SparkSession, source_path: str, landed_path: str, outputs: dict[str, str]) -> DataFrame:
+def quality_report(spark: SparkSession, source_path: str, landed_path: str, outputs: dict[str, str],
+                   source_counts: tuple[int, int] | None = None) -> DataFrame:
     """All checks of a run as rows: check_name, observed, status (PASS/FAIL).
 
     Source and landed counts must agree on the keyed rows; every output must
-    be non-empty.
+    be non-empty. ``source_counts`` (source rows, keyed rows) are the counts a
+    run observed while it landed the source; without them the source is
+    counted again. The landed table and the outputs are always counted from
+    storage (Parquet row counts), i.e. after the write.
     """
-    source = read_source_csv(spark, source_path)
-    key = missing_to_null(F.col("shipment_id"))
-    counts = [
-        count_row(source, "source_rows"),
-        count_row(source.filter(key.isNotNull()), "valid_rows"),
+    if source_counts is None:
+        source = read_source_csv(spark, source_path)
+        key = missing_to_null(F.col("shipment_id"))
+        head = [count_row(source, "source_rows"), count_row(source.filter(key.isNotNull()), "valid_rows")]
+    else:
+        observed = [("source_rows", int(source_counts[0])), ("valid_rows", int(source_counts[1]))]
+        head = [spark.createDataFrame(observed, "check_name string, observed bigint")]
+    counts = head + [
         count_row(spark.read.schema(S.RAW_SCHEMA).parquet(landed_path), "landed_rows"),
         output_counts(spark, outputs),
     ]

@@ -256,7 +256,8 @@ def _run(spark, sf_dir):
 
 def q_quality_report(spark, sf_dir):
     result = _run(spark, sf_dir)
-    return Q.quality_report(spark, result.source_path, result.landed_path, result.outputs)
+    return Q.quality_report(spark, result.source_path, result.landed_path, result.outputs,
+                            source_counts=(result.source_rows, result.valid_rows))
 
 
 def q_run_summary(spark, sf_dir):

@@ -144,7 +144,12 @@ def test_pipeline_run(spark, sf_small):
     assert result.output_rows == {"warehouse_kpis": 5, "route_kpis": 26, "category_kpis": 21}
     log = spark.read.parquet(f"{base}/run_log").collect()
     assert len(log) == 1 and log[0].status == "SUCCESS"
-    report = Q.quality_report(spark, source, result.landed_path, result.outputs).collect()
+    assert result.valid_rows == 5902
+    rescanned = Q.quality_report(spark, source, result.landed_path, result.outputs)
+    observed = Q.quality_report(spark, source, result.landed_path, result.outputs,
+                                source_counts=(result.source_rows, result.valid_rows))
+    assert _same(rescanned, observed)
+    report = observed.collect()
     assert all(r.status == "PASS" for r in report) and len(report) == 6
 
 
