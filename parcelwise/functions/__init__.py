@@ -11,5 +11,6 @@ from parcelwise.functions.scalar import (  # noqa: F401
     risk_band,
     second_precision_now,
     strict_delay_days,
+    utc_now_text,
     weight_kg,
 )

@@ -99,3 +99,8 @@ def month_start(date_col: str | Column = "shipment_date") -> Column:
 def second_precision_now() -> Column:
     """Current UTC time truncated to whole seconds."""
     return F.date_trunc("second", F.current_timestamp())
+
+
+def utc_now_text() -> Column:
+    """Current UTC time as ``yyyy-MM-dd HH:mm:ss`` text (the loader's stamp format)."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd HH:mm:ss")

@@ -9,20 +9,24 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelwise import schema as S
 
 
-def read_source_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_source_csv(spark: SparkSession, path: str | list[str], corrupt_column: str | None = None) -> DataFrame:
     """A shipments CSV with a header row, every column as text (typed later by ingestion).
 
-    PERMISSIVE mode: a short or broken line yields NULL fields, never a failed job.
+    PERMISSIVE mode: a short or broken line yields NULL fields, never a failed
+    job. With ``corrupt_column`` such a line is also kept whole in that column
+    (NULL for well-formed lines), for reject reporting.
     """
-    return (spark.read.schema(S.SOURCE_TEXT_SCHEMA)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .option("multiLine", False)
-            .csv(path))
+    schema = S.SOURCE_TEXT_SCHEMA
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
+    if corrupt_column:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    return reader.schema(schema).csv(path)
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -169,3 +169,22 @@ def test_empty_source_stops_the_pipeline(spark):
     spark.createDataFrame([(",".join(S.SOURCE_COLUMNS),)], "value string").coalesce(1).write.text(empty)
     with pytest.raises(Q.QualityError):
         P.run_pipeline(spark, empty, shared_path(spark, "t_empty_base"), "2024-01-01")
+
+
+def test_csv_keeps_malformed_lines_for_rejects(spark):
+    path = shared_path(spark, "t_corrupt")
+    good = "s9" + "," * 15
+    spark.createDataFrame([(",".join(S.SOURCE_COLUMNS),), ("s1,c1",), (good,)], "value string") \
+        .coalesce(1).write.text(path)
+    df = SR.read_source_csv(spark, path, corrupt_column="_corrupt").cache()
+    got = {r.shipment_id: r._corrupt for r in df.collect()}
+    df.unpersist()
+    assert got == {"s1": "s1,c1", "s9": None}
+
+
+def test_utc_now_text_format(spark):
+    from parcelwise.functions import utc_now_text
+
+    text = spark.range(1).select(utc_now_text().alias("t")).collect()[0].t
+    import re
+    assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", text)
