@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or object storage)")
         configured = tempfile.mkdtemp(prefix="parcelwise-ckpt-")  # local runs only (tests)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
