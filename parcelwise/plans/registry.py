@@ -8,6 +8,7 @@ return the data read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -136,7 +137,6 @@ def q_dedup_latest(spark, sf_dir):
     return _no_run_time(D.latest_per_key(raw_shipments(spark, sf_dir)))
 
 
-
 # --- sources and sinks: write under shared storage, return the data read back ---
 
 def _land_source_csv(spark, sf_dir, path):
@@ -167,10 +167,12 @@ def q_source_preference(spark, sf_dir):
     csv = _land_source_csv(spark, sf_dir, f"{base}/source_csv")
     landed = f"{base}/landed"
     first, kind = SR.load_raw(spark, landed, csv)          # nothing landed yet: the CSV
-    assert kind == "csv"
+    if kind != "csv":
+        raise RuntimeError(f"expected the CSV source before landing, got {kind}")
     W.land_raw(G.ingest(first, run_ts=RUN_TS), landed)
     second, kind = SR.load_raw(spark, landed, csv)         # now the landed Parquet
-    assert kind == "parquet"
+    if kind != "parquet":
+        raise RuntimeError(f"expected the landed Parquet after landing, got {kind}")
     return _no_run_time(second)
 
 
@@ -182,13 +184,15 @@ def q_dated_landing(spark, sf_dir, ds: str = RUN_DATE):
 
 
 def q_partitioned_overwrite(spark, sf_dir):
+    """DDL (dataset + partitioned raw table), then the full refresh run twice:
+    a rerun replaces the rows, never duplicates them."""
     base = shared_path(spark, "warehouse")
     K.ensure_database(spark, S.DATASET, f"{base}/{S.DATASET}.db")
-    location = f"{base}/{S.RAW_TABLE}"
+    table = K.ensure_raw_table(spark, f"{base}/{S.RAW_TABLE}")
     raw = raw_shipments(spark, sf_dir)
-    W.land_partitioned(raw, location)
-    W.land_partitioned(raw, location)            # a rerun replaces, never duplicates
-    return _no_run_time(SR.read_landed(spark, location))
+    W.land_partitioned_table(raw, table)
+    W.land_partitioned_table(raw, table)
+    return _no_run_time(spark.table(table)).select(*S.SOURCE_COLUMNS)
 
 
 def q_table_read_query(spark, sf_dir):
@@ -269,7 +273,7 @@ def q_run_summary(spark, sf_dir):
 
 def _sql_report(name):
     def run(spark, sf_dir):
-        view = f"raw_shipments_{shared_path(spark, 'v').rsplit('-', 1)[1]}"
+        view = f"raw_shipments_{uuid.uuid4().hex[:12]}"
         raw_shipments(spark, sf_dir).createOrReplaceTempView(view)
         return SQL.run_report(spark, name, view)
     run.__name__ = f"q_sql_report_{name}"

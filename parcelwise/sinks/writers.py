@@ -55,6 +55,28 @@ def land_partitioned(df: DataFrame, path: str, dynamic: bool = False,
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
 
 
+def land_partitioned_table(df: DataFrame, table: str, dynamic: bool = False,
+                           partition_col: str = "shipment_date", cluster_col: str = "warehouse_block") -> None:
+    """The same refresh into a catalog table created by the DDL step.
+
+    Rows go through ``insertInto`` so the catalog records the partitions
+    (readers then prune partitions from the catalog instead of listing every
+    folder); columns are matched by the table's own order.
+    """
+    spark = df.sparkSession
+    columns = spark.table(table).columns
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
+    try:
+        (df.hint("rebalance", partition_col)
+           .sortWithinPartitions(partition_col, cluster_col)
+           .select(*columns)
+           .write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+           .insertInto(table, overwrite=True))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append to a Parquet table (the incremental half of append + dedup)."""
     df.write.mode("append").parquet(path)

@@ -92,3 +92,16 @@ def test_incremental_anti_join_reads_target_buckets_in_place(spark, sf_small, ca
     assert "LeftAnti" in text
     target_scan = [line for line in text.splitlines() if line.startswith("Bucketed:")]
     assert any("true" in line for line in target_scan), target_scan
+
+
+def test_catalog_table_prunes_partitions(spark, sf_small, capsys):
+    from parcelwise.sinks import ddl as K
+
+    base = shared_path(spark, "t_catalog_prune")
+    K.ensure_database(spark, "t_prune", f"{base}/db")
+    table = K.ensure_raw_table(spark, f"{base}/raw", database="t_prune")
+    W.land_partitioned_table(Rg.raw_shipments(spark, sf_small), table)
+    df = spark.table(table).filter("shipment_date = DATE'1995-06-01'")
+    text = plan_text(df, capsys)
+    assert "PartitionFilters: [isnotnull(shipment_date" in text
+    assert df.count() == Rg.raw_shipments(spark, sf_small).filter("shipment_date = DATE'1995-06-01'").count()
