@@ -157,3 +157,15 @@ def test_rating_share_is_double(spark):
     out = R.rating_distribution(raw)
     assert dict(out.dtypes)["pct_of_category"] == "double"
     assert sorted(r.pct_of_category for r in out.collect()) == [33.33, 33.33, 33.33]
+
+
+def test_missing_tokens_by_name_and_by_column_agree(spark):
+    from parcelwise.functions import missing_to_null
+
+    values = list(S.MISSING_TOKENS) + ["ok", "n/a ", "NaN!", "it's", "back\\slash", None]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    by_name = [r.a for r in df.select(missing_to_null("v").alias("a")).collect()]
+    by_col = [r.b for r in df.select(missing_to_null(F.col("v")).alias("b")).collect()]
+    assert by_name == by_col
+    assert by_name[: len(S.MISSING_TOKENS)] == [None] * len(S.MISSING_TOKENS)
+    assert by_name[len(S.MISSING_TOKENS):] == ["ok", "n/a ", "NaN!", "it's", "back\\slash", None]
