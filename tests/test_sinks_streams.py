@@ -188,3 +188,22 @@ def test_utc_now_text_format(spark):
     text = spark.range(1).select(utc_now_text().alias("t")).collect()[0].t
     import re
     assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", text)
+
+
+def test_continuous_stream_picks_up_new_messages(spark, sf_small):
+    topic = shared_path(spark, "t_topic_live")
+    raw = Rg.raw_shipments(spark, sf_small)
+    early, late = raw.filter("shipment_date < DATE'1996-01-01'"), raw.filter("NOT (shipment_date < DATE'1996-01-01')")
+    T1.publish(early, topic)
+    base = shared_path(spark, "t_stream_live")
+    query = T2.start_ingest(spark, topic, f"{base}/sink", f"{base}/ckpt", available_now=False,
+                            processing_time="1 second")
+    try:
+        query.processAllAvailable()
+        first = SR.read_landed(spark, f"{base}/sink").count()
+        T1.publish(late, topic)                  # messages arriving while the stream runs
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert first == early.count()
+    assert SR.read_landed(spark, f"{base}/sink").count() == early.count() + late.count()
