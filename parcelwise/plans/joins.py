@@ -91,13 +91,13 @@ def probe_tables(tables: dict[str, tuple[DataFrame, str | None, int]],
         if cap <= 0 or len(df.inputFiles()) > max_files:
             result[name] = (cap + 1, None)
             continue
-        limited = df.limit(max(cap, 0) + 1)
-        distinct = F.countDistinct(key) if key else F.lit(None).cast("long")
-        probes.append(limited.agg(F.count(F.lit(1)).alias("n"), distinct.alias("d"))
-                      .select(F.lit(name).alias("side"), "n", "d"))
+        keycol = F.col(key).cast("string") if key else F.lit(None).cast("string")
+        probes.append(df.limit(cap + 1).select(F.lit(name).alias("side"), keycol.alias("k"), F.lit(key is not None).alias("has_key")))
     if probes:
-        for r in reduce(DataFrame.unionByName, probes).collect():
-            result[r["side"]] = (r["n"], r["d"])
+        counted = (reduce(DataFrame.unionByName, probes).groupBy("side")
+                   .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("d"), F.max("has_key").alias("has_key")))
+        for r in counted.collect():
+            result[r["side"]] = (r["n"], r["d"] if r["has_key"] else None)
     return result
 
 
