@@ -2,7 +2,7 @@
 
     python -m parcelwise ingest    --source CSV --landed PATH [--run-ts TS]
     python -m parcelwise transform --landed PATH --out BASE
-    python -m parcelwise report    NAME --landed PATH [--out PATH] [--show N]
+    python -m parcelwise report    NAME|all --landed PATH [--out PATH] [--show N]
     python -m parcelwise run       --source CSV --base BASE --date YYYY-MM-DD
     python -m parcelwise publish   --landed PATH --topic PATH [--format text|kafka] [--option k=v ...]
     python -m parcelwise stream    --topic PATH --sink PATH --checkpoint PATH [--dedup-delay "1 hour"]
@@ -47,8 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--landed", required=True)
     p.add_argument("--out", required=True)
 
-    p = sub.add_parser("report", help="one analytical report over the landed rows")
-    p.add_argument("name", choices=sorted(SQL.REPORTS))
+    p = sub.add_parser("report", help="one analytical report (or 'all', from one scan) over the landed rows")
+    p.add_argument("name", choices=sorted(SQL.REPORTS) + ["all"])
     p.add_argument("--landed", required=True)
     p.add_argument("--out")
     p.add_argument("--show", type=int, default=0)
@@ -84,6 +84,10 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"landed_rows": obs.get["rows"]}))
     elif args.cmd == "transform":
         print(json.dumps(P.transform_step(spark, args.landed, P.output_paths(args.out))))
+    elif args.cmd == "report" and args.name == "all":
+        if not args.out:
+            parser.error("report all needs --out (a folder for the five outputs)")
+        print(json.dumps(P.reports_step(spark, args.landed, args.out)))
     elif args.cmd == "report":
         view = "raw_shipments"
         SR.read_landed(spark, args.landed).createOrReplaceTempView(view)

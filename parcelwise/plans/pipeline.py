@@ -24,6 +24,7 @@ from parcelwise.functions import missing_to_null
 from parcelwise.operators import clean as C
 from parcelwise.operators import ingest as G
 from parcelwise.operators import kpis as A
+from parcelwise.operators import reports as R
 from parcelwise.plans import quality as Q
 from parcelwise.session import ensure_checkpoint_dir
 from parcelwise.sinks.writers import land_partitioned, write_output
@@ -100,6 +101,20 @@ def transform_step(spark: SparkSession, landed_path: str, outputs: dict[str, str
     return rows
 
 
+def reports_step(spark: SparkSession, landed_path: str, base: str) -> dict[str, int]:
+    """All five reports from one scan of the landed table: one grouping-sets
+    aggregation, checkpointed (reliable, shared checkpoint folder), then each
+    report's finish and write over those few rows. Returns rows per report."""
+    ensure_checkpoint_dir(spark)
+    rollup = R.report_rollup(read_landed(spark, landed_path)).checkpoint(eager=True)
+    rows = {}
+    for name, df in R.reports_from_rollup(rollup).items():
+        df, obs = G.observed(df, name)
+        write_output(df, f"{base.rstrip('/')}/report_{name}.parquet")
+        rows[name] = int(obs.get["rows"])
+    return rows
+
+
 def summary_frame(spark: SparkSession, result: RunResult) -> DataFrame:
     """The run summary as one row (pipeline, run date, rows, outputs, status)."""
     row = (S.PIPELINE_NAME, result.run_date, result.source_rows, result.landed_rows,

@@ -24,6 +24,11 @@ def test_cli_jobs(spark, sf_small, capsys):
     assert main(["report", "rolling_delay", "--landed", f"{base}/landed", "--out", f"{base}/r5"]) == 0
     assert spark.read.parquet(f"{base}/r5").count() == 2279
 
+    assert main(["report", "all", "--landed", f"{base}/landed", "--out", f"{base}/reports"]) == 0
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts == {"on_time_by_warehouse": 6, "high_risk_routes": 15, "rating_distribution": 42,
+                      "monthly_volume": 252, "rolling_delay": 2279}
+
     assert main(["run", "--source", source, "--base", f"{base}/run", "--date", "2024-01-01"]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "SUCCESS"
 

@@ -207,3 +207,16 @@ def test_continuous_stream_picks_up_new_messages(spark, sf_small):
         query.stop()
     assert first == early.count()
     assert SR.read_landed(spark, f"{base}/sink").count() == early.count() + late.count()
+
+
+def test_one_pass_reports_equal_single_reports(spark, sf_small):
+    from parcelwise.operators import reports as R
+
+    raw = Rg.raw_shipments(spark, sf_small)
+    split = R.reports_from_rollup(R.report_rollup(raw))
+    singles = {"on_time_by_warehouse": R.on_time_by_warehouse(raw), "high_risk_routes": R.high_risk_routes(raw),
+               "rating_distribution": R.rating_distribution(raw), "monthly_volume": R.monthly_volume(raw),
+               "rolling_delay": R.rolling_delay(raw)}
+    for name, single in singles.items():
+        assert split[name].columns == single.columns, name
+        assert _same(split[name], single), name
