@@ -40,19 +40,15 @@ def land_partitioned(df: DataFrame, path: str, dynamic: bool = False,
     date-partitioned, block-clustered Parquet table.
 
     A NULL date lands in the default partition and reads back as NULL.
+    The overwrite mode is a per-write option, so the session is not touched.
     """
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
-        (df.hint("rebalance", partition_col)
-           .sortWithinPartitions(partition_col, cluster_col)
-           .write.mode("overwrite")
-           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-           .partitionBy(partition_col)
-           .parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    (df.hint("rebalance", partition_col)
+       .sortWithinPartitions(partition_col, cluster_col)
+       .write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+       .partitionBy(partition_col)
+       .parquet(path))
 
 
 def land_partitioned_table(df: DataFrame, table: str, dynamic: bool = False,
@@ -61,7 +57,9 @@ def land_partitioned_table(df: DataFrame, table: str, dynamic: bool = False,
 
     Rows go through ``insertInto`` so the catalog records the partitions
     (readers then prune partitions from the catalog instead of listing every
-    folder); columns are matched by the table's own order.
+    folder); columns are matched by the table's own order. ``insertInto``
+    ignores a per-write overwrite-mode option, so the session setting is set
+    for the write and restored after it.
     """
     spark = df.sparkSession
     columns = spark.table(table).columns

@@ -220,3 +220,20 @@ def test_one_pass_reports_equal_single_reports(spark, sf_small):
     for name, single in singles.items():
         assert split[name].columns == single.columns, name
         assert _same(split[name], single), name
+
+
+def test_table_dynamic_overwrite_restores_session(spark):
+    base = shared_path(spark, "t_tbl_dyn")
+    K.ensure_database(spark, "t_dyn", f"{base}/db")
+    table = K.ensure_raw_table(spark, f"{base}/raw", database="t_dyn")
+    text = spark.createDataFrame(
+        [(f"s{i}", None, None, "A", None, None, None, None, None, None, None, None, None, None, None, d)
+         for i, d in enumerate(["2024-01-01", "2024-01-02", "2024-01-03"])], S.SOURCE_TEXT_SCHEMA)
+    rows = G.ingest(text, run_ts="2024-01-01 00:00:00")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    W.land_partitioned_table(rows, table)
+    W.land_partitioned_table(rows.filter("shipment_date = DATE'2024-01-02'").withColumn("route", F.lit("new")),
+                             table, dynamic=True)
+    got = {str(r.shipment_date): r.route for r in spark.table(table).collect()}
+    assert got == {"2024-01-01": None, "2024-01-02": "new", "2024-01-03": None}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
