@@ -1,10 +1,11 @@
 """Join helpers: size-checked broadcast and an input-parallelism guard.
 
-``broadcast_if_bounded`` / ``bounded_sides`` broadcast a side only after
-proving its size: they count at most ``cap + 1`` rows per side (a bounded
-job - each task stops reading once it has enough), where ``cap`` is the
-session's broadcast threshold divided by the side's row width; several
-sides are proven in one job. Beyond the bound the side is left to the
+``broadcast_if_bounded`` / ``bounded_sides`` / ``probe_tables`` broadcast a
+side only after proving its size: they read at most ``cap + 1`` rows per
+side (a bounded job - each task stops reading once it has enough), where
+``cap`` is the session's broadcast threshold divided by the side's row
+width; several sides are proven in one job, and ``probe_tables`` also
+measures the actual string bytes so long strings cannot slip past the bound. Beyond the bound the side is left to the
 planner, which shuffles both sides into a sort-merge join (and AQE may still
 switch to broadcast from measured shuffle sizes).
 
@@ -49,55 +50,55 @@ def broadcast_limit_bytes(df: DataFrame) -> int:
 
 
 def bounded_sides(frames: dict[str, DataFrame], max_bytes: int | None = None) -> dict[str, bool]:
-    """Which frames provably fit the broadcast threshold, proven in one bounded job.
-
-    Each frame contributes at most ``cap + 1`` rows (its cap = threshold /
-    row width) to a single union that is counted per frame, so the check
-    costs one job however many sides are tested and never reads more than
-    the caps allow.
-    """
+    """Which frames provably fit the broadcast threshold, proven in one bounded probe job."""
     if not frames:
         return {}
     first = next(iter(frames.values()))
     limit = broadcast_limit_bytes(first) if max_bytes is None else max_bytes
-    caps = {name: (limit // row_width(df.schema) if limit > 0 else 0) for name, df in frames.items()}
-    probes = [df.limit(caps[name] + 1).select(F.lit(name).alias("side"))
-              for name, df in frames.items() if caps[name] > 0]
-    if not probes:
+    if limit <= 0:
         return {name: False for name in frames}
-    counted = reduce(DataFrame.unionByName, probes).groupBy("side").count().collect()
-    rows = {r["side"]: r["count"] for r in counted}
-    return {name: caps[name] > 0 and rows.get(name, 0) <= caps[name] for name in frames}
+    caps = {name: limit // row_width(df.schema) for name, df in frames.items()}
+    probe = probe_tables({name: (df, None, caps[name]) for name, df in frames.items()})
+    return {name: 0 < caps[name] and probe[name][0] <= caps[name] and probe[name][2] <= limit for name in frames}
 
 
 MAX_PROBE_FILES = 64
 
 
 def probe_tables(tables: dict[str, tuple[DataFrame, str | None, int]],
-                 max_files: int = MAX_PROBE_FILES) -> dict[str, tuple[int, int | None]]:
-    """Bounded row and distinct-key counts of several tables in one job.
+                 max_files: int = MAX_PROBE_FILES) -> dict[str, tuple[int, int | None, int]]:
+    """Bounded row counts, distinct-key counts and byte sizes of several tables in one job.
 
     ``tables`` maps a name to (frame, key column or None, cap). Each frame is
     read up to ``cap + 1`` rows per task; when the row count comes back <= cap
-    the probe saw the whole table, so its distinct-key count is exact and
-    says whether the key is unique. A table stored in more than ``max_files``
-    files is not probed at all and reported as over its cap (declining a
-    broadcast is always safe), which keeps the probe to a few small tasks
-    however large the big tables grow. Returns name -> (rows seen, distinct keys).
+    the probe saw the whole table, so its distinct-key count is exact (it says
+    whether the key is unique) and so is its byte size: fixed-width columns
+    at their width plus the actual length of every string. A table stored in
+    more than ``max_files`` files is not probed at all and reported as over
+    its cap (declining a broadcast is always safe), which keeps the probe to
+    a few small tasks however large the big tables grow.
+    Returns name -> (rows seen, distinct keys, bytes).
     """
     probes = []
-    result: dict[str, tuple[int, int | None]] = {}
+    result: dict[str, tuple[int, int | None, int]] = {}
     for name, (df, key, cap) in tables.items():
         if cap <= 0 or len(df.inputFiles()) > max_files:
-            result[name] = (cap + 1, None)
+            result[name] = (cap + 1, None, 0)
             continue
+        fixed = row_width(T.StructType([f for f in df.schema.fields if not isinstance(f.dataType, T.StringType)]))
+        strings = [F.coalesce(F.length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        size = F.lit(fixed)
+        for length in strings:
+            size = size + length
         keycol = F.col(key).cast("string") if key else F.lit(None).cast("string")
-        probes.append(df.limit(cap + 1).select(F.lit(name).alias("side"), keycol.alias("k"), F.lit(key is not None).alias("has_key")))
+        probes.append(df.limit(cap + 1).select(F.lit(name).alias("side"), keycol.alias("k"),
+                                               F.lit(key is not None).alias("has_key"), size.alias("b")))
     if probes:
         counted = (reduce(DataFrame.unionByName, probes).groupBy("side")
-                   .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("d"), F.max("has_key").alias("has_key")))
+                   .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("k").alias("d"),
+                        F.max("has_key").alias("has_key"), F.sum("b").alias("b")))
         for r in counted.collect():
-            result[r["side"]] = (r["n"], r["d"] if r["has_key"] else None)
+            result[r["side"]] = (r["n"], r["d"] if r["has_key"] else None, int(r["b"] or 0))
     return result
 
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.plans.joins import cap_rows, probe_tables, spread_narrow
+from parcelwise.plans.joins import broadcast_limit_bytes, cap_rows, probe_tables, spread_narrow
 from parcelwise.session import table_path
 
 BLOCKS = "ABCDE"
@@ -97,11 +97,16 @@ def shipments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "part": (part, None, cap["part"]),
     })
 
+    budget = broadcast_limit_bytes(region)
+
     def within(table, limit):
-        return 0 < limit and probe[table][0] <= limit
+        # Rows under the side's cap, and the probed bytes (string lengths
+        # measured) under the broadcast threshold.
+        rows, _, size = probe[table]
+        return 0 < limit and rows <= limit and size <= budget
 
     def unique(table):
-        n, d = probe[table]
+        n, d, _ = probe[table]
         return d is not None and n == d
 
     nation_key_unique = within("nation", cap["nation"]) and unique("nation")

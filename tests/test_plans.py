@@ -73,9 +73,12 @@ def test_checked_broadcast(spark, sf_small, capsys):
 
 
 def test_probe_declines_many_file_tables(spark, sf_small):
-    part = spark.read.parquet(f"{sf_small}/part.parquet").select("p_partkey")
+    part = spark.read.parquet(f"{sf_small}/part.parquet").select("p_partkey", "p_type")
     got = probe_tables({"part": (part, "p_partkey", 1000)})
-    assert got["part"] == (200, 200)                       # whole table seen, key unique
+    rows, distinct, size = got["part"]
+    assert (rows, distinct) == (200, 200)                  # whole table seen, key unique
+    type_bytes = sum(len(r.p_type) for r in spark.read.parquet(f"{sf_small}/part.parquet").select("p_type").collect())
+    assert size == 200 * (8 + 8) + type_bytes              # bigint key + row overhead, plus real string bytes
     assert probe_tables({"part": (part, "p_partkey", 1000)}, max_files=0)["part"][0] > 1000   # not probed
     assert probe_tables({"part": (part, "p_partkey", 10)})["part"][0] == 11                    # over the cap
 
