@@ -60,6 +60,7 @@ class RunResult:
     output_rows: dict[str, int] = field(default_factory=dict)
     status: str = "RUNNING"
     step_seconds: dict[str, float] = field(default_factory=dict)
+    run_log: str = ""
 
 
 def output_paths(base: str) -> dict[str, str]:
@@ -149,6 +150,7 @@ def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str
     Q.require_non_empty(Q.output_counts(spark, result.outputs))
     lap("verify")
     result.status = "SUCCESS"
-    summary_frame(spark, result).write.mode("append").parquet(run_log or f"{base}/run_log")
+    result.run_log = run_log or f"{base}/run_log"
+    summary_frame(spark, result).write.mode("append").parquet(result.run_log)
     lap("notify")
     return result

@@ -266,7 +266,7 @@ def q_quality_report(spark, sf_dir):
 
 def q_run_summary(spark, sf_dir):
     result = _run(spark, sf_dir)
-    return spark.read.schema(P.RUN_LOG_SCHEMA).parquet(f"{result.landed_path.rsplit('/', 1)[0]}/run_log")
+    return spark.read.schema(P.RUN_LOG_SCHEMA).parquet(result.run_log)
 
 
 # --- the reports as Spark SQL text ---
