@@ -38,7 +38,7 @@ def publish(df: DataFrame, topic: str, fmt: str = "text", **options: str) -> Non
     if fmt == "text":
         to_messages(df, key=None).write.mode("append").text(topic)
     else:
-        (to_messages(df).write.format(fmt).option("topic", topic).options(**options).save())
+        to_messages(df).write.format(fmt).mode("append").option("topic", topic).options(**options).save()
 
 
 def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
