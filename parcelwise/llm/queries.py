@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, mixing, quality
+from parcelwise.llm import chat, mixing, quality, warc
 from parcelwise.llm.common import read_table, stored
 
 
@@ -25,6 +25,13 @@ def op4_chat_formatting(spark, sf_dir):
     return chat.chat_digests(chat.format_chats(rows))
 
 
+def op8_warc_salvage(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").cast("long"), "url", "html")
+    manifest = warc.write_archives(warc.with_record_types(pages))
+    return warc.read_archives(manifest).where("kind = 'record'").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_curriculum_mixing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -33,9 +40,11 @@ def op10_curriculum_mixing(spark, sf_dir):
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_formatting": op4_chat_formatting,
+    "op8_warc_salvage": op8_warc_salvage,
     "op10_curriculum_mixing": op10_curriculum_mixing,
 }
 ORACLE_SQL = {
     "op4_chat_formatting": chat.ORACLE_SQL,
+    "op8_warc_salvage": warc.ORACLE_SQL,
     "op10_curriculum_mixing": mixing.ORACLE_SQL,
 }
