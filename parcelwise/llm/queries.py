@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, mixing, quality, warc
+from parcelwise.llm import chat, forest, mixing, quality, warc
 from parcelwise.llm.common import read_table, stored
 
 
@@ -32,6 +32,11 @@ def op8_warc_salvage(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_embedding_dedup(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long"), "embedding")
+    return forest.near_duplicates(rows)
+
+
 def op10_curriculum_mixing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -41,6 +46,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_formatting": op4_chat_formatting,
     "op8_warc_salvage": op8_warc_salvage,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_curriculum_mixing": op10_curriculum_mixing,
 }
 ORACLE_SQL = {
