@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, forest, mixing, quality, warc
+from parcelwise.llm import chat, forest, langid, mixing, quality, warc
 from parcelwise.llm.common import read_table, stored
 
 
+def op1_language_id(spark, sf_dir):
+    return langid.identify_table(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op3_quality_rules(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     stats = stored(quality.with_stats(docs).drop("text"), "quality-stats")
@@ -43,6 +47,7 @@ def op10_curriculum_mixing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_formatting": op4_chat_formatting,
     "op8_warc_salvage": op8_warc_salvage,
