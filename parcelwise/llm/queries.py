@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, forest, langid, mixing, quality, warc
+from parcelwise.llm import chat, forest, langid, mixing, packing, quality, warc
 from parcelwise.llm.common import read_table, stored
 
 
@@ -29,6 +29,10 @@ def op4_chat_formatting(spark, sf_dir):
     return chat.chat_digests(chat.format_chats(rows))
 
 
+def op6_retrieval_packing(spark, sf_dir):
+    return packing.pack(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
 def op8_warc_salvage(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").cast("long"), "url", "html")
     manifest = warc.write_archives(warc.with_record_types(pages))
@@ -50,6 +54,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_formatting": op4_chat_formatting,
+    "op6_retrieval_packing": op6_retrieval_packing,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_curriculum_mixing": op10_curriculum_mixing,
