@@ -228,8 +228,8 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec
     comps = connected_components(pairs)
     known = nodes.select("node", "low_id", "copies").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = known.groupBy("component").agg(F.min("low_id").alias("component_id"))
-    known = known.join(lowest, "component").join(links, "node", "left").select(
-        "node", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    known = stored(known.join(lowest, "component").join(links, "node", "left").select(
+        "node", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "forest-known")
     keyed = rows.select(F.col(id_col).alias("vec_id"), node_key(F.col(vec_col).cast("array<float>")).alias("node"))
     return keyed.join(known, "node", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

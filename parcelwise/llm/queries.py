@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, forest, langid, mixing, packing, quality, warc
+from parcelwise.llm import chat, forest, langid, mixing, ngram_join, packing, quality, warc
 from parcelwise.llm.common import read_table, stored
 
 
@@ -12,6 +12,10 @@ def op1_language_id(spark, sf_dir):
     return langid.identify_table(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op2_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.join_components(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
 def op3_quality_rules(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     stats = stored(quality.with_stats(docs).drop("text"), "quality-stats")
@@ -52,6 +56,7 @@ def op10_curriculum_mixing(spark, sf_dir):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_retrieval_packing": op6_retrieval_packing,
@@ -60,6 +65,7 @@ QUERIES = {
     "op10_curriculum_mixing": op10_curriculum_mixing,
 }
 ORACLE_SQL = {
+    "op2_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op4_chat_formatting": chat.ORACLE_SQL,
     "op8_warc_salvage": warc.ORACLE_SQL,
     "op10_curriculum_mixing": mixing.ORACLE_SQL,
