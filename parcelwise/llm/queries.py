@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, forest, langid, mixing, ngram_join, packing, quality, warc
+from parcelwise.llm import chat, forest, langid, mixing, ngram_join, packing, quality, suffix_dedup, warc
 from parcelwise.llm.common import read_table, stored
 
 
@@ -33,6 +33,10 @@ def op4_chat_formatting(spark, sf_dir):
     return chat.chat_digests(chat.format_chats(rows))
 
 
+def op5_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.repeat_digests(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
 def op6_retrieval_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_rules": op3_quality_rules,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_retrieval_packing": op6_retrieval_packing,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_embedding_dedup": op9_embedding_dedup,
