@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, forest, langid, mixing, ngram_join, packing, quality, suffix_dedup, warc
+from parcelwise.llm import chat, forest, katz, langid, mixing, ngram_join, packing, quality, suffix_dedup, warc
 from parcelwise.llm.common import read_table, stored
 
 
@@ -41,6 +41,10 @@ def op6_retrieval_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
 
 
+def op7_katz_scoring(spark, sf_dir):
+    return katz.score_table(read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
 def op8_warc_salvage(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select(F.col("page_id").cast("long"), "url", "html")
     manifest = warc.write_archives(warc.with_record_types(pages))
@@ -65,6 +69,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_retrieval_packing": op6_retrieval_packing,
+    "op7_katz_scoring": op7_katz_scoring,
     "op8_warc_salvage": op8_warc_salvage,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_curriculum_mixing": op10_curriculum_mixing,
