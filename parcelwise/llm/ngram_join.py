@@ -59,19 +59,20 @@ def set_key(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> DataFrame:
-    """(id, n_shingles, node, check) per row; node and check are keys of the set, null for the empty set."""
+    """(id, text_key, n_shingles, node, check) per row; node and check are keys of the set, null for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets([lowered(t) for t in batch.column(1).to_pylist()], words)
+            sets = shingle_sets([lowered(t) for t in batch.column(2).to_pylist()], words)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([set_key(s ^ np.uint64(0xA5A5A5A5)) if len(s) else None for s in sets], pa.int64()),
-            ], names=["id", "n_shingles", "node", "check"])
+            ], names=["id", "text_key", "n_shingles", "node", "check"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, n_shingles long, node long, check long")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, text_key long, n_shingles long, node long, check long")
 
 
 def one_set_per_key(sigs: DataFrame) -> DataFrame:
@@ -271,18 +272,39 @@ def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent:
     return comps
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (the smallest id reachable by links)."""
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Signatures of all rows, and (node, component, low_id) of all sets."""
     sigs = stored(signatures(docs, id_col, text_col, words), "join-signatures")
     nodes = one_set_per_key(sigs)
     comps = set_components(docs, text_col, words, percent)
-    grouped = nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return sigs, nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id (the smallest id reachable by links)."""
+    sigs, grouped = _components(docs, id_col, text_col, words, percent)
     lowest = grouped.groupBy("component").agg(F.min("low_id").alias("component_id"))
     known = stored(grouped.join(lowest, "component").select("node", "component_id"), "join-known")
     return sigs.join(known, "node", "left").select(
         F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with one of each component: that with the smallest id (then text key). Rows without words all stay."""
+    sigs, grouped = _components(docs, id_col, text_col, words, percent)
+    rows = sigs.groupBy("node", "id", "text_key").agg(F.count("*").alias("n"))
+    placed = rows.join(stored(grouped.select("node", "component"), "join-known"), "node")
+    # nulls come last
+    key = F.struct(F.col("id").isNull().alias("late"), "id", "text_key", "n")
+    picks = placed.groupBy("component").agg(F.min(key).alias("k")).select("k.id", "k.text_key", (F.col("k.n") > 1).alias("again"))
+    empty = rows.where("node is null").select("id", "text_key", F.lit(False).alias("again"))
+    kept = stored(picks.union(empty), "join-kept").select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("again").alias("_again"))
+    met = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_key"]))
+    once = met.where("not _again").select(*docs.columns)
+    # rows that come several times over, id and text alike
+    return once.union(met.where("_again").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+
+
 ORACLE_SQL = r"""
 with recursive
 w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

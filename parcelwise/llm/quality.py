@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import WORD, let, words
+from parcelwise.llm.common import WORD, let, stored, words
 
 SYMBOLS = "#*$%&|<>"
 _SPACE = " \t\n\x0b\x0c\r"
@@ -227,3 +227,12 @@ def apply_rules(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add base_failed and kept."""
     return stats.drop("base_failed", "kept").withColumn("base_failed", base_failed()).withColumn(
         "kept", F.when(F.col("base_failed"), False).otherwise(verdict(rules)))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the base rule and the learned list keep, with their columns as they are."""
+    wanted = labels.where("quality in (0, 1)").select(F.col("doc_id").alias(id_col)).distinct()
+    labelled = docs.select(id_col, text_col).join(wanted, id_col, "left_semi")
+    rules = learn_from(stored(with_stats(labelled, text_col).drop(text_col), "quality-labelled"), labels, id_col)
+    rows = with_stats(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text")), "_text")
+    return apply_rules(rows, rules).where("kept").select("_row.*")
