@@ -127,10 +127,11 @@ def _packed_shingles(docs: DataFrame, text_col: str, words: int, buckets: int) -
 
 
 def _shared(packed: DataFrame, buckets: int) -> DataFrame:
-    """Rows (node, n, entries): per bucket and node the n-grams that other sets have too.
+    """Rows (place, runs, entries): the n-grams that other sets have too, packed by the partition of their set.
 
     An entry is (count, bucket, hash) in one number, so that entries sort
-    rarest first and are equal for equal n-grams.
+    rarest first and are equal for equal n-grams. ``runs`` is as in
+    ``_packed_shingles``.
     """
 
     def of_bucket(bucket: int, parts: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -153,15 +154,16 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
         count = count[gram]
         h, own, count = h[count > 1], own[count > 1], count[count > 1]
         entry = (np.minimum(count, MOST_COUNT).astype(np.uint64) << np.uint64(54)) | np.uint64(bucket % 64) << np.uint64(48) | h
-        order = np.argsort(own, kind="stable")
+        place = (mixed(nodes.view(np.uint64)) >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)
+        order = np.lexsort((own, place[own]))
         entry, own = entry[order].view(np.int64), own[order]
-        edges = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]])) if len(own) else np.zeros(1, int)
-        for s in range(0, len(edges) - 1, 5000):
-            cut = edges[s:s + 5001]
-            who = own[cut[:-1]]
+        turn = np.flatnonzero(np.concatenate([[True], place[own][1:] != place[own][:-1], [True]])) if len(own) else np.zeros(1, int)
+        for s, e in zip(turn[:-1], turn[1:], strict=True):
+            who, count = np.unique(own[s:e], return_counts=True)
+            runs = np.stack([nodes[who], sizes[who], count])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[who], pa.int64()), pa.array(sizes[who], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(cut - cut[0], pa.int32()), pa.array(entry[cut[0]:cut[-1]]))], names=["node", "n", "entries"])
+                [pa.array([int(place[own[s]])], pa.int32()), pa.array([runs.tobytes()], pa.binary()), pa.array([entry[s:e].tobytes()], pa.binary())],
+                names=["place", "runs", "entries"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
@@ -176,7 +178,44 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
             yield from of_bucket(current, parts)
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "node long, n long, entries array<long>")
+    return dealt.mapInArrow(run, "place int, runs binary, entries binary")
+
+
+def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """Rows (node, n, m, weight, entries) of the sets with enough shared n-grams, sorted rarest first."""
+
+    def of_place(parts: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        runs = np.concatenate([np.frombuffer(r, np.int64).reshape(3, -1) for r, _ in parts], axis=1)
+        entry = np.concatenate([np.frombuffer(e, np.int64) for _, e in parts])
+        node = np.repeat(runs[0], runs[2])
+        order = np.lexsort((entry, node))
+        entry, node = entry[order], node[order]
+        ids, first, m = np.unique(node, return_index=True, return_counts=True)
+        known, at = np.unique(runs[0], return_index=True)
+        n = runs[1][at][np.searchsorted(known, ids)]
+        weight = np.add.reduceat(entry >> 54, first) / n
+        for k in np.array_split(np.flatnonzero(100 * m >= percent * n), 1 + len(ids) // 2000):
+            if len(k):
+                some = np.concatenate([np.arange(first[j], first[j] + m[j]) for j in k])
+                edges = np.concatenate([[0], np.cumsum(m[k])])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[k]), pa.array(n[k]), pa.array(m[k]), pa.array(weight[k]), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(entry[some]))],
+                    names=["node", "n", "m", "weight", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts = None, []
+        for batch in batches:
+            for place, *part in zip(*(batch.column(c).to_pylist() for c in ("place", "runs", "entries")), strict=True):
+                if place != current and parts:
+                    yield from of_place(parts)
+                    parts = []
+                current = place
+                parts.append(part)
+        if parts:
+            yield from of_place(parts)
+
+    dealt = shared.repartition(buckets, "place").sortWithinPartitions("place")
+    return dealt.mapInArrow(run, "node long, n long, m long, weight double, entries array<long>")
 
 
 def _least_overlap(n, percent: int):
@@ -185,13 +224,9 @@ def _least_overlap(n, percent: int):
 
 
 def candidates(docs: DataFrame, text_col: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Sets that can have a partner: (node, n, m, entries), m shared n-grams sorted rarest first."""
+    """Sets that can have a partner: (node, n, m, weight, entries), m shared n-grams sorted rarest first, weight their mean count."""
     buckets = partitions(docs.sparkSession)
-    shared = _shared(_packed_shingles(docs, text_col, words, buckets), buckets)
-    whole = shared.groupBy("node").agg(
-        F.max("n").alias("n"), F.sum(F.size("entries")).alias("m"), F.collect_list("entries").alias("parts"))
-    return whole.where(F.col("m") >= _least_overlap(F.col("n"), percent)).select(
-        "node", "n", "m", F.sort_array(F.flatten("parts")).alias("entries"))
+    return _gathered(_shared(_packed_shingles(docs, text_col, words, buckets), buckets), buckets, percent)
 
 
 def prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
