@@ -11,14 +11,15 @@ prefix filter over one global order of n-grams, rarest first:
    set whose shared n-grams are fewer than the threshold asks for has no
    partner; of the others the prefix (n - ceil(t n) + 1 rarest) is kept;
 3. sets that share a prefix n-gram are candidates if their sizes allow it
-   (length filter) and the places of the n-gram leave room for enough common
-   ones (positional filter); every pair is taken once;
+   (length filter), the places of the n-gram leave room for enough common ones
+   (positional filter) and bitmaps of their n-grams do not show too many that
+   the other lacks; every pair is taken once;
 4. a pair is probed at the middle of its n-grams (suffix filter) and verified
    once by its exact intersection.
 
 ``similar_pairs`` gives all linked pairs of sets. Components need fewer: the
-sets of a prefix n-gram are first compared with one of them (two rounds with
-different hubs), and then all candidate pairs whose ends are still apart. So a
+sets of a prefix n-gram are first compared with one of them (HUB_ROUNDS rounds
+with different hubs), and then all candidate pairs whose ends are still apart. So a
 group of many near copies costs a multiple of its size, not its square, and
 no link that matters is lost.
 
@@ -45,9 +46,12 @@ PERCENT = 75
 WORDS = 5
 #: n-grams a task packs before it sends them on.
 FLUSH = 3_000_000
+#: Rounds in which sets are compared with one hub per n-gram, before all pairs that are still apart.
+HUB_ROUNDS = 3
 #: Counts are told apart up to here when n-grams are ordered (any order is right, if all sets use the same).
 MOST_COUNT = 511
-LOW48 = np.uint64((1 << 48) - 1)
+#: Bitmap words by which an n-gram of one set can be seen to be missing in another.
+BITS = ("b0", "b1", "b2", "b3")
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -182,7 +186,7 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
 
 
 def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
-    """Rows (node, n, m, weight, entries) of the sets with enough shared n-grams, sorted rarest first."""
+    """Rows (node, n, m, weight, bitmap, entries) of the sets with enough shared n-grams, sorted rarest first."""
 
     def of_place(parts: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
         runs = np.concatenate([np.frombuffer(r, np.int64).reshape(3, -1) for r, _ in parts], axis=1)
@@ -194,13 +198,17 @@ def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
         known, at = np.unique(runs[0], return_index=True)
         n = runs[1][at][np.searchsorted(known, ids)]
         weight = np.add.reduceat(entry >> 54, first) / n
+        bit = mixed(entry.view(np.uint64))
+        one = np.uint64(1) << (bit & np.uint64(63))
+        word = (bit >> np.uint64(6)) % np.uint64(len(BITS))
+        bits = [np.bitwise_or.reduceat(np.where(word == np.uint64(w), one, np.uint64(0)), first).view(np.int64) for w in range(len(BITS))]
         for k in np.array_split(np.flatnonzero(100 * m >= percent * n), 1 + len(ids) // 2000):
             if len(k):
                 some = np.concatenate([np.arange(first[j], first[j] + m[j]) for j in k])
                 edges = np.concatenate([[0], np.cumsum(m[k])])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[k]), pa.array(n[k]), pa.array(m[k]), pa.array(weight[k]), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(entry[some]))],
-                    names=["node", "n", "m", "weight", "entries"])
+                    [pa.array(ids[k]), pa.array(n[k]), pa.array(m[k]), pa.array(weight[k]), *(pa.array(b[k]) for b in bits), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(entry[some]))],
+                    names=["node", "n", "m", "weight", *BITS, "entries"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
@@ -215,7 +223,7 @@ def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
             yield from of_place(parts)
 
     dealt = shared.repartition(buckets, "place").sortWithinPartitions("place")
-    return dealt.mapInArrow(run, "node long, n long, m long, weight double, entries array<long>")
+    return dealt.mapInArrow(run, f"node long, n long, m long, weight double, {', '.join(f'{b} long' for b in BITS)}, entries array<long>")
 
 
 def _least_overlap(n, percent: int):
@@ -230,16 +238,23 @@ def candidates(docs: DataFrame, text_col: str, words: int = WORDS, percent: int
 
 
 def prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Rows (gram, place, node, n) of the prefix n-grams; n-grams of one set alone come first in its order and match nothing."""
+    """Rows (node, n, m, weight, bitmap, place, gram) of the prefix n-grams.
+
+    N-grams of one set alone come first in its order and match nothing, so
+    the prefix is what is left of its length, and places count shared n-grams.
+    """
     length = F.col("m") - _least_overlap(F.col("n"), percent) + 1
-    rows = sets.where(length > 0).select("node", "n", "m", F.posexplode(F.slice("entries", F.lit(1), length.cast("int"))).alias("k", "gram"))
-    return rows.select("gram", (F.col("n") - F.col("m") + F.col("k")).alias("place"), "node", "n")
+    prefix = F.posexplode(F.slice("entries", F.lit(1), length.cast("int"))).alias("place", "gram")
+    return sets.where(length > 0).select("node", "n", "m", "weight", *BITS, prefix)
 
 
 def _possible(percent: int):
-    """Length and positional filters for a row with both ends of a pair (node, n, place, node2, n2, place2)."""
-    n, n2, p, p2 = (F.col(c) for c in ("n", "n2", "place", "place2"))
-    most = F.least(p, p2) + 1 + F.least(n - p - 1, n2 - p2 - 1)
+    """Length, positional and bitmap filters for a row with both ends of a pair (n, m, place and n2, m2, place2)."""
+    n, n2, m, m2, p, p2 = (F.col(c) for c in ("n", "n2", "m", "m2", "place", "place2"))
+    most = F.least(p, p2) + 1 + F.least(m - p - 1, m2 - p2 - 1)
+    missing = [sum((F.bit_count(F.col(a).bitwiseAND(F.bitwise_not(F.col(b)))) for a, b in ends), F.lit(0))
+               for ends in ([(c, f"{c}2") for c in BITS], [(f"{c}2", c) for c in BITS])]
+    most = F.least(most, m - missing[0], m2 - missing[1])
     return (100 * F.least(n, n2) >= percent * F.greatest(n, n2)) & (100 * most >= percent * (n + n2 - most))
 
 
@@ -275,14 +290,18 @@ def similar_pairs(docs: DataFrame, text_col: str = "text", words: int = WORDS, p
 
 
 def _hub_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Every set of a prefix n-gram against one hub of that n-gram."""
-    order = F.xxhash64("node", F.lit(turn))
-    hub = rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "node", "n", "place")).alias("h"))
-    hub = hub.select("gram", F.col("h.node").alias("node2"), F.col("h.n").alias("n2"), F.col("h.place").alias("place2"))
+    """Every set of a prefix n-gram against one hub of that n-gram.
+
+    The first hub is the set whose n-grams most others have (the original of
+    a group of edited copies); later ones are drawn by hash.
+    """
+    order = F.struct(-F.col("weight"), "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
+    hub = rows.groupBy("gram").agg(F.min(F.struct(order.alias("o"), "node", "n", "m", "place", *BITS)).alias("h"))
+    hub = hub.select("gram", *[F.col(f"h.{c}").alias(f"{c}2") for c in ("node", "n", "m", "place", *BITS)])
     return _ordered(rows.join(hub, "gram").where((F.col("node") != F.col("node2")) & _possible(percent)))
 
 
-def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent: int = PERCENT, hub_rounds: int = 2) -> DataFrame:
+def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     """(node, component) for every set that has a partner."""
     sets = stored(candidates(docs, text_col, words, percent), "join-sets")
     rows = stored(prefixes(sets, percent), "join-prefixes")
