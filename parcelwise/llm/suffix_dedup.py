@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +47,13 @@ from parcelwise.llm.windows import LENGTH, anchors
 WIDTH = 32
 CORE = LENGTH - WIDTH + 1
 #: Anchors that a task packs before it sends them on, and strings that one construction holds.
-FLUSH = 1_000_000
-CHUNK = 150_000
+FLUSH = 250_000
+CHUNK = 60_000
 #: Anchors are called frequent, and skip the count, if a sample of 1 text in SAMPLE holds them FREQUENT times; at most MOST_FREQUENT.
 SAMPLE = 64
 FREQUENT = 16
 MOST_FREQUENT = 8192
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 
 CANDIDATE = "gram long, region long, node long, lo int, hi int, at int"
 
@@ -60,14 +61,15 @@ CANDIDATE = "gram long, region long, node long, lo int, hi int, at int"
 def _text_batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with at most about BATCH_BYTES of text, and their texts as bytes."""
     for batch in batches:
-        texts = [(t or "").encode("utf-8", "replace") for t in batch.column(text).to_pylist()]
+        column = batch.column(text).cast(pa.binary())
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
         at = 0
-        while at < len(texts):
+        while at < len(sizes):
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) < BATCH_BYTES):
-                size += len(texts[end])
+            while end < len(sizes) and (end == at or size + sizes[end] < BATCH_BYTES):
+                size += sizes[end]
                 end += 1
-            yield batch.slice(at, end - at), texts[at:end]
+            yield batch.slice(at, end - at), [t or b"" for t in column.slice(at, end - at).to_pylist()]
             at = end
 
 
