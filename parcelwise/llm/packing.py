@@ -41,14 +41,14 @@ QUERY_TERMS = 24
 NEIGHBOURS = 32
 K1, B = 1.2, 0.75
 #: White-space runs and words whose token ids a Python worker remembers.
-CACHE_RUNS = 1_000_000
-CACHE_WORDS = 600_000
+CACHE_RUNS = 1_800_000
+CACHE_WORDS = 1_000_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 class WordTokenizer:
-    """Token ids of texts for a vocabulary whose words never reach across ASCII white space.
+    """Token ids of UTF-8 texts for a vocabulary whose words never reach across ASCII white space.
 
     Ids of a text are the ids of its white-space runs in order, and ids of a
     run are those of its words (the pieces that the vocabulary's pre-tokeniser
@@ -104,13 +104,13 @@ class WordTokenizer:
         cuts = (np.flatnonzero(np.frombuffer(ids, dtype="<u2") == 0xFFFF) * 2).tolist()
         self.runs.update(zip(runs, (ids[a:b] for a, b in zip([0, *(c + 2 for c in cuts)], [*cuts, len(ids)], strict=True)), strict=True))
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
+    def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        split = [(t or b"").split() for t in texts]
         for store, most in ((self.runs, CACHE_RUNS), (self.words, CACHE_WORDS)):
             if len(store) > most:
                 store.clear()
         runs = self.runs
-        new = {w for ws in split for w in ws if w not in runs}
+        new = set().union(*split) - runs.keys()
         if new:
             self._learn_runs(list(new))
         return [np.frombuffer(b"".join(map(runs.__getitem__, ws)), dtype="<u2") for ws in split]
@@ -138,8 +138,9 @@ class Index:
         n = self.n = len(docs)
         lengths = np.array([len(d) for d in docs], dtype=np.float64)
         keys, tf = np.unique(
-            np.concatenate([d.astype(np.int64) * n + k for k, d in enumerate(docs)]) if n else np.zeros(0, np.int64), return_counts=True)
-        terms, self.docs = keys // max(n, 1), keys % max(n, 1)
+            np.concatenate([d.astype(np.uint32) * np.uint32(SHARD_DOCS) + np.uint32(k) for k, d in enumerate(docs)]) if n else np.zeros(0, np.uint32),
+            return_counts=True)
+        terms, self.docs = keys // np.uint32(SHARD_DOCS), (keys % np.uint32(SHARD_DOCS)).astype(np.uint16)
         self.terms, self.first, df = np.unique(terms, return_index=True, return_counts=True)
         self.last = self.first + df
         self.idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
@@ -256,9 +257,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
             return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in PIECES.split(", ")] + ["ids"] * with_ids)
 
         for batch in batches:
-            texts, keys = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+            texts, keys = batch.column(1).cast(pa.binary()), batch.column(0).to_pylist()
             for s in range(0, len(texts), 256):
-                for key, part in zip(keys[s:s + 256], encode(texts[s:s + 256]), strict=True):
+                for key, part in zip(keys[s:s + 256], encode(texts.slice(s, 256).to_pylist()), strict=True):
                     ids.append(key)
                     tokens.append(np.append(part, np.uint16(END_ID)))
                     held += len(tokens[-1])
