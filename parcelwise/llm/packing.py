@@ -110,9 +110,9 @@ class WordTokenizer:
             if len(store) > most:
                 store.clear()
         runs = self.runs
-        new = set().union(*split) - runs.keys()
+        new = [w for w in set().union(*split) if w not in runs]
         if new:
-            self._learn_runs(list(new))
+            self._learn_runs(new)
         return [np.frombuffer(b"".join(map(runs.__getitem__, ws)), dtype="<u2") for ws in split]
 
 
