@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,13 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the system (idle workers keep what they once used)."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it by name in ``body`` (a function of the bound column).
 

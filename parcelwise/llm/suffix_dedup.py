@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import partitions, stored
+from parcelwise.llm.common import give_back, partitions, stored
 from parcelwise.llm.windows import LENGTH, anchors
 
 #: Columns that one collection spans, and the bytes that all its strings share.
@@ -147,6 +147,8 @@ def _packed_anchors(docs: DataFrame, text_col: str, buckets: int, frequent: np.n
                 held, size, seen = [], 0, set()
         if held:
             yield from packed()
+        held, seen = [], set()
+        give_back()
 
     texts = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("node"), text_col)
     return texts.mapInArrow(run, "bucket int, sure boolean, runs binary, low binary, high binary, region binary, lo binary, span binary, at binary")
@@ -197,6 +199,8 @@ def _shared_anchors(packed: DataFrame, buckets: int) -> DataFrame:
                 size += len(part[5])
         if parts:
             yield from rows_of(current[1], parts)
+        parts = []
+        give_back()
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "sure")
     return dealt.mapInArrow(run, CANDIDATE)
@@ -308,6 +312,7 @@ def _strings(reps: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Da
                     rows = []
             if rows:
                 yield _string_batch(rows)
+        give_back()
 
     return met.mapInArrow(run, STRINGS + ", low int")
 
@@ -318,7 +323,6 @@ def _string_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["core", "gram", "region", "klass", "left", "right", "low"])
 
 
-FOUND = "gram long, region long, klass int, columns long"
 RUNS = "gram long, region long, runs array<struct<near:int,far:int>>"
 
 
@@ -333,7 +337,7 @@ def _tails(values: list[bytes], reverse: bool) -> np.ndarray:
 
 
 def _found(core: np.ndarray, batch: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Results of whole collections: a bit per column of each string."""
+    """Results of whole collections: the ranges of repeated windows of each string that has some."""
     gram, region, klass = (batch.column(c).to_numpy() for c in ("gram", "region", "klass"))
     same = (core[1:] == core[:-1]) & (gram[1:] == gram[:-1]) & (region[1:] == region[:-1]) & (klass[1:] == klass[:-1])
     fresh = np.concatenate([[True], ~same])  # a string that came twice is one
@@ -347,11 +351,21 @@ def _found(core: np.ndarray, batch: pa.Table) -> Iterator[pa.RecordBatch]:
     some = np.flatnonzero(columns)
     if len(some):
         part = batch.select(["gram", "region", "klass"]).take(pa.array(some)).combine_chunks()
-        yield from part.append_column("columns", pa.array(columns[some])).to_batches()
+        runs = _ranges(part.column("klass").to_pylist(), columns[some].tolist())
+        yield from part.select(["gram", "region"]).append_column("runs", runs).to_batches()
+
+
+def _ranges(klass: list[int], columns: list[int]) -> pa.Array:
+    """Runs of set bits as ranges of distances from the anchor back to the windows' starts."""
+    out = []
+    for k, bits in zip(klass, columns, strict=True):
+        edge = np.flatnonzero(np.diff([0, *(bits >> d & 1 for d in range(WIDTH)), 0]))
+        out.append([{"near": k * WIDTH + int(a), "far": k * WIDTH + int(z) - 1} for a, z in zip(edge[::2], edge[1::2], strict=True)])
+    return pa.array(out, pa.list_(pa.struct([("near", pa.int32()), ("far", pa.int32())])))
 
 
 def collections_found(strings: DataFrame) -> DataFrame:
-    """FOUND rows: for regions and classes the columns (bits) whose windows are repeated.
+    """RUNS rows: the repeated windows of regions, class by class.
 
     Collections of up to CHUNK strings are built in one task. In a larger one
     no order of all its strings is needed: its windows are told apart column
@@ -379,6 +393,8 @@ def collections_found(strings: DataFrame) -> DataFrame:
         if held:
             whole = pa.Table.from_batches(held)
             yield from _found(whole.column("core").to_numpy(), whole)
+        held = whole = None
+        give_back()
 
     n = partitions(strings.sparkSession)
     small = met.where(F.col("n") <= CHUNK).drop("n").repartition(n, "core").sortWithinPartitions("core", "gram", "region", "klass")
@@ -390,22 +406,13 @@ def collections_found(strings: DataFrame) -> DataFrame:
     twice = large.groupBy("core", "d", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     rest = large.join(twice, ["core", "d", "key"]).groupBy("gram", "region", "klass").agg(
         F.sum(F.expr("shiftleft(1L, d)")).alias("columns"))
-    return small.mapInArrow(run, FOUND).union(rest)
-
 
-def _runs(found: DataFrame) -> DataFrame:
-    """RUNS rows: repeated windows of a region as ranges of distances from the anchor back to their starts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("near", pa.int32()), ("far", pa.int32())]))
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for klass, columns in zip(batch.column("klass").to_pylist(), batch.column("columns").to_pylist(), strict=True):
-                edge = np.flatnonzero(np.diff([0, *(columns >> d & 1 for d in range(WIDTH)), 0]))
-                out.append([{"near": klass * WIDTH + int(a), "far": klass * WIDTH + int(z) - 1} for a, z in zip(edge[::2], edge[1::2], strict=True)])
-            yield pa.RecordBatch.from_arrays([batch.column("gram"), batch.column("region"), pa.array(out, kind)], names=["gram", "region", "runs"])
+            runs = _ranges(batch.column("klass").to_pylist(), batch.column("columns").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), batch.column("region"), runs], names=["gram", "region", "runs"])
 
-    return found.mapInArrow(run, RUNS).groupBy("gram", "region").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    return small.mapInArrow(run, RUNS).union(rest.mapInArrow(ranges, RUNS))
 
 
 def repeated_spans(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -420,7 +427,8 @@ def repeated_spans(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str
     mixed_grams = regions.groupBy("gram").agg(F.count("*").alias("n"), F.min("whole").alias("all")).where("n > 1 and not all").select("gram")
     reps = regions.join(mixed_grams, "gram").select("gram", "region", "rep.*").join(nodes.select("node", "low_id"), "node")
     strings = stored(_strings(reps, docs, id_col, text_col), "suffix-strings")
-    known = stored(regions.join(_runs(collections_found(strings)), ["gram", "region"], "left").where("whole or runs is not null").select(
+    runs = collections_found(strings).groupBy("gram", "region").agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    known = stored(regions.join(runs, ["gram", "region"], "left").where("whole or runs is not null").select(
         "gram", "region", "whole", "runs"), "suffix-known")
     whole = F.array(F.struct(F.col("lo").alias("s"), (F.col("hi") + LENGTH).alias("e")))
     parts = F.transform("runs", lambda r: F.struct((F.col("at") - r["far"]).alias("s"), (F.col("at") - r["near"] + LENGTH).alias("e")))
