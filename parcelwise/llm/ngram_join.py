@@ -38,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import connected_components, partitions, stored
+from parcelwise.llm.common import connected_components, give_back, partitions, stored
 from parcelwise.llm.shingles import lowered, mixed, shingle_sets
 
 #: Jaccard threshold in percent and words per n-gram.
 PERCENT = 75
 WORDS = 5
 #: n-grams a task packs before it sends them on.
-FLUSH = 3_000_000
+FLUSH = 1_500_000
 #: Rounds in which sets are compared with one hub per n-gram, before all pairs that are still apart.
 HUB_ROUNDS = 3
 #: Counts are told apart up to here when n-grams are ordered (any order is right, if all sets use the same).
@@ -126,6 +126,8 @@ def _packed_shingles(docs: DataFrame, text_col: str, words: int, buckets: int) -
                         held, size = {}, 0
         if held:
             yield from packed()
+        held = {}
+        give_back()
 
     return docs.select(text_col).mapInArrow(run, "bucket int, runs binary, low binary, mid binary")
 
@@ -180,6 +182,8 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
                 parts.append(part)
         if parts:
             yield from of_bucket(current, parts)
+        parts = []
+        give_back()
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(run, "place int, runs binary, entries binary")
@@ -221,6 +225,8 @@ def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
                 parts.append(part)
         if parts:
             yield from of_place(parts)
+        parts = []
+        give_back()
 
     dealt = shared.repartition(buckets, "place").sortWithinPartitions("place")
     return dealt.mapInArrow(run, f"node long, n long, m long, weight double, {', '.join(f'{b} long' for b in BITS)}, entries array<long>")
