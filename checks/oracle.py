@@ -11,9 +11,16 @@ ranks are cast to BIGINT and months to DATE.
 
 from __future__ import annotations
 
-from parcelwise import schema as S
-
+# Stated here on purpose and not read from the package: a wrong constant there must turn rows red.
 DEDUP_CUTOFF = "1997-01-01"   # boundary between the two incremental loads
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+           "NULL", "NaN", "None", "n/a", "nan", "null")
+COLUMNS = {
+    "shipment_id": None, "customer_id": None, "product_category": None, "warehouse_block": None, "mode_of_shipment": None,
+    "route": None, "customer_care_calls": "BIGINT", "customer_rating": "BIGINT", "cost_of_product": "DOUBLE",
+    "prior_purchases": "BIGINT", "discount_offered": "DOUBLE", "weight_in_gms": "BIGINT", "scheduled_days": "BIGINT",
+    "actual_days": "BIGINT", "on_time_delivery": "BIGINT", "shipment_date": "DATE",
+}
 
 
 def r2(expr: str) -> str:
@@ -21,7 +28,7 @@ def r2(expr: str) -> str:
 
 
 def _tokens() -> str:
-    return ", ".join("'" + t.replace("'", "''") + "'" for t in S.MISSING_TOKENS)
+    return ", ".join("'" + t.replace("'", "''") + "'" for t in MISSING)
 
 
 def _unmissing(col: str) -> str:
@@ -70,10 +77,8 @@ source_text AS (
 
 
 def _typed_select() -> str:
-    sql_types = {"StringType": None, "LongType": "BIGINT", "DoubleType": "DOUBLE", "DateType": "DATE"}
     cols = []
-    for name, dtype, _ in S.RAW_FIELDS:
-        target = sql_types[type(dtype).__name__]
+    for name, target in COLUMNS.items():
         expr = _unmissing(name)
         cols.append(f"{expr} AS {name}" if target is None else f"TRY_CAST({expr} AS {target}) AS {name}")
     return ",\n    ".join(cols)
@@ -105,7 +110,7 @@ clean AS (
   SELECT *,
     CASE WHEN actual_days > scheduled_days THEN actual_days - scheduled_days ELSE 0 END AS delay_days,
     {r2('weight_in_gms / 1000')} AS weight_kg,
-    CASE WHEN cost_of_product > {S.HIGH_VALUE_COST} THEN 1 ELSE 0 END AS is_high_value
+    CASE WHEN cost_of_product > 2500 THEN 1 ELSE 0 END AS is_high_value
   FROM clean0
 )"""
 
@@ -113,8 +118,8 @@ STRICT = "CASE WHEN actual_days IS NOT NULL AND scheduled_days IS NOT NULL THEN
 
 
 def _risk(rate: str) -> str:
-    return (f"CASE WHEN {rate} > {S.RISK_HIGH_PCT} THEN 'HIGH' "
-            f"WHEN {rate} > {S.RISK_MEDIUM_PCT} THEN 'MEDIUM' ELSE 'LOW' END")
+    return (f"CASE WHEN {rate} > 40 THEN 'HIGH' "
+            f"WHEN {rate} > 20 THEN 'MEDIUM' ELSE 'LOW' END")
 
 
 def _with(*parts: str) -> str:
@@ -129,7 +134,7 @@ def _cln() -> str:
     return _with(SOURCE_TEXT, TYPED, CLEAN)
 
 
-RAW_COLS = ", ".join(S.SOURCE_COLUMNS)
+RAW_COLS = ", ".join(COLUMNS)
 
 WAREHOUSE_KPIS = f"""{_cln()}, agg AS (
   SELECT warehouse_block,
@@ -153,7 +158,7 @@ ROUTE_KPIS = f"""{_cln()}, {ROUTE_KPIS_CTE}
 SELECT *, {_risk('delay_rate_pct')} AS risk_level FROM route_kpis"""
 
 HIGH_RISK_ROUTES = f"""{_cln()}, {ROUTE_KPIS_CTE}
-SELECT *, {_risk('delay_rate_pct')} AS risk_level FROM route_kpis WHERE delay_rate_pct > {S.HIGH_RISK_ROUTE_PCT}"""
+SELECT *, {_risk('delay_rate_pct')} AS risk_level FROM route_kpis WHERE delay_rate_pct > 30"""
 
 CATEGORY_AGGS = f"""COUNT(shipment_id) AS shipment_count,
     {r2('AVG(on_time_delivery) * 100')} AS on_time_pct,
@@ -204,7 +209,7 @@ SELECT route,
   {r2(f'AVG({STRICT})')} AS avg_delay_days,
   {_risk('(1 - AVG(on_time_delivery)) * 100')} AS risk_level
 FROM raw GROUP BY route
-HAVING {r2('(1 - AVG(on_time_delivery)) * 100')} > {S.HIGH_RISK_ROUTE_PCT}
+HAVING {r2('(1 - AVG(on_time_delivery)) * 100')} > 30
 ORDER BY delay_rate_pct DESC NULLS LAST"""
 
 REPORT_RATING = f"""{_src()}
@@ -248,34 +253,46 @@ STRICT_DELAY = f"""{_src()}
 SELECT shipment_id, actual_days, scheduled_days, cost_of_product,
   CAST(CASE WHEN actual_days > scheduled_days THEN actual_days - scheduled_days ELSE 0 END AS BIGINT) AS delay_days,
   {STRICT} AS strict_delay_days,
-  CASE WHEN cost_of_product > {S.HIGH_VALUE_COST} THEN 1 ELSE 0 END AS is_high_value,
-  COALESCE(CAST(cost_of_product > {S.HIGH_VALUE_COST} AS INTEGER), 0) AS is_high_value_flag
+  CASE WHEN cost_of_product > 2500 THEN 1 ELSE 0 END AS is_high_value,
+  COALESCE(CAST(cost_of_product > 2500 AS INTEGER), 0) AS is_high_value_flag
 FROM raw"""
 
-_SAMPLE_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in S.SOURCE_COLUMNS)
+_SAMPLE_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in COLUMNS)
 
 SAMPLE_ROWS = f"""{_src()}
-SELECT {RAW_COLS} FROM raw ORDER BY {_SAMPLE_ORDER} LIMIT {S.SAMPLE_ROWS}"""
+SELECT {RAW_COLS} FROM raw ORDER BY {_SAMPLE_ORDER} LIMIT 5"""
 
 _DEDUP_ORDER = ", ".join(
-    f"{c} DESC NULLS LAST" for c in ["shipment_date"] + [c for c in S.SOURCE_COLUMNS if c not in ("shipment_id", "shipment_date")]
+    f"{c} DESC NULLS LAST" for c in ["shipment_date"] + [c for c in COLUMNS if c not in ("shipment_id", "shipment_date")]
 )
 
+_OTHERS = ", ".join(f"{c} DESC NULLS LAST" for c in COLUMNS if c not in ("shipment_id", "shipment_date"))
+
 INCREMENTAL_DEDUP = f"""{_src()},
-b1 AS (SELECT * FROM raw WHERE shipment_date < DATE '{DEDUP_CUTOFF}'),
-b2 AS (SELECT * FROM raw WHERE shipment_date IS NULL OR shipment_date >= DATE '{DEDUP_CUTOFF}'),
-d1 AS (SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY {_DEDUP_ORDER}) AS rn FROM b1) WHERE rn = 1),
-d2 AS (SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY {_DEDUP_ORDER}) AS rn FROM b2) WHERE rn = 1)
-SELECT * FROM d1
-UNION ALL
-SELECT * FROM d2 WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE d1.shipment_id = d2.shipment_id)"""
+day1 AS (SELECT *, 1 AS load FROM raw WHERE shipment_date < DATE '{DEDUP_CUTOFF}'),
+day2 AS (
+  SELECT *, 2 AS load FROM raw WHERE shipment_date IS NULL OR shipment_date >= DATE '{DEDUP_CUTOFF}'
+  UNION ALL SELECT * REPLACE ('rerouted' AS route), 2 AS load FROM raw WHERE shipment_date < DATE '{DEDUP_CUTOFF}' AND customer_id LIKE '%7'),
+loads AS (SELECT * FROM day1 UNION ALL SELECT * FROM day2)
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY load DESC, shipment_date DESC NULLS LAST, {_OTHERS}) AS rn FROM loads) WHERE rn = 1"""
 
-DEDUP_LATEST = f"""{_src()}
-SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY {_DEDUP_ORDER}) AS rn FROM raw) WHERE rn = 1"""
+STREAM_DEDUP = f"""{_src()},
+sent AS (SELECT *, CASE WHEN customer_id LIKE '%3' THEN 1 ELSE 2 END AS age FROM raw)
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY age DESC, shipment_date DESC NULLS LAST, {_OTHERS}) AS rn FROM sent) WHERE rn = 1"""
 
+CSV_FOREIGN = f"""{_src()}
+SELECT * REPLACE (route || ', "north"' || chr(10) || 'line 2 ' AS route) FROM (SELECT {RAW_COLS} FROM raw)"""
 
-STREAM_DEDUP_KEYS = f"""{_src()}
-SELECT DISTINCT shipment_id FROM raw"""
+INGEST_STAMP = f"""{_src()}
+SELECT shipment_id, '2024-01-01 06:00:00' AS ingested_at FROM raw"""
+
+CLEAN_COUNTS = f"""{_cln()}
+SELECT COUNT(*) AS clean_rows, CAST(20 AS BIGINT) AS clean_columns FROM clean"""
+
+DEDUP_LATEST = f"""{_src()}
+SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY {_DEDUP_ORDER}) AS rn FROM raw) WHERE rn = 1"""
 
 
 def _group_count(table: str, keys: str) -> str:
@@ -291,22 +308,23 @@ UNION ALL SELECT 'route_kpis_rows', {_group_count('clean', 'route')}, 'PASS'
 UNION ALL SELECT 'category_kpis_rows', {_group_count('clean', 'product_category, mode_of_shipment')}, 'PASS'"""
 
 RUN_SUMMARY = f"""{_src()}
-SELECT '{S.PIPELINE_NAME}' AS pipeline, DATE '2024-01-01' AS run_date,
+SELECT 'ecommerce_shipment_pipeline' AS pipeline, DATE '2024-01-01' AS run_date,
   (SELECT COUNT(*) FROM source_text) AS source_rows,
   (SELECT COUNT(*) FROM raw) AS landed_rows,
-  CAST({len(S.KPI_TABLES)} AS BIGINT) AS kpi_outputs,
+  CAST(3 AS BIGINT) AS kpi_outputs,
   'SUCCESS' AS status"""
 
 ROUNDTRIPS = ("csv_roundtrip", "csv_inferred_read", "parquet_roundtrip", "source_preference", "dated_landing",
               "partitioned_overwrite", "json_publish", "stream_ingest")
 
-SQL_REPORTS = {
-    "sql_report_on_time_by_warehouse": REPORT_ON_TIME,
-    "sql_report_high_risk_routes": REPORT_HIGH_RISK,
-    "sql_report_rating_distribution": REPORT_RATING,
-    "sql_report_monthly_volume": REPORT_MONTHLY,
-    "sql_report_rolling_delay": REPORT_ROLLING,
+REPORTS = {
+    "on_time_by_warehouse": REPORT_ON_TIME,
+    "high_risk_routes": REPORT_HIGH_RISK,
+    "rating_distribution": REPORT_RATING,
+    "monthly_volume": REPORT_MONTHLY,
+    "rolling_delay": REPORT_ROLLING,
 }
+KPIS = {"warehouse_kpis": WAREHOUSE_KPIS, "route_kpis": ROUTE_KPIS, "category_kpis": CATEGORY_KPIS}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -333,8 +351,13 @@ def oracle_sql() -> dict[str, str]:
         "incremental_dedup": INCREMENTAL_DEDUP,
         **{k: INGEST_RAW for k in ROUNDTRIPS},
         "table_read_query": WAREHOUSE_KPIS,
-        "stream_ingest_dedup": STREAM_DEDUP_KEYS,
+        "stream_ingest_dedup": STREAM_DEDUP,
+        "csv_foreign": CSV_FOREIGN,
+        "ingest_stamp": INGEST_STAMP,
+        "clean_counts": CLEAN_COUNTS,
+        **{f"daily_{k}": sql for k, sql in KPIS.items()},
+        **{f"published_{k}": f"SELECT *, '2024-01-01 06:00:00' AS computed_at FROM ({sql})" for k, sql in KPIS.items()},
+        **{f"daily_report_{k}": sql for k, sql in REPORTS.items()},
         "quality_report": QUALITY_REPORT,
         "run_summary": RUN_SUMMARY,
-        **SQL_REPORTS,
     }

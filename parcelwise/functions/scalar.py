@@ -40,7 +40,12 @@ def lenient_cast(col: str | Column, data_type: T.DataType) -> Column:
     Spark 4 runs with ANSI mode on, where a plain ``cast('n/a' as int)``
     raises; the reference was written for the NULL-on-failure behaviour.
     """
-    return _c(col).try_cast(data_type)
+    c = _c(col)
+    if not isinstance(data_type, T.IntegralType):
+        return c.try_cast(data_type)
+    # an integer column with gaps is often written as decimals: 4.0 is 4, 4.5 is malformed
+    number = c.try_cast(T.DoubleType())
+    return F.coalesce(c.try_cast(data_type), F.when(number % 1 == 0, number.try_cast(data_type)))
 
 
 def lenient_date(col: str | Column, formats: tuple[str, ...] = ()) -> Column:
@@ -50,7 +55,7 @@ def lenient_date(col: str | Column, formats: tuple[str, ...] = ()) -> Column:
     """
     c = _c(col)
     parsed = [c.try_cast(T.DateType())]
-    parsed += [F.try_to_date(c, F.lit(fmt)) for fmt in formats]
+    parsed += [F.try_to_date(c, fmt) for fmt in formats]
     return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
 

@@ -1,55 +1,70 @@
-"""Deduplication for incremental loads (append + dedup).
-
-Within a batch the newest row per key wins (newest ``ingested_at``, then
-newest ``shipment_date``, then every other column as a total tie-break, so
-the survivor never depends on task order). This is written as an
-aggregation - ``max`` over a struct that holds the whole row - rather than
-``row_number()`` over a key window: the aggregation is combined map-side,
-so a key that holds a third of all rows collapses to one row per task
-before the shuffle instead of being sorted whole inside a single task.
-
-Against the target only keys not already loaded are appended: a left-anti
-join on the key. Both sides hold each key at most once at that point, so
-the join cannot skew.
+"""Deduplication for incremental loads: one row per key, the newest wins within and across loads.
+
+Newest is the greatest ``ingested_at``, then ``shipment_date``, then every
+other column as a total tie-break, so the survivor never depends on task
+order. It is ``row_number() = 1`` over the key: Spark limits each key to one
+row per task before the shuffle (a window group limit), so a key that holds a
+third of all rows is not sorted whole inside one task.
+
+An incremental target is a Parquet folder partitioned by a hash bucket of the
+key. A load rewrites the buckets that its keys fall into and no others: old
+and new rows of those buckets are merged into a staging folder, which then
+replaces them. A run that was cut off while replacing is finished by the next
+one from the staging folder, so no row is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from parcelwise.session import delete_path, path_exists, write_finished
 
 RECENCY = ("ingested_at", "shipment_date")
+BUCKET = "key_bucket"
 
 
 def latest_per_key(df: DataFrame, key: str = "shipment_id", recency: Sequence[str] = RECENCY) -> DataFrame:
     """One row per key: the greatest by (recency columns, remaining columns)."""
     order = [c for c in recency if c in df.columns]
-    rest = [c for c in df.columns if c != key and c not in order]
-    best = F.max(F.struct(*[F.col(c) for c in order + rest])).alias("_best")
-    return df.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    order += [c for c in df.columns if c != key and c not in order]
+    newest = Window.partitionBy(key).orderBy(*[F.desc_nulls_last(c) for c in order])
+    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
-def new_rows(target: DataFrame, batch: DataFrame, key: str = "shipment_id",
-             recency: Sequence[str] = RECENCY) -> DataFrame:
-    """Rows of ``batch`` (deduplicated) whose key the target does not hold yet."""
-    fresh = latest_per_key(batch, key, recency)
-    return fresh.join(target.select(key), on=key, how="left_anti").select(*batch.columns)
+def _apply(spark: SparkSession, staging: str, path: str) -> None:
+    """Replace the staged buckets of the target; can be repeated."""
+    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(BUCKET).parquet(path))
+    delete_path(spark, staging)
 
 
-def create_bucketed_target(df: DataFrame, table: str, path: str, buckets: int, key: str = "shipment_id") -> None:
-    """First load of an incremental target: a table bucketed and sorted on the key.
+def merge_latest(batch: DataFrame, path: str, buckets: int, key: str = "shipment_id", recency: Sequence[str] = RECENCY) -> None:
+    """Merge a load into the target at ``path``: unseen keys are added, known keys keep their newest row.
 
-    Later anti-joins against it read each bucket in place - only the new
-    batch is shuffled (into the same bucket count), never the whole target.
+    ``buckets`` (the same for every load of a target) sets how much one task
+    rewrites; choose it so that a bucket of the whole target fits a task.
+    Loading the same batch again changes nothing.
     """
-    (df.write.mode("overwrite").format("parquet").option("path", path)
-       .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    spark = batch.sparkSession
+    staging = f"{path.rstrip('/')}__merge"
+    if write_finished(spark, staging):
+        _apply(spark, staging, path)
+    rows = batch.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    merged = latest_per_key(rows, key, recency)
+    if path_exists(spark, path):
+        target = read_target(spark, path, batch.schema, with_bucket=True)
+        touched = rows.select(BUCKET).distinct()  # at most ``buckets`` rows
+        merged = latest_per_key(target.join(F.broadcast(touched), BUCKET, "left_semi").unionByName(merged), key, recency)
+    (merged.repartition(BUCKET).write.mode("overwrite").parquet(staging))
+    _apply(spark, staging, path)
 
 
-def append_new(batch: DataFrame, table: str, key: str = "shipment_id", recency: Sequence[str] = RECENCY) -> None:
-    """Append the batch's newest row per key, for keys the bucketed target lacks."""
-    target = batch.sparkSession.table(table)
-    fresh = new_rows(target, batch, key, recency).select(*target.columns)
-    fresh.write.insertInto(table)
+def read_target(spark: SparkSession, path: str, schema: T.StructType, with_bucket: bool = False) -> DataFrame:
+    """The rows of an incremental target."""
+    full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+    rows = spark.read.schema(full).parquet(path)
+    return rows if with_bucket else rows.drop(BUCKET)

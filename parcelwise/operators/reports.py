@@ -121,24 +121,29 @@ FINISH = {
 
 # --- one report at a time ---------------------------------------------------
 
+def report(raw: DataFrame, name: str) -> DataFrame:
+    """The report of that name."""
+    return FINISH[name](_aggregate(raw, name))
+
+
 def on_time_by_warehouse(raw: DataFrame) -> DataFrame:
     """Report 1: on-time rate per block, ranked on the unrounded average."""
-    return _finish_on_time(_aggregate(raw, "on_time_by_warehouse"))
+    return report(raw, "on_time_by_warehouse")
 
 
 def high_risk_routes(raw: DataFrame) -> DataFrame:
     """Report 2: band on the unrounded rate, keep routes whose rounded rate > 30."""
-    return _finish_high_risk(_aggregate(raw, "high_risk_routes"))
+    return report(raw, "high_risk_routes")
 
 
 def rating_distribution(raw: DataFrame) -> DataFrame:
     """Report 3: each rating's share of its category's shipments."""
-    return _finish_rating(_aggregate(raw, "rating_distribution"))
+    return report(raw, "rating_distribution")
 
 
 def monthly_volume(raw: DataFrame) -> DataFrame:
     """Report 4: monthly shipments, on-time % and revenue per shipping mode."""
-    return _finish_monthly(_aggregate(raw, "monthly_volume"))
+    return report(raw, "monthly_volume")
 
 
 def rolling_delay(raw: DataFrame, window_rows: int = S.ROLLING_WINDOW_ROWS) -> DataFrame:

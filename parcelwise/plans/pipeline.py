@@ -1,6 +1,6 @@
 """The daily run: validate -> ingest -> transform -> verify -> summary.
 
-Each step is a Spark job over shared storage, in the reference's order.
+Each step is a Spark job over shared storage.
 Validation reads only the first records of the source; the source, keyed
 and landed row counts are observed during the single landing write (no
 separate counting scan), and each KPI output's count is observed in its
@@ -27,15 +27,10 @@ from parcelwise.operators import kpis as A
 from parcelwise.operators import reports as R
 from parcelwise.plans import quality as Q
 from parcelwise.session import ensure_checkpoint_dir
-from parcelwise.sinks.writers import land_partitioned, write_output
+from parcelwise.sinks.ddl import ensure_database, ensure_kpi_tables
+from parcelwise.sinks.writers import conform_kpis, land_partitioned, publish_table, write_output
 from parcelwise.sources.readers import read_landed, read_source_csv
 
-KPI_BUILDERS = {
-    "warehouse_kpis": A.warehouse_kpis,
-    "route_kpis": A.route_kpis,
-    "category_kpis": A.category_kpis,
-}
-
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("pipeline", T.StringType()),
     T.StructField("run_date", T.DateType()),
@@ -61,23 +56,27 @@ class RunResult:
     status: str = "RUNNING"
     step_seconds: dict[str, float] = field(default_factory=dict)
     run_log: str = ""
+    tables: dict[str, str] = field(default_factory=dict)
 
 
 def output_paths(base: str) -> dict[str, str]:
-    return {name: f"{base.rstrip('/')}/{name}_output.parquet" for name in KPI_BUILDERS}
+    return {name: f"{base.rstrip('/')}/{name}_output.parquet" for name in A.PUBLISHED}
 
 
-def ingest_step(spark: SparkSession, source_path: str, landed_path: str, run_ts=None) -> tuple[int, int, int]:
+def ingest_step(spark: SparkSession, source_path: str, landed_path: str, run_ts=None,
+                date_formats: tuple[str, ...] = (), multi_line: bool = False) -> tuple[int, int, int]:
     """Source CSV -> typed, keyed rows -> partitioned full refresh.
 
+    ``date_formats`` are tried after ISO dates; ``multi_line`` is the reader's.
+
     Returns (source rows, keyed source rows, rows landed), all observed
     during the landing write itself - the source is read once.
     """
     source_obs = Observation("source")
-    text = read_source_csv(spark, source_path)
+    text = read_source_csv(spark, source_path, multi_line=multi_line)
     text = text.observe(source_obs, F.count(F.lit(1)).alias("rows"),
                         F.count(missing_to_null(F.col("shipment_id"))).alias("keyed"))
-    raw, landed_obs = G.observed(G.ingest(text, run_ts=run_ts), "landed")
+    raw, landed_obs = G.observed(G.ingest(text, run_ts=run_ts, date_formats=date_formats), "landed")
     land_partitioned(raw, landed_path)
     return int(source_obs.get["rows"]), int(source_obs.get["keyed"]), int(landed_obs.get["rows"])
 
@@ -116,6 +115,15 @@ def reports_step(spark: SparkSession, landed_path: str, base: str) -> dict[str,
     return rows
 
 
+def publish_step(spark: SparkSession, outputs: dict[str, str], database: str, base: str, computed_at) -> dict[str, str]:
+    """The written KPI outputs into the warehouse tables of ``database`` (created if missing), stamped ``computed_at``."""
+    ensure_database(spark, database, f"{base}/{database}.db")
+    tables = ensure_kpi_tables(spark, f"{base}/{database}", database)
+    for name, table in tables.items():
+        publish_table(conform_kpis(spark.read.parquet(outputs[name]), name, computed_at), table)
+    return tables
+
+
 def summary_frame(spark: SparkSession, result: RunResult) -> DataFrame:
     """The run summary as one row (pipeline, run date, rows, outputs, status)."""
     row = (S.PIPELINE_NAME, result.run_date, result.source_rows, result.landed_rows,
@@ -124,8 +132,13 @@ def summary_frame(spark: SparkSession, result: RunResult) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str | dt.date,
-                 run_ts=None, run_log: str | None = None) -> RunResult:
-    """Run the five steps; a failed check raises and stops the run."""
+                 run_ts=None, run_log: str | None = None, date_formats: tuple[str, ...] = (),
+                 multi_line: bool = False, database: str | None = None) -> RunResult:
+    """Run the steps; a failed check raises and stops the run.
+
+    With ``database`` the checked KPI outputs are also published to its
+    warehouse tables.
+    """
     if isinstance(run_date, str):
         run_date = dt.date.fromisoformat(run_date)
     base = base.rstrip("/")
@@ -138,10 +151,10 @@ def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str
         result.step_seconds[step] = round(now - clock, 3)
         clock = now
 
-    Q.require_rows(spark, source_path)
+    Q.require_rows(spark, source_path, multi_line)
     lap("validate")
     result.source_rows, result.valid_rows, result.landed_rows = ingest_step(
-        spark, source_path, result.landed_path, run_ts)
+        spark, source_path, result.landed_path, run_ts, date_formats, multi_line)
     lap("ingest")
     output_rows = transform_step(spark, result.landed_path, result.outputs)
     result.clean_rows, result.clean_columns = output_rows.pop("clean"), output_rows.pop("clean_columns")
@@ -149,6 +162,10 @@ def run_pipeline(spark: SparkSession, source_path: str, base: str, run_date: str
     lap("transform")
     Q.require_non_empty(Q.output_counts(spark, result.outputs))
     lap("verify")
+    if database:
+        stamp = G.run_timestamp(run_ts)
+        result.tables = publish_step(spark, result.outputs, database, base, stamp)
+        lap("publish")
     result.status = "SUCCESS"
     result.run_log = run_log or f"{base}/run_log"
     summary_frame(spark, result).write.mode("append").parquet(result.run_log)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from parcelwise import schema as S
 from parcelwise.functions import missing_to_null
-from parcelwise.sources.readers import path_exists, read_source_csv
+from parcelwise.session import path_exists, write_finished
+from parcelwise.sources.readers import read_source_csv
 
 
 class QualityError(RuntimeError):
@@ -24,22 +25,23 @@ class QualityError(RuntimeError):
 def require_source(spark: SparkSession, path: str) -> None:
     """Q1: the source exists."""
     if not path_exists(spark, path):
-        raise FileNotFoundError(f"source data not found at {path}")
+        raise FileNotFoundError(f"nothing to ingest: {path} does not exist")
 
 
-def require_rows(spark: SparkSession, path: str) -> None:
+def require_rows(spark: SparkSession, path: str, multi_line: bool = False) -> None:
     """Q1 + Q2: the source exists and holds at least one record (reads only the first rows)."""
     require_source(spark, path)
-    if read_source_csv(spark, path).isEmpty():
-        raise QualityError(f"source {path} is empty; aborting the run")
+    if read_source_csv(spark, path, multi_line=multi_line).isEmpty():
+        raise QualityError(f"no records below the header of {path}")
 
 
-def source_row_count(spark: SparkSession, path: str) -> int:
-    """Q2 + Q3: count source records (header excluded, quoted newlines safe); empty aborts."""
+def source_row_count(spark: SparkSession, path: str, multi_line: bool = False) -> int:
+    """Q2 + Q3: count source records, header excluded. A quoted line break belongs to its record
+    if ``multi_line`` is set, as in the reader; no record at all stops the run."""
     require_source(spark, path)
-    n = read_source_csv(spark, path).count()
+    n = read_source_csv(spark, path, multi_line=multi_line).count()
     if n == 0:
-        raise QualityError(f"source {path} is empty; aborting the run")
+        raise QualityError(f"no records below the header of {path}")
     return n
 
 
@@ -51,10 +53,10 @@ def count_row(df: DataFrame, check: str) -> DataFrame:
 def output_counts(spark: SparkSession, outputs: dict[str, str]) -> DataFrame:
     """Q5: one row per output with its row count; reading a missing output fails."""
     if not outputs:
-        raise QualityError("no KPI outputs found; the transformation may have failed")
-    missing = [name for name, path in outputs.items() if not path_exists(spark, path)]
+        raise QualityError("the run names no outputs to check")
+    missing = [name for name, path in outputs.items() if not write_finished(spark, path)]
     if missing:
-        raise QualityError(f"KPI outputs missing: {missing}")
+        raise QualityError(f"not written, or not to the end: {', '.join(missing)}")
     rows = [count_row(spark.read.parquet(path), f"{name}_rows") for name, path in outputs.items()]
     return reduce(DataFrame.unionByName, rows)
 

@@ -8,7 +8,6 @@ return the data read back.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +22,7 @@ from parcelwise.operators import reports as R
 from parcelwise.operators.sample import first_rows
 from parcelwise.plans import pipeline as P
 from parcelwise.plans import quality as Q
-from parcelwise.plans import sql as SQL
-from parcelwise.session import shared_path
+from parcelwise.session import delete_path, shared_path
 from parcelwise.sinks import ddl as K
 from parcelwise.sinks import writers as W
 from parcelwise.sources import readers as SR
@@ -36,6 +34,7 @@ from parcelwise.streaming import messages as T1
 RUN_DATE = "2024-01-01"
 RUN_TS = "2024-01-01 06:00:00"
 NEXT_RUN_TS = "2024-01-02 06:00:00"
+LATE_TS = "2023-12-30 06:00:00"
 DEDUP_CUTOFF = "1997-01-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,13 +165,15 @@ def q_source_preference(spark, sf_dir):
     base = shared_path(spark, "preference")
     csv = _land_source_csv(spark, sf_dir, f"{base}/source_csv")
     landed = f"{base}/landed"
-    first, kind = SR.load_raw(spark, landed, csv)          # nothing landed yet: the CSV
-    if kind != "csv":
-        raise RuntimeError(f"expected the CSV source before landing, got {kind}")
+    kinds = [SR.load_raw(spark, landed, csv)[1]]                         # nothing landed yet: the CSV
+    W.land_raw(raw_shipments(spark, sf_dir).limit(0), f"{base}/unfinished")
+    delete_path(spark, f"{base}/unfinished/_SUCCESS")
+    kinds.append(SR.load_raw(spark, f"{base}/unfinished", csv)[1])       # a write that never finished: the CSV
+    first, _ = SR.load_raw(spark, landed, csv)
     W.land_raw(G.ingest(first, run_ts=RUN_TS), landed)
-    second, kind = SR.load_raw(spark, landed, csv)         # now the landed Parquet
-    if kind != "parquet":
-        raise RuntimeError(f"expected the landed Parquet after landing, got {kind}")
+    second, kind = SR.load_raw(spark, landed, csv)                       # now the landed Parquet
+    if kinds + [kind] != ["csv", "csv", "parquet"]:
+        raise RuntimeError(f"unexpected sources: {kinds + [kind]}")
     return _no_run_time(second)
 
 
@@ -183,42 +184,103 @@ def q_dated_landing(spark, sf_dir, ds: str = RUN_DATE):
     return _no_run_time(G.ingest(history.filter(F.col("ds") == ds).drop("ds"), run_ts=RUN_TS))
 
 
-def q_partitioned_overwrite(spark, sf_dir):
-    """DDL (dataset + partitioned raw table), then the full refresh run twice:
-    a rerun replaces the rows, never duplicates them."""
+def q_csv_foreign(spark, sf_dir):
+    """A file as other tools write it: columns in another order, commas, quotes and line breaks
+    inside fields, integers as decimals, and US dates."""
+    path = shared_path(spark, "foreign_csv")
+    text = source_text(spark, sf_dir).withColumns({
+        "route": F.concat(F.col("route"), F.lit(', "north"\nline 2 ')),
+        "customer_rating": F.concat(F.col("customer_rating"), F.lit(".0")),
+        "scheduled_days": F.concat(F.col("scheduled_days"), F.lit(".00")),
+        "shipment_date": F.date_format(F.col("shipment_date").try_cast("date"), "MM/dd/yyyy"),
+        "unknown_column": F.lit("x, y"),
+    })
+    W.write_csv(text.select(*reversed(text.columns)), path)
+    rows = SR.read_source_csv(spark, path, multi_line=True)
+    return _no_run_time(G.ingest(rows, run_ts=RUN_TS, date_formats=("MM/dd/yyyy",)))
+
+
+def q_ingest_stamp(spark, sf_dir):
+    path = shared_path(spark, "raw_flat")
+    W.land_raw(raw_shipments(spark, sf_dir), path)
+    stamp = F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("ingested_at")
+    return SR.read_landed(spark, path).select("shipment_id", stamp)
+
+
+def _own_database(spark) -> tuple[str, str]:
+    """A database name and a folder of this call's own, so that calls never share tables."""
     base = shared_path(spark, "warehouse")
-    K.ensure_database(spark, S.DATASET, f"{base}/{S.DATASET}.db")
-    table = K.ensure_raw_table(spark, f"{base}/{S.RAW_TABLE}")
-    raw = raw_shipments(spark, sf_dir)
-    W.land_partitioned_table(raw, table)
-    W.land_partitioned_table(raw, table)
+    name = f"{S.DATASET}_{base.rsplit('-', 1)[1]}"
+    K.ensure_database(spark, name, f"{base}/{name}.db")
+    return name, base
+
+
+def q_partitioned_overwrite(spark, sf_dir):
+    """DDL (dataset + partitioned raw table), then the full refresh."""
+    database, base = _own_database(spark)
+    table = K.ensure_raw_table(spark, f"{base}/{S.RAW_TABLE}", database)
+    W.land_partitioned_table(raw_shipments(spark, sf_dir), table)
     return _no_run_time(spark.table(table)).select(*S.SOURCE_COLUMNS)
 
 
+def _daily_kpis(spark, sf_dir):
+    """The KPI outputs as the daily job's transform step writes them, and its counts."""
+    base = shared_path(spark, "daily")
+    W.land_raw(raw_shipments(spark, sf_dir), f"{base}/{S.RAW_TABLE}")
+    outputs = P.output_paths(base)
+    return base, outputs, P.transform_step(spark, f"{base}/{S.RAW_TABLE}", outputs)
+
+
+def _daily_kpi(name):
+    def run(spark, sf_dir):
+        return spark.read.parquet(_daily_kpis(spark, sf_dir)[1][name])
+    run.__name__ = f"q_daily_{name}"
+    return run
+
+
+def _daily_report(name):
+    def run(spark, sf_dir):
+        base = shared_path(spark, "daily")
+        W.land_raw(raw_shipments(spark, sf_dir), f"{base}/{S.RAW_TABLE}")
+        P.reports_step(spark, f"{base}/{S.RAW_TABLE}", base)
+        return spark.read.parquet(f"{base}/report_{name}.parquet")
+    run.__name__ = f"q_daily_report_{name}"
+    return run
+
+
+def q_clean_counts(spark, sf_dir):
+    counts = _daily_kpis(spark, sf_dir)[2]
+    return spark.createDataFrame([(counts["clean"], counts["clean_columns"])], "clean_rows bigint, clean_columns bigint")
+
+
+def _published(name):
+    """A KPI table published to the warehouse by DDL and positional insert, read back by name or by query."""
+    def run(spark, sf_dir):
+        base, outputs, _ = _daily_kpis(spark, sf_dir)
+        database = f"{S.DATASET}_{base.rsplit('-', 1)[1]}"
+        table = P.publish_step(spark, outputs, database, base, RUN_TS)[name]
+        rows = SR.read_query(spark, f"SELECT * FROM {table}") if name == "warehouse_kpis" else SR.read_table(spark, table)
+        return rows.withColumn("computed_at", F.date_format("computed_at", "yyyy-MM-dd HH:mm:ss"))
+    run.__name__ = f"q_published_{name}"
+    return run
+
+
 def q_table_read_query(spark, sf_dir):
-    base = shared_path(spark, "warehouse")
-    K.ensure_database(spark, S.DATASET, f"{base}/{S.DATASET}.db")
-    tables = K.ensure_kpi_tables(spark, base)
-    cleaned = clean_rows(spark, sf_dir)
-    for name, build in P.KPI_BUILDERS.items():
-        W.publish_table(W.conform_kpis(build(cleaned), name, RUN_TS), tables[name])
-    published = SR.read_query(spark, f"SELECT * FROM {tables['warehouse_kpis']}")
-    return published.drop("computed_at")
-
-
-def q_incremental_dedup(spark, sf_dir, cutoff: str = DEDUP_CUTOFF, buckets: int = 8):
-    """Two daily loads into a target bucketed on shipment_id: day 1 deduplicated,
-    day 2 appends only keys the target lacks (anti-join reads the target's
-    buckets in place)."""
+    return _published("warehouse_kpis")(spark, sf_dir).drop("computed_at")
+
+
+def q_incremental_dedup(spark, sf_dir, cutoff: str = DEDUP_CUTOFF):
+    """Two daily loads into a bucketed target: the second brings new keys and newer rows of known ones."""
     path = shared_path(spark, "incremental")
-    table = f"incremental_{path.rsplit('-', 1)[1]}"
     text = source_text(spark, sf_dir)
-    early = F.col("shipment_date") < F.lit(cutoff).cast("date")
+    early = F.coalesce(F.col("shipment_date") < F.lit(cutoff).cast("date"), F.lit(False))
     first = G.ingest(text, run_ts=RUN_TS).filter(early)
-    second = G.ingest(text, run_ts=NEXT_RUN_TS).filter(~early | F.col("shipment_date").isNull())
-    D.create_bucketed_target(D.latest_per_key(first), table, path, buckets)   # day 1
-    D.append_new(second, table)                                               # day 2
-    return _no_run_time(spark.table(table)).select(*S.SOURCE_COLUMNS)
+    second = G.ingest(text, run_ts=NEXT_RUN_TS)
+    changed = second.filter(early & F.col("customer_id").endswith("7")).withColumn("route", F.lit("rerouted"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    D.merge_latest(first, path, buckets)                                            # day 1
+    D.merge_latest(second.filter(~early).unionByName(changed), path, buckets)       # day 2
+    return _no_run_time(D.read_target(spark, path, first.schema)).select(*S.SOURCE_COLUMNS)
 
 
 # --- messages and streams ---
@@ -243,11 +305,15 @@ def q_stream_ingest(spark, sf_dir):
 
 
 def q_stream_ingest_dedup(spark, sf_dir):
-    topic = _publish(spark, sf_dir)
-    base = shared_path(spark, "stream")
-    events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint",
-                                  dedup_delay="1 hour")
-    return events.select("shipment_id")
+    """Messages arrive twice, and those of some customers days late: no id is lost, the newest row of each stays."""
+    topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
+    raw = raw_shipments(spark, sf_dir)
+    late = F.coalesce(F.col("customer_id").endswith("3"), F.lit(False))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for delivery in (raw.filter(~late), raw.filter(late).withColumn("ingested_at", F.lit(LATE_TS).cast("timestamp")), raw.filter(~late)):
+        T1.publish(delivery, topic)
+        events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint", dedup_buckets=buckets)
+    return _no_run_time(events).select(*S.SOURCE_COLUMNS)
 
 
 # --- the daily run and its checks ---
@@ -269,17 +335,6 @@ def q_run_summary(spark, sf_dir):
     return spark.read.schema(P.RUN_LOG_SCHEMA).parquet(result.run_log)
 
 
-# --- the reports as Spark SQL text ---
-
-def _sql_report(name):
-    def run(spark, sf_dir):
-        view = f"raw_shipments_{uuid.uuid4().hex[:12]}"
-        raw_shipments(spark, sf_dir).createOrReplaceTempView(view)
-        return SQL.run_report(spark, name, view)
-    run.__name__ = f"q_sql_report_{name}"
-    return run
-
-
 QUERIES: dict[str, Query] = {
     "ingest_raw": q_ingest_raw,
     "ingest_counts": q_ingest_counts,
@@ -313,5 +368,10 @@ QUERIES: dict[str, Query] = {
     "stream_ingest_dedup": q_stream_ingest_dedup,
     "quality_report": q_quality_report,
     "run_summary": q_run_summary,
-    **{f"sql_report_{name}": _sql_report(name) for name in SQL.REPORTS},
+    "csv_foreign": q_csv_foreign,
+    "ingest_stamp": q_ingest_stamp,
+    "clean_counts": q_clean_counts,
+    **{f"daily_{name}": _daily_kpi(name) for name in A.PUBLISHED},
+    **{f"published_{name}": _published(name) for name in A.PUBLISHED},
+    **{f"daily_report_{name}": _daily_report(name) for name in R.KEYS},
 }

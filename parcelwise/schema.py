@@ -32,7 +32,6 @@ MISSING_TOKENS = (
 # Dataset and table names used by the reference's warehouse layout.
 DATASET = "ecommerce_dw"
 RAW_TABLE = "raw_shipments"
-KPI_TABLES = ("warehouse_kpis", "route_kpis", "category_kpis")
 STREAM_TABLE = "realtime_events"
 PIPELINE_NAME = "ecommerce_shipment_pipeline"
 
@@ -59,11 +58,6 @@ RAW_FIELDS: list[tuple[str, T.DataType, bool]] = [
 ]
 
 SOURCE_COLUMNS = [name for name, _, _ in RAW_FIELDS]
-STRING_COLUMNS = [n for n, t, _ in RAW_FIELDS if isinstance(t, T.StringType)]
-
-# Typed source columns (the CSV without ingested_at); the key is nullable here
-# because it is only enforced after the null-key drop.
-SOURCE_SCHEMA = T.StructType([T.StructField(n, t, True) for n, t, _ in RAW_FIELDS])
 
 # What a CSV file holds before typing: every column as text.
 SOURCE_TEXT_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in SOURCE_COLUMNS])

@@ -70,3 +70,27 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop objects, whatever store the path names."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when a file or folder exists at ``path``; asks for that one path and lists nothing."""
+    fs, hpath = _hadoop_path(spark, path)
+    return fs.exists(hpath)
+
+
+def write_finished(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a write that Spark has committed (its ``_SUCCESS`` file)."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that a job of ours has made."""
+    fs, hpath = _hadoop_path(spark, path)
+    fs.delete(hpath, True)

@@ -1,7 +1,8 @@
 """Idempotent DDL: dataset, partitioned raw table, KPI tables.
 
 Every object gets an explicit LOCATION under shared storage, so nothing
-lands in a driver-local warehouse folder.
+lands in a driver-local warehouse folder. The database is always named by the
+caller: tables of that name that exist already are kept and written to.
 """
 
 from __future__ import annotations
@@ -16,13 +17,17 @@ def _q(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def ensure_database(spark: SparkSession, name: str = S.DATASET, location: str | None = None) -> None:
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(name)}{loc}")
 
 
-def ensure_raw_table(spark: SparkSession, location: str, database: str = S.DATASET,
-                     table: str = S.RAW_TABLE) -> str:
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Forget a database and its tables (their files stay, as every table has its own location)."""
+    spark.sql(f"DROP DATABASE IF EXISTS {_q(name)} CASCADE")
+
+
+def ensure_raw_table(spark: SparkSession, location: str, database: str, table: str = S.RAW_TABLE) -> str:
     """Raw table partitioned by shipment_date (clustering comes from the writer's sort)."""
     name = f"{database}.{table}"
     spark.sql(
@@ -32,7 +37,7 @@ def ensure_raw_table(spark: SparkSession, location: str, database: str = S.DATAS
     return name
 
 
-def ensure_kpi_tables(spark: SparkSession, base: str, database: str = S.DATASET) -> dict[str, str]:
+def ensure_kpi_tables(spark: SparkSession, base: str, database: str) -> dict[str, str]:
     """KPI tables as their DDL declares them, plus ``computed_at``."""
     names = {}
     for table, schema in S.KPI_SCHEMAS.items():

@@ -16,7 +16,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelwise import schema as S
@@ -51,33 +51,25 @@ def land_partitioned(df: DataFrame, path: str, dynamic: bool = False,
        .parquet(path))
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+
+
 def land_partitioned_table(df: DataFrame, table: str, dynamic: bool = False,
                            partition_col: str = "shipment_date", cluster_col: str = "warehouse_block") -> None:
     """The same refresh into a catalog table created by the DDL step.
 
-    Rows go through ``insertInto`` so the catalog records the partitions
-    (readers then prune partitions from the catalog instead of listing every
-    folder); columns are matched by the table's own order. ``insertInto``
-    ignores a per-write overwrite-mode option, so the session setting is set
-    for the write and restored after it.
+    Files are written to the table's location with a per-write overwrite
+    mode (``insertInto`` would need a setting of the whole session), then the
+    catalog takes over the partitions that appeared or went, so readers prune
+    partitions from the catalog instead of listing every folder.
     """
     spark = df.sparkSession
-    columns = spark.table(table).columns
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
-    try:
-        (df.hint("rebalance", partition_col)
-           .sortWithinPartitions(partition_col, cluster_col)
-           .select(*columns)
-           .write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-           .insertInto(table, overwrite=True))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-
-
-def append_rows(df: DataFrame, path: str) -> None:
-    """Append to a Parquet table (the incremental half of append + dedup)."""
-    df.write.mode("append").parquet(path)
+    columns = [f for f in spark.table(table).schema.fields]
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
+    land_partitioned(typed, table_location(spark, table), dynamic, partition_col, cluster_col)
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def conform_kpis(df: DataFrame, table: str, computed_at) -> DataFrame:
@@ -101,11 +93,7 @@ def publish_table(df: DataFrame, table: str, fmt: str | None = None, **options:
         df.write.format(fmt).option("table", table).options(**options).mode("overwrite").save()
 
 
-def write_text_lines(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One text line per row (a single string column)."""
-    df.write.mode(mode).text(path)
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header row; NULL written as an empty field."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header row; NULL is an empty field, and spaces, quotes, commas and line breaks survive."""
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

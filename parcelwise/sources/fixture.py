@@ -6,18 +6,14 @@ would return them) from lineitem and its dimensions, so every query's work
 grows with the given tables. Missing keys, the ``n/a`` and ``not-a-date``
 values and repeated shipment ids come from integer rules on the keys.
 
-Join plan (scale notes): every dimension side (region, nation, supplier
-and customer with their nation's region key, orders with the customer's
-region key, part) is broadcast only after one bounded probe job proves it
-fits the session's broadcast threshold (base-table counts plus the key
-uniqueness that bounds each join's output); beyond that bound it is left to
-a sort-merge join, as at 100 TB where orders, part, customer and supplier
-all grow with the data. Lineitem takes part in exactly three fact-sized
-equi-joins (orderkey, then suppkey, then partkey) and is never broadcast;
-the rows crossing those shuffles carry integer region keys only, the part's
-strings are attached by the last of them, and region names come from the
-5-row region table at the end. Only the referenced columns are read from
-each parquet file.
+Join plan (scale notes): plain equi-joins; Catalyst broadcasts a side whose
+file statistics are under the session's threshold and adaptive execution one
+whose measured shuffle size is, everything else is a sort-merge join with
+skew handling. Lineitem takes part in exactly three fact-sized joins
+(orderkey, suppkey, partkey); the rows crossing them carry integer region keys
+only, the part's strings are attached by the last of them, and region names
+come from the 5-row region table at the end. Only the referenced columns are
+read from each file.
 """
 
 from __future__ import annotations
@@ -25,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.plans.joins import broadcast_limit_bytes, cap_rows, probe_tables, spread_narrow
 from parcelwise.session import table_path
 
 BLOCKS = "ABCDE"
@@ -62,76 +57,16 @@ def shipments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders_t = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     part = _read(spark, sf_dir, "part", "p_partkey", "p_type", "p_size")
 
-    # Only integer region keys travel with the fact rows through the three
-    # fact-sized shuffles (orderkey, suppkey, partkey); the part's strings join
-    # last, and the region names are attached at the end through the 5-row
-    # region table. Inner joins commute, so the rows are those of the
-    # all-inner-join definition.
-    def supplier_of(nation_side):
-        return (supplier_t.join(nation_side, F.col("s_nationkey") == F.col("n_nationkey"))
+    supplier = (supplier_t.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
                 .select("s_suppkey", F.col("n_regionkey").alias("s_regionkey")))
-
-    def customer_of(nation_side):
-        return (customer_t.join(nation_side, F.col("c_nationkey") == F.col("n_nationkey"))
+    customer = (customer_t.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
                 .select("c_custkey", F.col("n_regionkey").alias("c_regionkey")))
-
-    def orders_of(customer):
-        return (orders_t.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-                .select("o_orderkey", "o_custkey", "c_regionkey"))
-
-    # Prove each dimension side's size before hinting a broadcast. One bounded
-    # job probes the base tables (row count, and key uniqueness where a join
-    # relies on it): an inner join on a unique dimension key keeps at most the
-    # other side's row count, so e.g. orders x customer-region has at most
-    # |orders| rows when c_custkey is unique. A side whose bound is not proven
-    # (a table beyond its cap) is left to a sort-merge join.
-    sides = {"region": region, "nation": nation, "supplier": supplier_of(nation), "customer": customer_of(nation),
-             "orders": orders_of(customer_of(nation)), "part": part}
-    cap = {name: cap_rows(df) for name, df in sides.items()}
-    probe = probe_tables({
-        "region": (region, None, cap["region"]),
-        "nation": (nation, "n_nationkey", cap["nation"]),
-        "supplier": (supplier_t, None, cap["supplier"]),
-        "customer": (customer_t, "c_custkey", cap["customer"]),
-        "orders": (orders_t, None, cap["orders"]),
-        "part": (part, None, cap["part"]),
-    })
-
-    budget = broadcast_limit_bytes(region)
-
-    def within(table, limit):
-        # Rows under the side's cap, and the probed bytes (string lengths
-        # measured) under the broadcast threshold.
-        rows, _, size = probe[table]
-        return 0 < limit and rows <= limit and size <= budget
-
-    def unique(table):
-        n, d, _ = probe[table]
-        return d is not None and n == d
-
-    nation_key_unique = within("nation", cap["nation"]) and unique("nation")
-    fits = {
-        "region": within("region", cap["region"]),
-        "nation": within("nation", cap["nation"]),
-        "supplier": nation_key_unique and within("supplier", cap["supplier"]),
-        "customer": nation_key_unique and within("customer", cap["customer"]),
-        "orders": nation_key_unique and within("customer", cap["customer"]) and unique("customer")
-                  and within("orders", cap["orders"]),
-        "part": within("part", cap["part"]),
-    }
-
-    def hint(name, df):
-        return F.broadcast(df) if fits[name] else df
-
-    nation_h = hint("nation", nation)
-    supplier = hint("supplier", supplier_of(nation_h))
-    orders = hint("orders", orders_of(hint("customer", customer_of(nation_h))))
-    part = hint("part", part)
-    s_region = hint("region", region.select(F.col("r_regionkey").alias("sr_key"), F.col("r_name").alias("s_region")))
-    c_region = hint("region", region.select(F.col("r_regionkey").alias("cr_key"), F.col("r_name").alias("c_region")))
-
-    li = spread_narrow(_read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-                             "l_linenumber", "l_extendedprice", "l_discount", "l_shipdate"), "l_orderkey")
+    orders = (orders_t.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+              .select("o_orderkey", "o_custkey", "c_regionkey"))
+    s_region = region.select(F.col("r_regionkey").alias("sr_key"), F.col("r_name").alias("s_region"))
+    c_region = region.select(F.col("r_regionkey").alias("cr_key"), F.col("r_name").alias("c_region"))
+    li = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+               "l_linenumber", "l_extendedprice", "l_discount", "l_shipdate")
     joined = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
               .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
               .join(part, F.col("l_partkey") == F.col("p_partkey"))

@@ -6,27 +6,38 @@ schema inference is offered only as the explicit ``read_csv_inferred``.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelwise import schema as S
+from parcelwise.session import write_finished
 
 
-def read_source_csv(spark: SparkSession, path: str | list[str], corrupt_column: str | None = None) -> DataFrame:
+def read_source_csv(spark: SparkSession, path: str | list[str], corrupt_column: str | None = None,
+                    multi_line: bool = False) -> DataFrame:
     """A shipments CSV with a header row, every column as text (typed later by ingestion).
 
+    Columns are bound by their header name: their order in the file does not
+    matter, missing ones are NULL, others are ignored. A file whose header
+    differs from the first file's stops the job instead of shifting columns.
+    A quote inside a quoted field is doubled. ``multi_line`` reads quoted line
+    breaks as part of the field; it is off by default, as such a file cannot
+    be split and is read by one task.
+
     PERMISSIVE mode: a short or broken line yields NULL fields, never a failed
     job. With ``corrupt_column`` such a line is also kept whole in that column
     (NULL for well-formed lines), for reject reporting.
     """
-    schema = S.SOURCE_TEXT_SCHEMA
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", False)
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", multi_line)
+              .option("escape", '"').option("enforceSchema", False))
+    found = reader.csv(path).schema  # reads the first header line
     if corrupt_column:
-        schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+        found = T.StructType(found.fields + [T.StructField(corrupt_column, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.schema(schema).csv(path)
+    rows = reader.schema(found).csv(path)
+    wanted = S.SOURCE_COLUMNS + ([corrupt_column] if corrupt_column else [])
+    return rows.select(*[F.col(c) if c in found.names else F.lit(None).cast("string").alias(c) for c in wanted])
 
 
 def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -39,24 +50,17 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.RAW_SCHEMA).parquet(path).select(*S.RAW_SCHEMA.fieldNames())
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when a file or directory exists at ``path`` on the cluster's file system."""
-    try:
-        spark.read.format("binaryFile").load(path)  # resolving the relation lists the path
-        return True
-    except AnalysisException:
-        return False
-
-
-def load_raw(spark: SparkSession, landed_path: str, csv_path: str) -> tuple[DataFrame, str]:
+def load_raw(spark: SparkSession, landed_path: str, csv_path: str, multi_line: bool = False) -> tuple[DataFrame, str]:
     """Prefer the landed Parquet table; fall back to the source CSV.
 
-    Returns the frame and which one was used ("parquet" or "csv"); the CSV
-    branch returns text columns for ingestion to type.
+    A folder counts as landed once its write is committed; an empty or
+    unfinished one does not. Returns the frame and which one was used
+    ("parquet" or "csv"); the CSV branch returns text columns for ingestion
+    to type.
     """
-    if path_exists(spark, landed_path):
+    if write_finished(spark, landed_path):
         return read_landed(spark, landed_path), "parquet"
-    return read_source_csv(spark, csv_path), "csv"
+    return read_source_csv(spark, csv_path, multi_line=multi_line), "csv"
 
 
 def read_table(spark: SparkSession, name: str, fmt: str | None = None, **options: str) -> DataFrame:

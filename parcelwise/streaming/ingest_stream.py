@@ -4,8 +4,10 @@
 lenient casts, key check) -> ``writeStream`` to Parquet with a checkpoint in
 shared storage, so a restarted query resumes from its last committed offsets
 (exactly-once into the file sink). Delivery can repeat; with
-``dedup_delay`` the stream drops repeated shipment ids seen within the
-watermark (state is bounded by the watermark, not by the stream's length).
+``dedup_buckets`` every batch is merged by shipment id into a bucketed sink
+(``operators.dedup.merge_latest``): an id that was not seen before is never
+dropped, however late, and a known id keeps its newest row. A batch that is
+repeated after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelwise import schema as S
+from parcelwise.operators.dedup import merge_latest, read_target
 from parcelwise.operators.ingest import typed_columns
 from parcelwise.streaming.messages import decode
 
@@ -30,27 +33,26 @@ def subscribe(spark: SparkSession, topic: str, fmt: str = "text", max_files_per_
     return reader.option("subscribe", topic).options(**options).load()
 
 
-def typed_events(messages: DataFrame, dedup_delay: str | None = None) -> DataFrame:
+def typed_events(messages: DataFrame) -> DataFrame:
     """Decoded, typed, keyed events with ``ingested_at`` (publisher's, else now)."""
     text = decode(messages)
     stamped = F.coalesce(F.col("ingested_at").try_cast("timestamp"),
                          F.date_trunc("second", F.current_timestamp())).alias("ingested_at")
     events = text.select(*typed_columns(), stamped).dropna(subset=["shipment_id"])
-    if dedup_delay:
-        events = events.withWatermark("ingested_at", dedup_delay).dropDuplicatesWithinWatermark(["shipment_id"])
     return events.select(*S.RAW_SCHEMA.fieldNames())
 
 
 def start_ingest(spark: SparkSession, topic: str, sink: str, checkpoint: str, fmt: str = "text",
-                 dedup_delay: str | None = None, available_now: bool = True,
+                 dedup_buckets: int | None = None, available_now: bool = True,
                  processing_time: str | None = None, max_files_per_trigger: int | None = None,
                  **options: str) -> StreamingQuery:
-    """Start the append stream into ``sink`` (Parquet)."""
-    events = typed_events(subscribe(spark, topic, fmt, max_files_per_trigger, **options), dedup_delay)
-    writer = (events.writeStream.format("parquet")
-              .option("path", sink)
-              .option("checkpointLocation", checkpoint)
-              .outputMode("append"))
+    """Start the stream into ``sink`` (Parquet): append, or with ``dedup_buckets`` a keyed merge per batch."""
+    events = typed_events(subscribe(spark, topic, fmt, max_files_per_trigger, **options))
+    writer = events.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    if dedup_buckets:
+        writer = writer.foreachBatch(lambda batch, _: merge_latest(batch, sink, dedup_buckets))
+    else:
+        writer = writer.format("parquet").option("path", sink)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
@@ -64,4 +66,6 @@ def run_to_completion(spark: SparkSession, topic: str, sink: str, checkpoint: st
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"stream ingest failed: {query.exception()}")
+    if kwargs.get("dedup_buckets"):
+        return read_target(spark, sink, S.RAW_SCHEMA)
     return spark.read.schema(S.RAW_SCHEMA).parquet(sink)

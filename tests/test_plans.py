@@ -5,7 +5,6 @@ import pytest
 import __spark_entry__ as E
 from parcelwise.operators import dedup as D
 from parcelwise.plans import registry as Rg
-from parcelwise.plans.joins import broadcast_if_bounded, probe_tables, row_width
 from parcelwise.session import shared_path
 from parcelwise.sinks import writers as W
 from parcelwise.sources import readers as SR
@@ -19,9 +18,9 @@ def plan_text(df, capsys, mode="formatted"):
     return capsys.readouterr().out
 
 
-@pytest.mark.parametrize("key", [k for k in sorted(E.queries()) if not any(
+@pytest.mark.parametrize("key", [k for k in sorted(Rg.QUERIES) if not any(
     s in k for s in ("roundtrip", "landing", "overwrite", "table_read", "stream", "json", "quality", "summary",
-                     "preference", "incremental", "inferred"))])
+                     "preference", "incremental", "inferred", "csv_foreign", "daily", "published", "stamp", "clean_counts"))])
 def test_no_python_udf_in_plans(spark, sf_small, capsys, key):
     text = plan_text(E.queries()[key](spark, sf_small), capsys, "extended")
     assert not any(node in text for node in PYTHON_NODES), key
@@ -58,49 +57,31 @@ def test_kpi_is_partial_plus_final_aggregate(spark, sf_small, capsys):
     assert "PushedFilters" in text
 
 
-def test_dedup_is_an_aggregation_not_a_window(spark, sf_small, capsys):
+def test_dedup_limits_each_key_before_the_shuffle(spark, sf_small, capsys):
     text = plan_text(D.latest_per_key(Rg.raw_shipments(spark, sf_small)), capsys)
-    assert "Window" not in text
-    assert "Aggregate" in text
-
-
-def test_checked_broadcast(spark, sf_small, capsys):
-    part = spark.read.parquet(f"{sf_small}/part.parquet").select("p_partkey", "p_type")
-    small = broadcast_if_bounded(part)                                 # 200 rows: fits
-    assert "broadcast" in plan_text(small, capsys, "extended").lower()
-    big = broadcast_if_bounded(part, max_bytes=row_width(part.schema) * 10)   # cap 10 rows: does not
-    assert "ResolvedHint" not in plan_text(big, capsys, "extended")
-
-
-def test_probe_declines_many_file_tables(spark, sf_small):
-    part = spark.read.parquet(f"{sf_small}/part.parquet").select("p_partkey", "p_type")
-    got = probe_tables({"part": (part, "p_partkey", 1000)})
-    rows, distinct, size = got["part"]
-    assert (rows, distinct) == (200, 200)                  # whole table seen, key unique
-    type_bytes = sum(len(r.p_type) for r in spark.read.parquet(f"{sf_small}/part.parquet").select("p_type").collect())
-    assert size == 200 * (8 + 8) + type_bytes              # bigint key + row overhead, plus real string bytes
-    assert probe_tables({"part": (part, "p_partkey", 1000)}, max_files=0)["part"][0] > 1000   # not probed
-    assert probe_tables({"part": (part, "p_partkey", 10)})["part"][0] == 11                    # over the cap
-
-
-def test_incremental_anti_join_reads_target_buckets_in_place(spark, sf_small, capsys):
-    Rg.q_incremental_dedup(spark, sf_small)
-    table = sorted(t.name for t in spark.catalog.listTables() if t.name.startswith("incremental_"))[-1]
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # a target too large to broadcast
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_building_a_query_starts_no_job(spark, sf_small):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job may start here")
     try:
-        text = plan_text(D.new_rows(spark.table(table), Rg.raw_shipments(spark, sf_small)), capsys)
+        frames = [Rg.QUERIES[k](spark, sf_small) for k in ("ingest_raw", "warehouse_kpis", "report_rolling_delay", "dedup_latest", "sample_rows")]
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "LeftAnti" in text
-    target_scan = [line for line in text.splitlines() if line.startswith("Bucketed:")]
-    assert any("true" in line for line in target_scan), target_scan
+        started = tracker.getJobIdsForGroup("building")
+        spark.sparkContext._jsc.clearJobGroup()
+    assert frames and not list(started)
+
+
+def test_no_repartition_by_number(spark, sf_small, capsys):
+    assert "REPARTITION_BY_NUM" not in plan_text(Rg.q_ingest_raw(spark, sf_small), capsys, "extended")
 
 
 def test_catalog_table_prunes_partitions(spark, sf_small, capsys):
     from parcelwise.sinks import ddl as K
 
     base = shared_path(spark, "t_catalog_prune")
+    K.drop_database(spark, "t_prune")
     K.ensure_database(spark, "t_prune", f"{base}/db")
     table = K.ensure_raw_table(spark, f"{base}/raw", database="t_prune")
     W.land_partitioned_table(Rg.raw_shipments(spark, sf_small), table)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from parcelwise import schema as S
 from parcelwise.operators import dedup as D
 from parcelwise.operators import ingest as G
+from parcelwise.operators import kpis as A
 from parcelwise.plans import pipeline as P
 from parcelwise.plans import quality as Q
 from parcelwise.plans import registry as Rg
@@ -42,13 +43,43 @@ def test_dynamic_overwrite_replaces_only_present_dates(spark, sf_small):
     assert back.filter("shipment_date <> DATE'1995-06-01'").count() == raw.filter("shipment_date <> DATE'1995-06-01'").count()
 
 
-def test_incremental_append_twice_adds_nothing(spark, sf_small):
+def test_merge_twice_changes_nothing_and_loses_nothing(spark, sf_small):
     raw = Rg.raw_shipments(spark, sf_small)
     target = shared_path(spark, "t_incr")
-    W.land_raw(D.latest_per_key(raw), target)
-    before = SR.read_landed(spark, target).count()
-    W.append_rows(D.new_rows(SR.read_landed(spark, target), raw), target)
-    assert SR.read_landed(spark, target).count() == before == 4541
+    for _ in range(2):
+        D.merge_latest(raw, target, 8)
+    got = D.read_target(spark, target, raw.schema)
+    assert got.count() == 4541 and _same(got.select(*raw.columns), D.latest_per_key(raw))
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame(rows, "shipment_id string, ingested_at string, route string").withColumn(
+        "ingested_at", F.col("ingested_at").cast("timestamp"))
+
+
+def test_merge_keeps_the_newest_row_across_loads(spark):
+    target = shared_path(spark, "t_newest")
+    first = _rows(spark, ("a", "2024-01-01", "old"), ("b", "2024-01-01", "only"), ("c", "2024-01-03", "newer"))
+    D.merge_latest(first, target, 4)
+    D.merge_latest(_rows(spark, ("a", "2024-01-02", "new"), ("c", "2024-01-02", "late"), ("d", "2023-01-01", "unseen")), target, 4)
+    got = {r.shipment_id: r.route for r in D.read_target(spark, target, first.schema).collect()}
+    assert got == {"a": "new", "b": "only", "c": "newer", "d": "unseen"}
+
+
+def test_merge_finishes_a_load_that_was_cut_off(spark, monkeypatch):
+    target = shared_path(spark, "t_cut")
+    first, second = _rows(spark, ("a", "2024-01-01", "old")), _rows(spark, ("a", "2024-01-02", "new"), ("b", "2024-01-02", "x"))
+    D.merge_latest(first, target, 2)
+
+    def lost(*_):
+        raise RuntimeError("driver lost while the buckets were replaced")
+
+    with monkeypatch.context() as m:
+        m.setattr(D, "_apply", lost)
+        with pytest.raises(RuntimeError):
+            D.merge_latest(second, target, 2)
+    D.merge_latest(_rows(spark, ("c", "2024-01-03", "y")), target, 2)
+    assert {r.shipment_id: r.route for r in D.read_target(spark, target, first.schema).collect()} == {"a": "new", "b": "x", "c": "y"}
 
 
 def test_latest_per_key_prefers_newest_ingest(spark):
@@ -86,6 +117,7 @@ def test_source_preference(spark, sf_small):
 
 def test_ddl_is_idempotent_and_publish_overwrites(spark, sf_small):
     base = shared_path(spark, "t_wh")
+    K.drop_database(spark, "t_dw")
     K.ensure_database(spark, "t_dw", f"{base}/t_dw.db")
     K.ensure_database(spark, "t_dw", f"{base}/t_dw.db")
     tables = K.ensure_kpi_tables(spark, base, database="t_dw")
@@ -93,22 +125,30 @@ def test_ddl_is_idempotent_and_publish_overwrites(spark, sf_small):
     raw_name = K.ensure_raw_table(spark, f"{base}/raw", database="t_dw")
     cols = spark.table(raw_name).columns          # partition column last, as Spark stores it
     assert sorted(cols) == sorted(S.RAW_SCHEMA.fieldNames()) and cols[-1] == "shipment_date"
-    kpis = P.KPI_BUILDERS["route_kpis"](Rg.clean_rows(spark, sf_small))
+    kpis = A.route_kpis(Rg.clean_rows(spark, sf_small))
     for _ in range(2):
         W.publish_table(W.conform_kpis(kpis, "route_kpis", "2024-01-01 06:00:00"), tables["route_kpis"])
     pub = spark.table(tables["route_kpis"])
     assert pub.count() == 26
     assert dict(pub.dtypes)["computed_at"] == "timestamp"
+    K.drop_database(spark, "t_dw")
 
 
-def test_stream_dedup_within_watermark(spark, sf_small):
-    topic = shared_path(spark, "t_topic")
-    raw = Rg.raw_shipments(spark, sf_small)
-    T1.publish(raw, topic)
-    T1.publish(raw, topic)                 # every message delivered twice
-    base = shared_path(spark, "t_stream")
-    out = T2.run_to_completion(spark, topic, f"{base}/sink", f"{base}/ckpt", dedup_delay="1 hour")
-    assert out.count() == out.select("shipment_id").distinct().count() == 4541
+def test_two_calls_of_a_query_keep_their_own_tables(spark, sf_small):
+    small = Rg.q_table_read_query(spark, sf_small)
+    other = Rg.q_table_read_query(spark, sf_small.replace("0.001", "0.01"))
+    assert small.agg(F.sum("total_shipments")).first()[0] == 5835
+    assert other.agg(F.sum("total_shipments")).first()[0] > 50_000
+    for db in [d.name for d in spark.catalog.listDatabases() if d.name.startswith(S.DATASET + "_")]:
+        K.drop_database(spark, db)
+
+
+def test_stream_dedup_drops_no_late_id(spark):
+    topic, base = shared_path(spark, "t_topic"), shared_path(spark, "t_stream")
+    for row in (("a", "2024-01-05", "r1"), ("b", "2024-01-05", "r2"), ("c", "2024-01-03", "two days late"), ("a", "2024-01-06", "newer")):
+        T1.publish(_rows(spark, row), topic)
+        out = T2.run_to_completion(spark, topic, f"{base}/sink", f"{base}/ckpt", dedup_buckets=4)
+    assert {r.shipment_id: r.route for r in out.collect()} == {"a": "newer", "b": "r2", "c": "two days late"}
 
 
 def test_stream_restart_resumes_from_checkpoint(spark, sf_small):
@@ -134,12 +174,54 @@ def test_missing_and_empty_sources_fail(spark):
         Q.output_counts(spark, {})
 
 
+HEADER = ",".join(S.SOURCE_COLUMNS)
+
+
+def _file(spark, name, text):
+    path = shared_path(spark, name)
+    import os
+
+    os.makedirs(path.replace("file:", ""))
+    with open(f"{path.replace('file:', '')}/part.csv", "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_csv_binds_columns_by_name(spark):
+    path = _file(spark, "t_named", "route,extra,shipment_id,customer_rating,shipment_date\nA->B,?,s1,4.0,01/15/2024\nC->D,?,s2,4.5,2024-01-16\n")
+    raw = G.ingest(SR.read_source_csv(spark, path), run_ts="2024-01-01", date_formats=("MM/dd/yyyy",)).orderBy("shipment_id").collect()
+    assert [(r.shipment_id, r.route, r.customer_rating, str(r.shipment_date), r.warehouse_block) for r in raw] == [
+        ("s1", "A->B", 4, "2024-01-15", None), ("s2", "C->D", None, "2024-01-16", None)]
+
+
+def test_csv_files_with_other_headers_stop_the_job(spark):
+    path = _file(spark, "t_two_headers", "shipment_id,route\ns1,r1\n")
+    with open(f"{path.replace('file:', '')}/second.csv", "w") as f:
+        f.write("route,shipment_id\nr2,s2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        SR.read_source_csv(spark, path).collect()
+
+
+def test_csv_quotes_commas_and_line_breaks(spark):
+    path = _file(spark, "t_quoted", 'shipment_id,route,warehouse_block\ns1,"a ""b"", c",A\ns2,"two\nlines", A \n')
+    rows = SR.read_source_csv(spark, path, multi_line=True)
+    assert [(r.shipment_id, r.route, r.warehouse_block) for r in rows.orderBy("shipment_id").collect()] == [
+        ("s1", 'a "b", c', "A"), ("s2", "two\nlines", " A ")]
+    assert Q.source_row_count(spark, path, multi_line=True) == 2
+    out = shared_path(spark, "t_quoted_out")
+    W.write_csv(rows, out)
+    assert _same(SR.read_source_csv(spark, out, multi_line=True), rows)
+
+
 def test_pipeline_run(spark, sf_small):
     base = shared_path(spark, "t_run")
     source = f"{base}/source/2024-01-01"
     W.write_csv(Rg.source_text(spark, sf_small), source)
-    result = P.run_pipeline(spark, source, base, "2024-01-01", run_ts="2024-01-01 06:00:00")
+    K.drop_database(spark, "t_run_dw")
+    result = P.run_pipeline(spark, source, base, "2024-01-01", run_ts="2024-01-01 06:00:00", database="t_run_dw")
     assert result.status == "SUCCESS"
+    assert {n: spark.table(t).count() for n, t in result.tables.items()} == result.output_rows
+    K.drop_database(spark, "t_run_dw")
     assert (result.source_rows, result.landed_rows) == (6000, 5902)
     assert result.output_rows == {"warehouse_kpis": 5, "route_kpis": 26, "category_kpis": 21}
     log = spark.read.parquet(f"{base}/run_log").collect()
@@ -154,12 +236,10 @@ def test_pipeline_run(spark, sf_small):
 
 
 def test_one_pass_rollup_equals_separate_kpis(spark, sf_small):
-    from parcelwise.operators import kpis as A
-
     cleaned = Rg.clean_rows(spark, sf_small)
     split = A.kpis_from_rollup(A.kpi_rollup(cleaned))
-    for name, build in P.KPI_BUILDERS.items():
-        one, sep = split[name], build(cleaned)
+    for name, single in (("warehouse_kpis", A.warehouse_kpis), ("route_kpis", A.route_kpis), ("category_kpis", A.category_kpis)):
+        one, sep = split[name], single(cleaned)
         assert one.columns == sep.columns
         assert _same(one, sep), name
 
@@ -224,6 +304,7 @@ def test_one_pass_reports_equal_single_reports(spark, sf_small):
 
 def test_table_dynamic_overwrite_restores_session(spark):
     base = shared_path(spark, "t_tbl_dyn")
+    K.drop_database(spark, "t_dyn")
     K.ensure_database(spark, "t_dyn", f"{base}/db")
     table = K.ensure_raw_table(spark, f"{base}/raw", database="t_dyn")
     text = spark.createDataFrame(
@@ -237,12 +318,15 @@ def test_table_dynamic_overwrite_restores_session(spark):
     got = {str(r.shipment_date): r.route for r in spark.table(table).collect()}
     assert got == {"2024-01-01": None, "2024-01-02": "new", "2024-01-03": None}
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    W.land_partitioned_table(rows.limit(1), table)             # a full refresh forgets the other dates
+    assert spark.table(table).count() == 1
+    K.drop_database(spark, "t_dyn")
 
 
 def test_connector_format_paths_run(spark, sf_small):
     """The connector branches (warehouse table publish, message-bus publish) run end to end;
     Spark's built-in noop sink stands in for a connector that is not on this classpath."""
-    kpis = P.KPI_BUILDERS["route_kpis"](Rg.clean_rows(spark, sf_small))
+    kpis = A.route_kpis(Rg.clean_rows(spark, sf_small))
     W.publish_table(W.conform_kpis(kpis, "route_kpis", "2024-01-01 06:00:00"), "ecommerce_dw.route_kpis",
                     fmt="noop", temporaryBucket="unused")
     T1.publish(Rg.raw_shipments(spark, sf_small), "shipments-topic", fmt="noop", **{"kafka.bootstrap.servers": "unused"})
