@@ -40,6 +40,7 @@ ORDERS = (1, 2, 3, 4)
 DIM = 16
 EPOCHS = 4
 MAX_STEPS = 50_000
+MIN_STEPS = 4_000
 RATE = 0.5
 MAX_ERROR = 0.05
 #: Bytes of text per training document segment: whole texts are cut into segments of this size, all of them used.
@@ -139,7 +140,7 @@ def train(rows: list[tuple[str, str]], seed: int = 5) -> Model:
     # a language weighs the same however many segments it has
     per = np.bincount([y for _, y in pieces], minlength=len(languages))
     weight = len(pieces) / np.maximum(per, 1) / max(1, len(languages))
-    steps, done = min(MAX_STEPS, EPOCHS * len(pieces)), 0
+    steps, done = min(MAX_STEPS, max(MIN_STEPS, EPOCHS * len(pieces))), 0
     while done < steps:
         for k in rng.permutation(len(pieces)):
             ids, y = pieces[k]
