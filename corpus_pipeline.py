@@ -38,7 +38,10 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def curriculum_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(mixing.training_order(docs).select(*docs.columns))
+    # the other columns travel in one field, as their names may be the operator's own
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row")
+    mixed = mixing.training_order(docs.select("doc_id", "text", "source", rest))
+    return _counted(mixed.select(*["text" if c == "text" else f"_row.`{c}`" for c in docs.columns]))
 
 
 def retrieval_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
