@@ -376,6 +376,21 @@ def test_katz_sums_to_one_and_beats_base(spark, sf_small):
     assert sum(r.score for r in got) > sum(r.base_score for r in got) and all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_katz_counts_beyond_32_bits(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["a b c"] * 3 + ["b b"])], "doc_id long, text string").coalesce(1)
+    frequent = katz.frequent_words(docs, "text")
+    types = katz.count_types(docs, "text", frequent, 2)
+    model, real = katz.fit(types, frequent), katz.token_classes
+
+    def long_texts(texts, frequent):
+        *parts, tokens = real(texts, frequent)
+        return *parts, tokens + 5_000_000_000
+
+    monkeypatch.setattr(katz, "token_classes", long_texts)
+    got = katz.score_texts(docs, "text", types, model, 2).collect()
+    assert sorted(r.n_tokens // r.sent for r in got) == [5_000_000_003, 5_000_000_004]
+
+
 # 8 ---------------------------------------------------------------- WARC
 
 def test_warc_round_trip(spark):
