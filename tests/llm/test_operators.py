@@ -376,6 +376,20 @@ def test_katz_sums_to_one_and_beats_base(spark, sf_small):
     assert sum(r.score for r in got) > sum(r.base_score for r in got) and all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_katz_ranks_words_on_all_training_texts(spark, monkeypatch):
+    texts = [" ".join(f"w{j}" for j in range(k % 50 + 1)) + f" only{k}" for k in range(200)] + ["third " * 3] * 100 + [None, ""]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    count = Counter(x for t in texts for x in WORD.findall(t or ""))
+    name = {int(katz.word_hashes(w.encode())[1][0]): w for w in count}
+    assert sorted(name[int(h)] for h in katz.frequent_words(docs, "text")) == sorted(count)  # all of them fit
+    for most in (1, 20, 51, 100):
+        monkeypatch.setattr(katz, "VOCABULARY", most)
+        got = katz.frequent_words(docs, "text")
+        assert len(set(got.tolist())) == len(got) == most and (np.diff(got.astype(float)) > 0).all()
+        assert sorted((count[name[int(h)]] for h in got), reverse=True) == sorted(count.values(), reverse=True)[:most]
+        assert (got == katz.frequent_words(docs.repartition(3), "text")).all()
+
+
 def test_katz_counts_beyond_32_bits(spark, monkeypatch):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(["a b c"] * 3 + ["b b"])], "doc_id long, text string").coalesce(1)
     frequent = katz.frequent_words(docs, "text")
