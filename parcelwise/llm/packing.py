@@ -6,8 +6,12 @@ shards of bounded size, builds a BM25 inverted index (token id -> postings) of
 the shard, and fills one window after another: a seed document (the longest
 unused one) goes in first, the index returns its best unused neighbours, those
 that fit are added greedily, and the best one left is cut to fill the window
-to the last token. What is cut off stays an unused document. So only the last
-window of a shard can need padding; its content is cut at powers of two.
+to the last token. What is cut off stays an unused document. When the best
+neighbours are used up, the next ones follow, and when the rarest terms have
+no more, further terms of the seed are looked up; only when no unused document
+shares a term with it do the next documents in line fill the window. So only
+the last window of a shard can need padding; its content is cut at powers of
+two.
 
 Nothing is shuffled: a shard is a run of consecutive rows of an input split,
 and memory is bounded by the shard and the longest document in it.
@@ -36,7 +40,7 @@ END_ID = 1
 #: A shard is closed at so many tokens or documents.
 SHARD_TOKENS = 1_500_000
 SHARD_DOCS = 4096
-#: Rarest terms of a seed that are looked up, and neighbours that are taken into account.
+#: Rarest terms of a seed that are looked up first, and neighbours that are handed out at once.
 QUERY_TERMS = 24
 NEIGHBOURS = 32
 K1, B = 1.2, 0.75
@@ -147,25 +151,33 @@ class Index:
         per_term = np.repeat(self.idf, df)
         norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean() if n else 1.0))
         self.weight = per_term * tf * (K1 + 1) / (tf + norm[self.docs])
-        self.shared = df > 1
+        self.shared = (df > 1) & (self.terms != END_ID)  # every document has the end token: it relates none
         self.of_doc = np.argsort(self.docs, kind="stable")  # entries by document
         self.doc_at = np.searchsorted(self.docs[self.of_doc], np.arange(n + 1))
         self.term_of = np.repeat(np.arange(len(self.terms)), df)
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents by falling score for the seed's rarest shared terms."""
+    def neighbours(self, seed: int, left: np.ndarray) -> Iterator[np.ndarray]:
+        """Documents with tokens left by falling score for the seed's shared terms, NEIGHBOURS at a time.
+
+        First those that share one of the rarest terms; when they run out,
+        twice as many further terms are looked up, until no term is left.
+        """
         mine = self.term_of[self.of_doc[self.doc_at[seed]:self.doc_at[seed + 1]]]
         mine = mine[self.shared[mine]]
-        if len(mine) > QUERY_TERMS:
-            mine = mine[np.argpartition(-self.idf[mine], QUERY_TERMS)[:QUERY_TERMS]]
-        if not len(mine):
-            return mine
-        entries = np.concatenate([np.arange(self.first[t], self.last[t]) for t in mine])
-        score = np.bincount(self.docs[entries], self.weight[entries], minlength=self.n)
-        score[~unused] = 0
-        best = np.argpartition(-score, min(NEIGHBOURS, self.n - 1))[:NEIGHBOURS]
-        best = best[score[best] > 0]
-        return best[np.lexsort((best, -score[best]))]
+        mine, at, step = mine[np.argsort(-self.idf[mine], kind="stable")], 0, QUERY_TERMS
+        while at < len(mine):
+            entries = np.concatenate([np.arange(self.first[t], self.last[t]) for t in mine[at:at + step]])
+            score = np.bincount(self.docs[entries], self.weight[entries], minlength=self.n)
+            score[left == 0] = 0
+            rest = np.flatnonzero(score)
+            while len(rest):
+                if len(rest) > NEIGHBOURS:
+                    order = np.argpartition(-score[rest], NEIGHBOURS)
+                    best, rest = rest[order[:NEIGHBOURS]], rest[order[NEIGHBOURS:]]
+                else:
+                    best, rest = rest, rest[:0]
+                yield best[np.lexsort((best, -score[best]))]
+            at, step = at + step, 2 * step
 
 
 def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
@@ -195,13 +207,15 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[list[tuple[
         seed = order[at]
         room = window - take(seed, window)
         if room:
-            near = index.neighbours(seed, left > 0)
-            for k in near:
-                if 0 < left[k] <= room:
-                    room -= take(k, room)
-            for k in near:  # the best one left is cut to fill the window
-                if room and left[k]:
-                    room -= take(k, room)
+            for near in index.neighbours(seed, left):
+                for k in near:
+                    if 0 < left[k] <= room:
+                        room -= take(k, room)
+                for k in near:  # the best one left is cut to fill the window
+                    if room and left[k]:
+                        room -= take(k, room)
+                if not room:
+                    break
             ahead = at
             while room and ahead < len(order):  # no more neighbours: the next documents in line
                 if left[order[ahead]]:

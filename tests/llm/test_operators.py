@@ -329,6 +329,22 @@ def test_packing_prefers_lexical_neighbours():
     assert pure == len(windows) == 12
 
 
+def test_packing_takes_filler_only_without_neighbours():
+    r = np.random.default_rng(2)
+    # 70 short documents a topic, each with a topic word: more neighbours than are handed out at once
+    docs = [np.append(np.append(r.integers(1000 * t + 1000, 1000 * t + 1900, 29), 10 + t), packing.END_ID).astype(np.uint16)
+            for _ in range(70) for t in range(4)]
+    windows = packing.pack_shard(docs, 31 * 70)
+    assert [len({k % 4 for k, _, _ in w}) for w in windows] == [1] * 4
+    # the seed's rarest terms lead to few documents, its further terms to the others
+    pairs = [np.array([100 + k, packing.END_ID]) for k in range(30)]
+    same = [np.array([7, 50_000 - k, packing.END_ID]) for k in range(40)]
+    other = [np.array([8, 40_000 - k, 40_100 - k, packing.END_ID]) for k in range(40)]
+    docs = [d.astype(np.uint16) for d in (*other, np.array([*range(100, 130), 7, packing.END_ID]), *pairs, *same)]
+    window = packing.pack_shard(docs, 32 + 2 * 30 + 3 * 40)[0]
+    assert sorted(k for k, _, _ in window) == list(range(40, 111))
+
+
 # 7 ---------------------------------------------------------------- Katz
 
 def test_katz_counts_and_base(docs, empty):
