@@ -131,7 +131,7 @@ def train(rows: list[tuple[str, str]], seed: int = 5) -> Model:
     buckets, rng = BUCKETS * len(ORDERS), np.random.default_rng(seed)
     if not languages:
         return Model((), np.zeros((buckets, 0)), np.zeros(0), 1.0, 0.0)
-    fit, held = [r for k, r in enumerate(rows) if k % 5], [r for k, r in enumerate(rows) if not k % 5]
+    fit, held = [r for k, r in enumerate(rows) if k % 5] or rows, [r for k, r in enumerate(rows) if not k % 5]
     emb = rng.uniform(-1 / DIM, 1 / DIM, (buckets, DIM)).astype(np.float32)
     soft = np.zeros((DIM, len(languages)), dtype=np.float32)
     bias = np.zeros(len(languages), dtype=np.float32)
@@ -141,7 +141,7 @@ def train(rows: list[tuple[str, str]], seed: int = 5) -> Model:
     per = np.bincount([y for _, y in pieces], minlength=len(languages))
     weight = len(pieces) / np.maximum(per, 1) / max(1, len(languages))
     steps, done = min(MAX_STEPS, max(MIN_STEPS, EPOCHS * len(pieces))), 0
-    while done < steps:
+    while pieces and done < steps:
         for k in rng.permutation(len(pieces)):
             ids, y = pieces[k]
             hidden = emb[ids].mean(axis=0)

@@ -6,6 +6,8 @@ import io
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -71,6 +73,16 @@ def test_language_id_held_out_accuracy(spark, sf_small):
     assert len(got) > 20 and np.mean([r.lang == r.lang_pred for r in got]) > 0.95
 
 
+def test_language_id_one_labelled_row(spark):
+    rows = [(k, "the cat sat on the mat", "x" if k == 0 else None) for k in range(3)]
+    assert not zlib.crc32(b"0") % 4 == 2
+    script = "from parcelwise.llm import langid; m = langid.train([('the cat sat on the mat', 'x')]); print(langid.predict(['the mat'], m)[0])"
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=60)  # it once never ended
+    assert out.stdout.split() == ["['x']"], out.stderr
+    got = langid.identify_table(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert [r.lang_pred for r in got] == ["x"] * 3
+
+
 def test_language_id_keeps_columns(docs):
     model = langid.train([("the cat sat on the mat", "x"), ("le chat noir dort", "y")] * 10)
     got = langid.identify(docs, model)
