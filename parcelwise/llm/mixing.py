@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import WORD
+from parcelwise.llm.common import WORD, stored
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
@@ -129,8 +129,8 @@ def plan_columns(docs: DataFrame) -> list[str]:
 
 
 def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                   schedules=SCHEDULES, **options) -> DataFrame:
-    """The mixed corpus: one row per copy taken, range-sorted by training position.
+                   schedules=SCHEDULES, extra: tuple[str, ...] = (), **options) -> DataFrame:
+    """The mixed corpus: one row per copy taken, range-sorted by training position; ``extra`` names columns of the plan to keep.
 
     Adds copy (0, 1, ...) and position. Where the mix takes only a part of a
     document's last copy, that copy's text holds its first words up to there.
@@ -144,7 +144,20 @@ def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = copies.withColumn(text_col, F.when(left < F.col("size"), cut).otherwise(F.col(text_col)))
     copies = copies.withColumn("position", position(share, F.col("rank"), schedules))
     keep = [c for c in docs.columns if c not in (*ADDED, "copy", "position")]
-    return copies.select(*keep, "copy", "position").repartitionByRange("position").sortWithinPartitions("position")
+    return copies.select(*keep, *extra, "copy", "position").repartitionByRange("position").sortWithinPartitions("position")
+
+
+def mixed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The plan's rows with ``taken`` counted in the mixed corpus: the words of a row's copies, added up.
+
+    A row with words is known by its source and its place among the source's words.
+    """
+    order = training_order(docs, id_col, text_col, source_col, extra=("skey", "start"), **options)
+    copies = stored(order.select("skey", "start", "copy", "position", size_of(F.col(text_col)).alias("words")), "mixed-copies")
+    words = copies.groupBy("skey", "start").agg(F.sum("words").alias("words"))
+    plan = plan_mix(docs, id_col, text_col, source_col, **options).drop("taken").withColumn("place", F.when(F.col("size") > 0, F.col("start")))
+    joined = plan.join(words.withColumnRenamed("start", "place"), ["skey", "place"], "left")
+    return joined.select(id_col, "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
 
 
 ORACLE_SQL = r"""

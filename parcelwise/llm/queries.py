@@ -59,7 +59,7 @@ def op9_embedding_dedup(spark, sf_dir):
 
 def op10_curriculum_mixing(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mixed_words(docs)
 
 
 QUERIES = {

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, forest, katz, langid, mixing, ngram_join, packing, quality, suffix_dedup, warc
+from parcelwise.llm import chat, forest, katz, langid, mixing, ngram_join, packing, quality, queries, suffix_dedup, warc
 from parcelwise.llm.common import connected_components
 from tests.llm import cases
 
@@ -569,6 +569,19 @@ def test_mixing_training_order(docs, empty):
     assert mixing.training_order(empty).count() == 0 and mixing.training_order(empty).columns == [c for c in docs.columns if c not in mixing.ADDED] + ["copy", "position"]
 
 
+def test_mixing_query_counts_the_mixed_corpus(spark, docs, empty, sf_small, monkeypatch):
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    assert bag(mixing.mixed_words(docs).collect()) == bag(mixing.plan_mix(docs).select(*columns).collect())
+    assert mixing.mixed_words(empty).count() == 0 and mixing.mixed_words(empty).columns == columns
+    table = spark.read.parquet(f"{sf_small}/documents.parquet")
+    want = bag(mixing.plan_mix(table).select(*columns).collect())
+    assert bag(queries.op10_curriculum_mixing(spark, sf_small).collect()) == want
+    real = mixing.training_order
+    monkeypatch.setattr(mixing, "training_order", lambda *a, **b: real(*a, **b).where("copy = 0"))
+    first = bag((*r[:4], min(r[1], r[4])) for r in want.elements())
+    assert bag(queries.op10_curriculum_mixing(spark, sf_small).collect()) == first != want
+
+
 def test_mixing_inverse_of_the_schedules(spark):
     shares = [k / 50 for k in range(51)]
     rows = spark.createDataFrame([(s, k) for s in shares for k in range(3)], "s double, k int")
