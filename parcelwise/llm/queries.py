@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, forest, katz, langid, mixing, ngram_join, packing, quality, suffix_dedup, warc
+from parcelwise.llm import (
+    chat, cover_tree, forest, katz, langid, mixing, ngram_join, packing, prefix_trie, quality, sharding, suffix_dedup, warc)
 from parcelwise.llm.common import read_table, stored
 
 
@@ -62,6 +63,18 @@ def op10_curriculum_mixing(spark, sf_dir):
     return mixing.mixed_words(docs)
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+def op12_rendezvous_sharding(spark, sf_dir):
+    return sharding.shard_digests(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return cover_tree.hard_negatives(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -73,10 +86,16 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_curriculum_mixing": op10_curriculum_mixing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_rendezvous_sharding": op12_rendezvous_sharding,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE_SQL = {
     "op2_ngram_jaccard_join": ngram_join.ORACLE_SQL,
     "op4_chat_formatting": chat.ORACLE_SQL,
     "op8_warc_salvage": warc.ORACLE_SQL,
     "op10_curriculum_mixing": mixing.ORACLE_SQL,
+    "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+    "op12_rendezvous_sharding": sharding.ORACLE_SQL,
+    "op13_hard_negatives": cover_tree.ORACLE_SQL,
 }
