@@ -30,7 +30,6 @@ beyond 64 bits stops the job.
 
 from __future__ import annotations
 
-import heapq
 import pickle
 from collections.abc import Iterator
 
@@ -48,7 +47,7 @@ CELLS = 64
 BLOCK = 4096
 QUERIES = 1024
 #: A tree node with no more points is a leaf.
-LEAF = 32
+LEAF = 128
 POSITIVES = 5
 NEGATIVES = 5
 ANCHOR_EVERY = 100
@@ -200,43 +199,55 @@ def exact_scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return exact.astype(np.int64)
 
 
-def search(block: dict, queries: pd.DataFrame, top: int) -> Iterator[tuple[int, int, int]]:
-    """(qid, vec_id, score): of each query the ``top`` best of the block in its window, or fewer, best-first.
+def search(block: dict, queries: pd.DataFrame, top: int) -> pd.DataFrame:
+    """(qid, vec_id, score): of each query the ``top`` best of the block in its window, or fewer.
 
-    ``block`` holds tree, rows, ids and labels, in the tree's order.
+    Every query opens the node with its own best bound first; queries that open
+    the same node at the same step are served together. ``block`` holds tree,
+    rows, ids and labels, in the tree's order.
     """
     tree, rows, ids, labels = block["tree"], block["rows"], block["ids"], block["labels"]
     vectors = np.array(list(queries["vec"]), dtype=np.float64)
+    own, label, same, lo, hi, bar = (queries[c].to_numpy() for c in ("self", "label", "same", "lo", "hi", "bar"))
+    bar = np.maximum(lo, bar)
     middle = vectors @ tree["centre"][:, :-1].T
     length = np.linalg.norm(vectors, axis=1)[:, None]
     reach = length * tree["radius"][None, :] + SLACK * length * (block["norm"] + tree["radius"][None, :])
-    high, low = middle + reach, middle - reach
-    for i, q in enumerate(queries.itertuples(index=False)):
-        found: list[tuple[int, int]] = []  # (score, -id), the worst first
-        bar = q.bar
-        heap = [(-high[i, 0], 0)]
-        while heap:
-            bound, node = heapq.heappop(heap)
-            if -bound < max(q.lo, bar):  # nothing left can reach the window or the worst hit
-                break
-            if low[i, node] > q.hi:
-                continue
+    # a node whose points all lie above the window is never opened
+    bound = np.where(middle - reach <= hi[:, None], middle + reach, -np.inf)
+    open_ = np.full(bound.shape, -np.inf)
+    open_[:, 0] = bound[:, 0]
+    found = [np.zeros(0, dtype=np.int64)] * 3  # query, score, id
+    every = np.arange(len(queries))
+    while True:
+        best = open_.argmax(axis=1)
+        reached = open_[every, best]
+        asking = np.flatnonzero((reached > -np.inf) & (reached >= bar))  # the others are done: nothing left beats their bar
+        if not len(asking):
+            break
+        fresh = []
+        for node in np.unique(best[asking]):
+            mine = asking[best[asking] == node]
+            open_[mine, node] = -np.inf
             if tree["children"][node]:
                 for child in tree["children"][node]:
-                    heapq.heappush(heap, (-high[i, child], child))
+                    open_[mine, child] = bound[mine, child]
                 continue
-            lo, hi = tree["start"][node], tree["end"][node]
-            scores = exact_scores(vectors[i:i + 1], rows[lo:hi])[0]
-            fits = (scores >= max(q.lo, bar)) & (scores <= q.hi) & ((labels[lo:hi] == q.label) == q.same) & (ids[lo:hi] != q.self)
-            for s, v in zip(scores[fits].tolist(), ids[lo:hi][fits].tolist(), strict=True):
-                if len(found) < top:
-                    heapq.heappush(found, (s, -v))
-                elif (s, -v) > found[0]:
-                    heapq.heapreplace(found, (s, -v))
-            if len(found) == top:
-                bar = max(bar, found[0][0])
-        for s, v in found:
-            yield q.qid, -v, s
+            part = slice(tree["start"][node], tree["end"][node])
+            scores = exact_scores(vectors[mine], rows[part])
+            fits = ((scores >= bar[mine, None]) & (scores <= hi[mine, None]) & (ids[part] != own[mine, None])
+                    & ((labels[part] == label[mine, None]) == same[mine, None]))
+            q, x = np.nonzero(fits)
+            fresh.append((mine[q], scores[q, x], ids[part][x]))
+        if fresh:
+            query, score, vec_id = (np.concatenate(c) for c in zip(found, *fresh, strict=True))
+            order = np.lexsort((vec_id, -score, query))
+            query, score, vec_id = query[order], score[order], vec_id[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            last = place == top - 1
+            bar[query[last]] = np.maximum(bar[query[last]], score[last])
+            found = [c[place < top] for c in (query, score, vec_id)]
+    return pd.DataFrame({"qid": queries["qid"].to_numpy()[found[0]], "vec_id": found[2], "score": found[1]})
 
 
 # ------------------------------------------------------------------ index
@@ -322,10 +333,9 @@ def _visit(probes: DataFrame, index: DataFrame, top: int, batch: int = QUERIES)
     trees = index.join(crowd, "cell").withColumn("crowd", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)))
 
     def meet(tree: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        hits = []
-        if len(tree) and len(queries):
-            hits = list(search(pickle.loads(tree["index"].iloc[0]), queries, top))  # written by this job
-        return pd.DataFrame(hits, columns=["qid", "vec_id", "score"])
+        if not len(tree) or not len(queries):
+            return pd.DataFrame({"qid": [], "vec_id": [], "score": []}, dtype="int64")
+        return search(pickle.loads(tree["index"].iloc[0]), queries, top)  # written by this job
 
     by = ("cell", "block", "crowd")
     return trees.select(*by, "index").groupBy(*by).cogroup(asked.drop("crowds", "blocks").groupBy(*by)).applyInPandas(meet, HIT)

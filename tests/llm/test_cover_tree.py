@@ -68,7 +68,7 @@ def test_nodes_cover_their_points_and_skip_work(monkeypatch):
     square = float((rows * rows).sum(axis=1).max())
     points = cover_tree.augmented(rows, square)
     assert np.allclose((points * points).sum(axis=1), square)
-    tree = cover_tree.cover_tree(points)
+    tree = cover_tree.cover_tree(points, 32)
     ordered = points[tree["order"]]
     for c, r, lo, hi, children in zip(tree["centre"], tree["radius"], tree["start"], tree["end"], tree["children"], strict=True):
         assert np.linalg.norm(ordered[lo:hi] - c, axis=1).max() <= r + 1e-6
@@ -88,7 +88,7 @@ def test_nodes_cover_their_points_and_skip_work(monkeypatch):
     block = {"tree": tree, "rows": rows[order], "ids": np.arange(2000)[order], "labels": np.zeros(2000, dtype=int)[order], "norm": square ** 0.5}
     low = -2 ** 62
     ask = pd.DataFrame([(0, -1, 0, True, low, 2 ** 62, low, list(rows[17]))], columns=["qid", "self", "label", "same", "lo", "hi", "bar", "vec"])
-    hits = sorted(((-s, v) for _, v, s in cover_tree.search(block, ask, 5)))
+    hits = sorted((-r.score, r.vec_id) for r in cover_tree.search(block, ask, 5).itertuples())
     want = sorted((-int(s), i) for i, s in enumerate(rows @ rows[17]))[:5]
     assert hits == want and compared < 1000
 
