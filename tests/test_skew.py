@@ -13,14 +13,15 @@ from parcelwise.sinks import writers as W
 from parcelwise.sources import readers as SR
 
 
-def _skewed(spark, sf_small, column, value):
+def _skewed(spark, sf_small, column, value, tasks=None):
     raw = Rg.raw_shipments(spark, sf_small)
+    raw = raw.repartition(tasks) if tasks else raw
     hot = F.abs(F.hash("shipment_id", "customer_id", "route")) % 3 == 0
     return raw.withColumn(column, F.when(hot, F.lit(value)).otherwise(F.col(column)))
 
 
 def test_hot_date_is_split_across_files(spark, sf_small):
-    df = _skewed(spark, sf_small, "shipment_date", F.lit("1995-06-01").cast("date"))
+    df = _skewed(spark, sf_small, "shipment_date", F.lit("1995-06-01").cast("date"), tasks=16)  # a split needs several map outputs
     hot_rows = df.filter("shipment_date = DATE'1995-06-01'").count()
     assert hot_rows > df.count() / 4
     path = shared_path(spark, "t_hot_date")
@@ -66,6 +67,7 @@ def test_hot_join_key_is_split_and_exact(spark, sf_small):
         if t == "lineitem":
             df = df.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("bigint"))
                                .otherwise(F.col("l_partkey")))
+            df = df.repartition(8)
         df.write.parquet(f"{base}/{t}.parquet")
 
     conf = {
@@ -73,6 +75,7 @@ def test_hot_join_key_is_split_and_exact(spark, sf_small):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",  # on so few rows the stages above would become one task
     }
     old = {k: spark.conf.get(k) for k in conf}
     for k, v in conf.items():
