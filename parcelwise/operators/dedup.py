@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,11 +27,16 @@ RECENCY = ("ingested_at", "shipment_date")
 BUCKET = "key_bucket"
 
 
+def newest_first(columns: Sequence[str], key: str, recency: Sequence[str] = RECENCY) -> list[Column]:
+    """Sort columns that put a key's newest row first: the recency columns, then all others as a total tie-break."""
+    order = [c for c in recency if c in columns]
+    order += [c for c in columns if c != key and c not in order]
+    return [F.desc_nulls_last(c) for c in order]
+
+
 def latest_per_key(df: DataFrame, key: str = "shipment_id", recency: Sequence[str] = RECENCY) -> DataFrame:
     """One row per key: the greatest by (recency columns, remaining columns)."""
-    order = [c for c in recency if c in df.columns]
-    order += [c for c in df.columns if c != key and c not in order]
-    newest = Window.partitionBy(key).orderBy(*[F.desc_nulls_last(c) for c in order])
+    newest = Window.partitionBy(key).orderBy(*newest_first(df.columns, key, recency))
     return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 

@@ -94,3 +94,34 @@ def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder that a job of ours has made."""
     fs, hpath = _hadoop_path(spark, path)
     fs.delete(hpath, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    fs, hpath = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def create_exclusively(spark: SparkSession, path: str, line: str) -> bool:
+    """Write a one-line file that must not exist yet; False if it does."""
+    fs, hpath = _hadoop_path(spark, path)
+    fs.mkdirs(hpath.getParent())
+    try:
+        out = fs.create(hpath, False)
+    except Exception as exc:
+        if fs.exists(hpath):
+            return False
+        raise exc
+    out.writeBytes(line + "\n")
+    out.close()
+    return True
+
+
+def read_line(spark: SparkSession, path: str) -> str:
+    """The first line of a small file."""
+    fs, hpath = _hadoop_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return stream.readLine()
+    finally:
+        stream.close()

@@ -3,8 +3,9 @@
 ``readStream`` -> JSON decode -> the batch ingestion rules (missing tokens,
 lenient casts, key check) -> ``writeStream`` to Parquet with a checkpoint in
 shared storage, so a restarted query resumes from its last committed offsets
-(exactly-once into the file sink). Delivery can repeat; with
-``dedup_buckets`` every batch is merged by shipment id into a bucketed sink
+(exactly-once into the file sink). Delivery can repeat; with ``keyed`` every
+batch is merged by shipment id into a target with a key index
+(``operators.keyed_table``), with ``dedup_buckets`` into a bucketed one
 (``operators.dedup.merge_latest``): an id that was not seen before is never
 dropped, however late, and a known id keeps its newest row. A batch that is
 repeated after a failure changes nothing.
@@ -19,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from parcelwise import schema as S
 from parcelwise.operators.dedup import merge_latest, read_target
 from parcelwise.operators.ingest import typed_columns
+from parcelwise.operators.keyed_table import load_keyed, read_keyed
 from parcelwise.streaming.messages import decode
 
 
@@ -43,13 +45,15 @@ def typed_events(messages: DataFrame) -> DataFrame:
 
 
 def start_ingest(spark: SparkSession, topic: str, sink: str, checkpoint: str, fmt: str = "text",
-                 dedup_buckets: int | None = None, available_now: bool = True,
+                 dedup_buckets: int | None = None, keyed: bool = False, available_now: bool = True,
                  processing_time: str | None = None, max_files_per_trigger: int | None = None,
                  **options: str) -> StreamingQuery:
-    """Start the stream into ``sink`` (Parquet): append, or with ``dedup_buckets`` a keyed merge per batch."""
+    """Start the stream into ``sink`` (Parquet): append, or with ``keyed`` or ``dedup_buckets`` a merge by id per batch."""
     events = typed_events(subscribe(spark, topic, fmt, max_files_per_trigger, **options))
     writer = events.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-    if dedup_buckets:
+    if keyed:
+        writer = writer.foreachBatch(lambda batch, _: load_keyed(batch, sink) and None)
+    elif dedup_buckets:
         writer = writer.foreachBatch(lambda batch, _: merge_latest(batch, sink, dedup_buckets))
     else:
         writer = writer.format("parquet").option("path", sink)
@@ -66,6 +70,8 @@ def run_to_completion(spark: SparkSession, topic: str, sink: str, checkpoint: st
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"stream ingest failed: {query.exception()}")
+    if kwargs.get("keyed"):
+        return read_keyed(spark, sink, S.RAW_SCHEMA)
     if kwargs.get("dedup_buckets"):
         return read_target(spark, sink, S.RAW_SCHEMA)
     return spark.read.schema(S.RAW_SCHEMA).parquet(sink)
