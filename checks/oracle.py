@@ -277,6 +277,17 @@ loads AS (SELECT * FROM day1 UNION ALL SELECT * FROM day2)
 SELECT {RAW_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY load DESC, shipment_date DESC NULLS LAST, {_OTHERS}) AS rn FROM loads) WHERE rn = 1"""
 
+INCREMENTAL_UPSERT = f"""{_src()},
+loads AS (
+  SELECT *, 1 AS load FROM raw WHERE shipment_date < DATE '{DEDUP_CUTOFF}'
+  UNION ALL SELECT *, 2 AS load FROM raw WHERE shipment_date IS NULL OR shipment_date >= DATE '{DEDUP_CUTOFF}'
+  UNION ALL SELECT * REPLACE ('rerouted' AS route), 2 AS load FROM raw WHERE shipment_date < DATE '{DEDUP_CUTOFF}' AND customer_id LIKE '%7'
+  UNION ALL SELECT * REPLACE ('corrected' AS route, shipment_date + 1 AS shipment_date), 3 AS load FROM raw
+    WHERE shipment_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-30'
+  UNION ALL SELECT * REPLACE ('stale' AS route), 0 AS load FROM raw WHERE customer_id LIKE '%3')
+SELECT {RAW_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY shipment_id ORDER BY load DESC, shipment_date DESC NULLS LAST, {_OTHERS}) AS rn FROM loads) WHERE rn = 1"""
+
 STREAM_DEDUP = f"""{_src()},
 sent AS (SELECT *, CASE WHEN customer_id LIKE '%3' THEN 1 ELSE 2 END AS age FROM raw)
 SELECT {RAW_COLS} FROM (
@@ -327,6 +338,15 @@ REPORTS = {
 KPIS = {"warehouse_kpis": WAREHOUSE_KPIS, "route_kpis": ROUTE_KPIS, "category_kpis": CATEGORY_KPIS}
 
 
+def _corrected(sql: str) -> str:
+    """The same KPI over the rows after June 1995 has been delivered again: rated rows only, two days late, on another route."""
+    again = TYPED.replace("raw AS (SELECT * FROM typed WHERE shipment_id IS NOT NULL)", """raw AS (
+  SELECT * FROM typed WHERE shipment_id IS NOT NULL AND (shipment_date IS NULL OR NOT shipment_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-30')
+  UNION ALL SELECT * REPLACE (scheduled_days + 2 AS actual_days, 'corrected' AS route) FROM typed
+    WHERE shipment_id IS NOT NULL AND customer_rating >= 2 AND shipment_date BETWEEN DATE '1995-06-01' AND DATE '1995-06-30')""")
+    return sql.replace(TYPED, again)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "ingest_raw": INGEST_RAW,
@@ -349,6 +369,7 @@ def oracle_sql() -> dict[str, str]:
         "sample_rows": SAMPLE_ROWS,
         "dedup_latest": DEDUP_LATEST,
         "incremental_dedup": INCREMENTAL_DEDUP,
+        "incremental_upsert": INCREMENTAL_UPSERT,
         **{k: INGEST_RAW for k in ROUNDTRIPS},
         "table_read_query": WAREHOUSE_KPIS,
         "stream_ingest_dedup": STREAM_DEDUP,
@@ -356,6 +377,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_stamp": INGEST_STAMP,
         "clean_counts": CLEAN_COUNTS,
         **{f"daily_{k}": sql for k, sql in KPIS.items()},
+        **{f"incremental_{k}": _corrected(sql) for k, sql in (KPIS | {"category_kpis_monthly": CATEGORY_KPIS_MONTHLY}).items()},
         **{f"published_{k}": f"SELECT *, '2024-01-01 06:00:00' AS computed_at FROM ({sql})" for k, sql in KPIS.items()},
         **{f"daily_report_{k}": sql for k, sql in REPORTS.items()},
         "quality_report": QUALITY_REPORT,

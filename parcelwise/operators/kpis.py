@@ -90,12 +90,12 @@ def _measured(grouped, kpi: Kpi, *more: Column) -> DataFrame:
     return grouped.agg(*more, *[MEASURES[m][0](MEASURES[m][1]).alias(m) for m in names])
 
 
-def _finished(measures: DataFrame, kpi: Kpi) -> DataFrame:
+def finished(measures: DataFrame, kpi: Kpi) -> DataFrame:
     return measures.select(*kpi.keys, *[show(measure).alias(column) for column, (measure, show) in kpi.shows.items()])
 
 
 def _kpi(rows: DataFrame, kpi: Kpi) -> DataFrame:
-    return _finished(_measured(rows.groupBy(*kpi.keys), kpi), kpi)
+    return finished(_measured(rows.groupBy(*kpi.keys), kpi), kpi)
 
 
 def _ranked(warehouses: DataFrame) -> DataFrame:
@@ -160,13 +160,18 @@ PUBLISHED = {
     "route_kpis": (ROUTE, _banded),
     "category_kpis": (CATEGORY, lambda df: df),
 }
-_ALL_KEYS = [k for kpi, _ in PUBLISHED.values() for k in kpi.keys]
-_ALL = Kpi(tuple(_ALL_KEYS), {f"{name}.{c}": v for name, (kpi, _) in PUBLISHED.items() for c, v in kpi.shows.items()})
+ROLLUP_KEYS = [k for kpi, _ in PUBLISHED.values() for k in kpi.keys]
+_ALL = Kpi(tuple(ROLLUP_KEYS), {f"{name}.{c}": v for name, (kpi, _) in PUBLISHED.items() for c, v in kpi.shows.items()})
 
 
-def _set_id(kpi: Kpi) -> int:
+def set_id(kpi: Kpi) -> int:
     """Spark's grouping id of a grouping set: a 1 bit for each key that is not grouped, first key highest."""
-    return int("".join("0" if k in kpi.keys else "1" for k in _ALL_KEYS), 2)
+    return int("".join("0" if k in kpi.keys else "1" for k in ROLLUP_KEYS), 2)
+
+
+def rollup_sets() -> list[list[str]]:
+    """The grouping sets of the published KPIs."""
+    return [list(kpi.keys) for kpi, _ in PUBLISHED.values()]
 
 
 def kpi_rollup(clean: DataFrame) -> DataFrame:
@@ -175,10 +180,9 @@ def kpi_rollup(clean: DataFrame) -> DataFrame:
     One row per block, route and (category, mode): bounded by the number of
     groups, not by the data volume.
     """
-    sets = [list(kpi.keys) for kpi, _ in PUBLISHED.values()]
-    return _measured(clean.groupingSets(sets, *_ALL_KEYS), _ALL, F.grouping_id().alias("gid"))
+    return _measured(clean.groupingSets(rollup_sets(), *ROLLUP_KEYS), _ALL, F.grouping_id().alias("gid"))
 
 
 def kpis_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
     """The published KPI tables from a ``kpi_rollup``."""
-    return {name: after(_finished(rollup.where(F.col("gid") == _set_id(kpi)), kpi)) for name, (kpi, after) in PUBLISHED.items()}
+    return {name: after(finished(rollup.where(F.col("gid") == set_id(kpi)), kpi)) for name, (kpi, after) in PUBLISHED.items()}

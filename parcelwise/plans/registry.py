@@ -17,6 +17,8 @@ from parcelwise import schema as S
 from parcelwise.operators import clean as C
 from parcelwise.operators import dedup as D
 from parcelwise.operators import ingest as G
+from parcelwise.operators import keyed_table as KT
+from parcelwise.operators import kpi_state as KS
 from parcelwise.operators import kpis as A
 from parcelwise.operators import reports as R
 from parcelwise.operators.sample import first_rows
@@ -35,6 +37,7 @@ RUN_DATE = "2024-01-01"
 RUN_TS = "2024-01-01 06:00:00"
 NEXT_RUN_TS = "2024-01-02 06:00:00"
 LATE_TS = "2023-12-30 06:00:00"
+THIRD_RUN_TS = "2024-01-03 06:00:00"
 DEDUP_CUTOFF = "1997-01-01"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,6 +286,54 @@ def q_incremental_dedup(spark, sf_dir, cutoff: str = DEDUP_CUTOFF):
     return _no_run_time(D.read_target(spark, path, first.schema)).select(*S.SOURCE_COLUMNS)
 
 
+def _three_loads(spark, sf_dir, cutoff: str = DEDUP_CUTOFF) -> list[DataFrame]:
+    """A first load, one of new keys and changed rows, and a third with corrections of one month and rows that come late."""
+    text = source_text(spark, sf_dir)
+    first, second, third, late = (G.ingest(text, run_ts=ts) for ts in (RUN_TS, NEXT_RUN_TS, THIRD_RUN_TS, LATE_TS))
+    early = F.coalesce(F.col("shipment_date") < F.lit(cutoff).cast("date"), F.lit(False))
+    changed = second.where(early & F.col("customer_id").endswith("7")).withColumn("route", F.lit("rerouted"))
+    month = F.col("shipment_date").between(F.lit("1995-06-01").cast("date"), F.lit("1995-06-30").cast("date"))
+    corrected = third.where(month).withColumns({"route": F.lit("corrected"), "shipment_date": F.date_add("shipment_date", 1)})
+    stale = late.where(F.col("customer_id").endswith("3")).withColumn("route", F.lit("stale"))
+    return [first.where(early), second.where(~early).unionByName(changed), corrected.unionByName(stale)]
+
+
+def q_incremental_upsert(spark, sf_dir):
+    """Three loads into a target with a key index, with late corrections."""
+    path = shared_path(spark, "keyed")
+    loads = _three_loads(spark, sf_dir)
+    for batch in loads:
+        KT.load_keyed(batch, path, rows_per_group=50_000)
+    return _no_run_time(KT.read_keyed(spark, path, loads[0].schema)).select(*S.SOURCE_COLUMNS)
+
+
+def _incremental_states(spark, sf_dir) -> str:
+    """Day states after three loads of the landed table: up to the cutoff, the rest, and one old month delivered again."""
+    base = shared_path(spark, "states")
+    landed, states = f"{base}/{S.RAW_TABLE}", f"{base}/kpi_states"
+    raw = raw_shipments(spark, sf_dir)
+    early = F.coalesce(F.col("shipment_date") < F.lit(DEDUP_CUTOFF).cast("date"), F.lit(False))
+    month = F.col("shipment_date").between(F.lit("1995-06-01").cast("date"), F.lit("1995-06-30").cast("date"))
+    again = raw.where(month & (F.col("customer_rating") >= 2)).withColumns({
+        "actual_days": F.col("scheduled_days") + 2, "route": F.lit("corrected")})
+    for load in (raw.where(early), raw.where(~early), again):
+        days = KS.touched_days(load)
+        W.land_partitioned(load, landed, dynamic=True)
+        KS.update_states(spark, landed, days, states)
+    return states
+
+
+def _incremental_kpi(name):
+    def run(spark, sf_dir):
+        return KS.kpis_from_states(spark, _incremental_states(spark, sf_dir))[name]
+    run.__name__ = f"q_incremental_{name}"
+    return run
+
+
+def q_incremental_category_kpis_monthly(spark, sf_dir):
+    return KS.monthly_from_states(spark, _incremental_states(spark, sf_dir))
+
+
 # --- messages and streams ---
 
 def _publish(spark, sf_dir):
@@ -356,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "sample_rows": q_sample_rows,
     "dedup_latest": q_dedup_latest,
     "incremental_dedup": q_incremental_dedup,
+    "incremental_upsert": q_incremental_upsert,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_inferred_read": q_csv_inferred_read,
     "parquet_roundtrip": q_parquet_roundtrip,
@@ -371,6 +423,8 @@ QUERIES: dict[str, Query] = {
     "csv_foreign": q_csv_foreign,
     "ingest_stamp": q_ingest_stamp,
     "clean_counts": q_clean_counts,
+    **{f"incremental_{name}": _incremental_kpi(name) for name in A.PUBLISHED},
+    "incremental_category_kpis_monthly": q_incremental_category_kpis_monthly,
     **{f"daily_{name}": _daily_kpi(name) for name in A.PUBLISHED},
     **{f"published_{name}": _published(name) for name in A.PUBLISHED},
     **{f"daily_report_{name}": _daily_report(name) for name in R.KEYS},
