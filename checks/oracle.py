@@ -296,6 +296,33 @@ SELECT {RAW_COLS} FROM (
 CSV_FOREIGN = f"""{_src()}
 SELECT * REPLACE (route || ', "north"' || chr(10) || 'line 2 ' AS route) FROM (SELECT {RAW_COLS} FROM raw)"""
 
+# Spark reads 3.0 as the whole number 3; no other malformed text of the fixture is a number of the wanted kind.
+_MALFORMED = f"""bad_text AS (
+  SELECT * REPLACE (
+    CASE WHEN customer_id LIKE '%17' THEN 'heavy' ELSE weight_in_gms END AS weight_in_gms,
+    CASE WHEN customer_id LIKE '%7' THEN customer_rating || '.5' ELSE customer_rating END AS customer_rating,
+    CASE WHEN shipment_id LIKE '%3-1' THEN '12,50' ELSE cost_of_product END AS cost_of_product,
+    CASE WHEN customer_id LIKE '%4' THEN '3.0' ELSE scheduled_days END AS scheduled_days) FROM source_text),
+faults AS (
+  SELECT *, {_unmissing('shipment_id')} IS NULL AS no_key,
+    weight_in_gms = 'heavy' AS bad_weight, coalesce(customer_rating LIKE '%.5', false) AS bad_rating,
+    cost_of_product = '12,50' AS bad_cost, coalesce(shipment_date = 'not-a-date', false) AS bad_date FROM bad_text)"""
+_ANY = "(no_key OR bad_weight OR bad_rating OR bad_cost OR bad_date)"
+_FAULTS = {"shipment_id": "no_key", "customer_rating": "bad_rating", "cost_of_product": "bad_cost", "weight_in_gms": "bad_weight", "shipment_date": "bad_date"}
+
+INGEST_REJECTS = _with(SOURCE_TEXT, _MALFORMED) + " UNION ALL ".join(
+    f"SELECT shipment_id, '{field}' AS field, {field} AS raw_text, 'rejected' AS status FROM faults WHERE {test}" for field, test in _FAULTS.items())
+
+_TYPED_FAULTLESS = ", ".join(
+    f"{_unmissing(c)} AS {c}" if t is None else f"CAST(TRY_CAST({_unmissing(c)} AS DOUBLE) AS BIGINT) AS {c}" if t == "BIGINT" else f"TRY_CAST({_unmissing(c)} AS {t}) AS {c}"
+    for c, t in COLUMNS.items())
+INGEST_ACCEPTED = f"""{_with(SOURCE_TEXT, _MALFORMED)}
+SELECT {_TYPED_FAULTLESS} FROM faults WHERE NOT {_ANY}"""
+
+INGEST_REJECT_COUNTS = _with(SOURCE_TEXT, _MALFORMED) + " UNION ALL ".join(
+    f"SELECT '{c}' AS field, COUNT(*) FILTER ({_FAULTS.get(c, 'false')}) AS failures, COUNT(*) AS source_rows, "
+    "COUNT(*) FILTER (NOT no_key) AS accepted_rows, COUNT(*) FILTER (no_key) AS rejected_rows FROM faults" for c in COLUMNS)
+
 INGEST_STAMP = f"""{_src()}
 SELECT shipment_id, '2024-01-01 06:00:00' AS ingested_at FROM raw"""
 
@@ -375,6 +402,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest_dedup": STREAM_DEDUP,
         "csv_foreign": CSV_FOREIGN,
         "ingest_stamp": INGEST_STAMP,
+        "ingest_rejects": INGEST_REJECTS,
+        "ingest_accepted": INGEST_ACCEPTED,
+        "ingest_reject_counts": INGEST_REJECT_COUNTS,
         "clean_counts": CLEAN_COUNTS,
         **{f"daily_{k}": sql for k, sql in KPIS.items()},
         **{f"incremental_{k}": _corrected(sql) for k, sql in (KPIS | {"category_kpis_monthly": CATEGORY_KPIS_MONTHLY}).items()},

@@ -20,6 +20,7 @@ from parcelwise.operators import ingest as G
 from parcelwise.operators import keyed_table as KT
 from parcelwise.operators import kpi_state as KS
 from parcelwise.operators import kpis as A
+from parcelwise.operators import quarantine as QU
 from parcelwise.operators import reports as R
 from parcelwise.operators.sample import first_rows
 from parcelwise.plans import pipeline as P
@@ -29,6 +30,7 @@ from parcelwise.sinks import ddl as K
 from parcelwise.sinks import writers as W
 from parcelwise.sources import readers as SR
 from parcelwise.sources.fixture import shipments_text
+from parcelwise.streaming import bounded_dedup as BD
 from parcelwise.streaming import ingest_stream as T2
 from parcelwise.streaming import messages as T1
 
@@ -203,6 +205,40 @@ def q_csv_foreign(spark, sf_dir):
     return _no_run_time(G.ingest(rows, run_ts=RUN_TS, date_formats=("MM/dd/yyyy",)))
 
 
+def _malformed_source(spark, sf_dir):
+    """The source with malformed numbers and dates in some rows, also several in one."""
+    text = source_text(spark, sf_dir)
+    some = lambda c, tail: F.coalesce(F.col(c).endswith(tail), F.lit(False))
+    return text.withColumns({
+        "weight_in_gms": F.when(some("customer_id", "17"), F.lit("heavy")).otherwise(F.col("weight_in_gms")),
+        "customer_rating": F.when(some("customer_id", "7"), F.concat(F.col("customer_rating"), F.lit(".5"))).otherwise(F.col("customer_rating")),
+        "cost_of_product": F.when(some("shipment_id", "3-1"), F.lit("12,50")).otherwise(F.col("cost_of_product")),
+        "scheduled_days": F.when(some("customer_id", "4"), F.lit("3.0")).otherwise(F.col("scheduled_days")),
+    })
+
+
+def _quarantined(spark, sf_dir, strict: bool):
+    path = shared_path(spark, "quarantine")
+    return path, QU.land_with_quarantine(_malformed_source(spark, sf_dir), path, run_ts=RUN_TS, strict=strict)
+
+
+def q_ingest_rejects(spark, sf_dir):
+    return QU.rejects(spark, _quarantined(spark, sf_dir, strict=True)[0])
+
+
+def q_ingest_accepted(spark, sf_dir):
+    return _no_run_time(QU.accepted_rows(spark, _quarantined(spark, sf_dir, strict=True)[0]))
+
+
+def q_ingest_reject_counts(spark, sf_dir):
+    """One row per field: the counts that the landing write observed, lenient rule."""
+    counts = _quarantined(spark, sf_dir, strict=False)[1]
+    if counts.source_rows != counts.accepted_rows + counts.rejected_rows:
+        raise RuntimeError(f"source rows are not accepted and rejected rows: {counts}")
+    rows = [(n, v, counts.source_rows, counts.accepted_rows, counts.rejected_rows) for n, v in counts.failures.items()]
+    return spark.createDataFrame(rows, "field string, failures long, source_rows long, accepted_rows long, rejected_rows long")
+
+
 def q_ingest_stamp(spark, sf_dir):
     path = shared_path(spark, "raw_flat")
     W.land_raw(raw_shipments(spark, sf_dir), path)
@@ -367,6 +403,21 @@ def q_stream_ingest_dedup(spark, sf_dir):
     return _no_run_time(events).select(*S.SOURCE_COLUMNS)
 
 
+def q_stream_dedup_bounded(spark, sf_dir):
+    """Three deliveries, 20 hours apart in event time, each with repeats of the one before; every id is kept once."""
+    topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
+    raw = raw_shipments(spark, sf_dir)
+    third = F.pmod(F.crc32("customer_id"), F.lit(3))
+    # event time by delivery: some hours apart, so repeats of the delivery before lie within the watermark
+    at = lambda n: F.to_timestamp(F.lit(RUN_TS)) + F.make_dt_interval(hours=F.lit(20 * n))
+    deliveries = [raw.where(F.coalesce(third, F.lit(0)) == n).withColumn("ingested_at", at(n)) for n in range(3)]
+    for n, delivery in enumerate(deliveries):
+        again = deliveries[n - 1] if n else delivery
+        T1.publish(delivery.unionByName(again), topic)
+        events = BD.ingest_distinct(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint")
+    return _no_run_time(events).select(*S.SOURCE_COLUMNS)
+
+
 # --- the daily run and its checks ---
 
 def _run(spark, sf_dir):
@@ -418,10 +469,14 @@ QUERIES: dict[str, Query] = {
     "json_publish": q_json_publish,
     "stream_ingest": q_stream_ingest,
     "stream_ingest_dedup": q_stream_ingest_dedup,
+    "stream_dedup_bounded": q_stream_dedup_bounded,
     "quality_report": q_quality_report,
     "run_summary": q_run_summary,
     "csv_foreign": q_csv_foreign,
     "ingest_stamp": q_ingest_stamp,
+    "ingest_rejects": q_ingest_rejects,
+    "ingest_accepted": q_ingest_accepted,
+    "ingest_reject_counts": q_ingest_reject_counts,
     "clean_counts": q_clean_counts,
     **{f"incremental_{name}": _incremental_kpi(name) for name in A.PUBLISHED},
     "incremental_category_kpis_monthly": q_incremental_category_kpis_monthly,
