@@ -400,6 +400,7 @@ def oracle_sql() -> dict[str, str]:
         **{k: INGEST_RAW for k in ROUNDTRIPS},
         "table_read_query": WAREHOUSE_KPIS,
         "stream_ingest_dedup": STREAM_DEDUP,
+        "stream_dedup_bounded": DEDUP_LATEST,
         "csv_foreign": CSV_FOREIGN,
         "ingest_stamp": INGEST_STAMP,
         "ingest_rejects": INGEST_REJECTS,

@@ -406,7 +406,7 @@ def q_stream_ingest_dedup(spark, sf_dir):
 def q_stream_dedup_bounded(spark, sf_dir):
     """Three deliveries, 20 hours apart in event time, each with repeats of the one before; every id is kept once."""
     topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
-    raw = raw_shipments(spark, sf_dir)
+    raw = D.latest_per_key(raw_shipments(spark, sf_dir))
     third = F.pmod(F.crc32("customer_id"), F.lit(3))
     # event time by delivery: some hours apart, so repeats of the delivery before lie within the watermark
     at = lambda n: F.to_timestamp(F.lit(RUN_TS)) + F.make_dt_interval(hours=F.lit(20 * n))
