@@ -358,11 +358,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     key = F.struct(F.col("id").isNull().alias("late"), "id", "text_key", "n")
     picks = placed.groupBy("component").agg(F.min(key).alias("k")).select("k.id", "k.text_key", (F.col("k.n") > 1).alias("again"))
     empty = rows.where("node is null").select("id", "text_key", F.lit(False).alias("again"))
-    kept = stored(picks.union(empty), "join-kept").select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("again").alias("_again"))
-    met = docs.join(kept, docs[id_col].eqNullSafe(kept["_id"]) & (F.xxhash64(docs[text_col]) == kept["_key"]))
-    once = met.where("not _again").select(*docs.columns)
-    # rows that come several times over, id and text alike
-    return once.union(met.where("_again").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+    kept = stored(picks.union(empty), "join-kept")
+    # the row travels in one field, as its columns may have the names used here
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("own"), F.xxhash64(F.col(f"`{text_col}`")).alias("hash"))
+    met = packed.join(kept, packed["own"].eqNullSafe(kept["id"]) & (packed["hash"] == kept["text_key"]))
+    # rows that come several times over, id and text alike, stay once
+    rows = met.where("not again").select("row").union(met.where("again").dropDuplicates(["id", "text_key"]).select("row"))
+    return rows.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 ORACLE_SQL = r"""

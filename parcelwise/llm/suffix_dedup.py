@@ -502,19 +502,24 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The input rows with repeated bytes removed from the text (whole code points only); null texts stay null."""
     _, nodes, single = _facts(docs, id_col, text_col)
     known = stored(nodes.select("node", "copies", "n_bytes").join(single.select("node", "spans"), "node", "left").select(
-        F.col("node").alias("_node"), ((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).alias("_gone"), F.col("spans").alias("_spans")), "suffix-known")
-    rows = docs.withColumn("_node", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).join(known, "_node").drop("_node")
-    names = docs.columns
+        "node", ((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)).alias("gone"), "spans"), "suffix-known")
+    # the other columns travel in one field, as they may have the names used here
+    others = [c for c in docs.columns if c != text_col]
+    rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(text.alias("text"), rest.alias("rest"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("node"))
+    rows = rows.join(known, "node").select("text", "gone", "spans", "rest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, gone, spans in zip(*(batch.column(c).to_pylist() for c in (text_col, "_gone", "_spans")), strict=True):
+            for text, gone, spans in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 if text is not None and gone:
                     text = ""
                 elif text is not None and spans:
                     text = kept_text(text.encode("utf-8", "replace"), merged(spans))
                 texts.append(text)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == text_col else batch.column(c) for c in names], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(3)], names=["text", "rest"])
 
-    return rows.mapInArrow(run, docs.schema)
+    done = rows.mapInArrow(run, rows.select("text", "rest").schema)
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.c{others.index(c)}").alias(c) for c in docs.columns])

@@ -44,8 +44,6 @@ SLICE = 1 << 15
 VERSION = b"WARC/1.1"
 MEMBER_START = b"\x1f\x8b\x08"
 VERSION_START = b"WARC/1."
-#: A header block longer than this is taken as damage.
-MAX_HEADER = 1 << 16
 
 MANIFEST = "uri string, bytes long, records long"
 RECORDS = ("kind string, archive string, offset long, length long, reason string, record_type string, target_uri string, "
@@ -224,9 +222,10 @@ def _gzip_record(window: _Window, offset: int) -> tuple[int, tuple]:
 
 
 def _plain_record(window: _Window, offset: int) -> tuple[int, tuple]:
-    head, gap, _ = window.read(offset, MAX_HEADER).partition(b"\r\n\r\n")
-    if not gap:
+    gap = window.find((b"\r\n\r\n",), offset)
+    if gap >= window.size:
         raise Damaged("no end of the header")
+    head = window.read(offset, gap - offset)
     fields = _parse(head)
     n, start = _length(fields), offset + len(head) + 4
     if start + n + 4 > window.size:
