@@ -46,7 +46,7 @@ OVER_LANDED = {
     "report_rolling_delay": R.rolling_delay,
     "dedup_latest": D.latest_per_key,
 }
-WHOLE = ["ingest_raw", "incremental_dedup", "partitioned_overwrite", "stream_ingest", "quality_report"]
+WHOLE = ["ingest_raw", "incremental_dedup", "incremental_upsert", "partitioned_overwrite", "stream_ingest", "quality_report"]
 HEADLINE = ["source_join", *OVER_LANDED, *WHOLE]
 
 

@@ -352,8 +352,18 @@ SELECT 'ecommerce_shipment_pipeline' AS pipeline, DATE '2024-01-01' AS run_date,
   CAST(3 AS BIGINT) AS kpi_outputs,
   'SUCCESS' AS status"""
 
+RECONCILED_DAYS = f"""{_src()}, d AS (
+  SELECT shipment_date, COUNT(*) AS n, COALESCE(SUM(CAST(cost_of_product AS DECIMAL(20,4))), 0) AS cost, COALESCE(SUM(weight_in_gms), 0) AS grams
+  FROM raw GROUP BY shipment_date)
+SELECT shipment_date, n AS source_rows, n AS landed_rows, CAST(cost AS DOUBLE) AS source_cost, CAST(cost AS DOUBLE) AS landed_cost,
+  CAST(grams AS BIGINT) AS source_grams, CAST(grams AS BIGINT) AS landed_grams, 'OK' AS status FROM d"""
+
+RECONCILED_KPIS = f"""{_cln()}
+SELECT name AS output, n AS observed, n AS expected, 'OK' AS status
+FROM (SELECT COUNT(shipment_id) AS n FROM clean), (VALUES ('warehouse_kpis'), ('route_kpis'), ('category_kpis')) v(name)"""
+
 ROUNDTRIPS = ("csv_roundtrip", "csv_inferred_read", "parquet_roundtrip", "source_preference", "dated_landing",
-              "partitioned_overwrite", "json_publish", "stream_ingest")
+              "partitioned_overwrite", "json_publish", "stream_ingest", "layout_compacted", "layout_clustered")
 
 REPORTS = {
     "on_time_by_warehouse": REPORT_ON_TIME,
@@ -412,5 +422,7 @@ def oracle_sql() -> dict[str, str]:
         **{f"published_{k}": f"SELECT *, '2024-01-01 06:00:00' AS computed_at FROM ({sql})" for k, sql in KPIS.items()},
         **{f"daily_report_{k}": sql for k, sql in REPORTS.items()},
         "quality_report": QUALITY_REPORT,
+        "reconciled_days": RECONCILED_DAYS,
+        "reconciled_kpis": RECONCILED_KPIS,
         "run_summary": RUN_SUMMARY,
     }

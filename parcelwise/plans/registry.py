@@ -25,8 +25,10 @@ from parcelwise.operators import reports as R
 from parcelwise.operators.sample import first_rows
 from parcelwise.plans import pipeline as P
 from parcelwise.plans import quality as Q
+from parcelwise.plans import reconcile as RC
 from parcelwise.session import delete_path, shared_path
 from parcelwise.sinks import ddl as K
+from parcelwise.sinks import layout as L
 from parcelwise.sinks import writers as W
 from parcelwise.sources import readers as SR
 from parcelwise.sources.fixture import shipments_text
@@ -262,6 +264,25 @@ def q_partitioned_overwrite(spark, sf_dir):
     return _no_run_time(spark.table(table)).select(*S.SOURCE_COLUMNS)
 
 
+def q_layout_compacted(spark, sf_dir):
+    """A day-partitioned table of which a later load has cut up half a year, compacted to one file a day."""
+    path = shared_path(spark, "compacted")
+    raw = raw_shipments(spark, sf_dir)
+    half = F.col("shipment_date").between(F.lit("1995-07-01").cast("date"), F.lit("1995-12-31").cast("date"))
+    later = F.coalesce(half & (F.pmod(F.crc32("customer_id"), F.lit(2)) == 1), F.lit(False))
+    for part in (raw.where(~later), raw.where(later)):
+        part.hint("rebalance", "shipment_date").write.mode("append").partitionBy("shipment_date").parquet(path)
+    if not L.compact_days(spark, path) or L.crowded_days(spark, path):
+        raise RuntimeError("a day still holds more files than its rows need")
+    return _no_run_time(SR.read_landed(spark, path))
+
+
+def q_layout_clustered(spark, sf_dir):
+    path = shared_path(spark, "clustered")
+    L.land_clustered(raw_shipments(spark, sf_dir), path, rows_per_file=20_000)
+    return _no_run_time(SR.read_landed(spark, path))
+
+
 def _daily_kpis(spark, sf_dir):
     """The KPI outputs as the daily job's transform step writes them, and its counts."""
     base = shared_path(spark, "daily")
@@ -437,7 +458,26 @@ def q_run_summary(spark, sf_dir):
     return spark.read.schema(P.RUN_LOG_SCHEMA).parquet(result.run_log)
 
 
+def q_reconciled_days(spark, sf_dir):
+    """Source against landed table, day by day, by counts, amounts and content."""
+    path = shared_path(spark, "reconciled")
+    source = G.drop_missing_key(typed_source(spark, sf_dir))
+    W.land_raw(G.ingest(source_text(spark, sf_dir), run_ts=RUN_TS), path)
+    report = RC.reconciled(source, SR.read_landed(spark, path))
+    return report.withColumns({c: F.col(c).cast("double") for c in ("source_cost", "landed_cost")})
+
+
+def q_reconciled_kpis(spark, sf_dir):
+    base, outputs, _ = _daily_kpis(spark, sf_dir)
+    landed = C.clean(SR.read_landed(spark, f"{base}/{S.RAW_TABLE}"))
+    return RC.kpi_totals(landed, {name: spark.read.parquet(path) for name, path in outputs.items()})
+
+
 QUERIES: dict[str, Query] = {
+    "layout_compacted": q_layout_compacted,
+    "layout_clustered": q_layout_clustered,
+    "reconciled_days": q_reconciled_days,
+    "reconciled_kpis": q_reconciled_kpis,
     "ingest_raw": q_ingest_raw,
     "ingest_counts": q_ingest_counts,
     "clean_shipments": q_clean_shipments,
