@@ -27,15 +27,17 @@ def _files(path, pattern="**/*.parquet"):
 @pytest.fixture(scope="module")
 def raw(spark, sf_small):
     path = shared_path(spark, "t_layout_raw")
-    Rg.raw_shipments(spark, sf_small).where("shipment_date is null or shipment_date < DATE'1992-04-01'").write.parquet(path)
-    return SR.read_landed(spark, path)
+    Rg.raw_shipments(spark, sf_small).where("shipment_date is null or shipment_date between DATE'1995-01-01' and DATE'1995-03-31'").write.parquet(path)
+    rows = SR.read_landed(spark, path)
+    assert rows.where("shipment_date is not null").count() > 50
+    return rows
 
 
 def test_compaction_rewrites_crowded_days_only(spark, raw):
     path = shared_path(spark, "t_compact")
     W.land_partitioned(raw, path)
     for _ in range(2):                                                              # three days get more files, and the null day
-        more = raw.where("shipment_date between DATE'1992-02-03' and DATE'1992-02-05' or shipment_date is null").limit(60)
+        more = raw.where("shipment_date between DATE'1995-02-03' and DATE'1995-02-05' or shipment_date is null").limit(60)
         more.repartition(3).write.mode("append").partitionBy("shipment_date").parquet(path)
     spark.catalog.refreshByPath(path)
     before, content = set(_files(path)), SR.read_landed(spark, path)
