@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Arrow batches of about ``size`` bytes for the jobs run inside; a batch is otherwise bounded by its rows.
+
+    A batch is held by the executor's JVM (off the heap, in buffers that double
+    as they grow) and by its Python worker at the same time, so rows of many
+    kilobytes make batches that count several times.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def words(text: Column) -> Column:
     """Words of a text in order; null gives an empty array."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
