@@ -323,6 +323,46 @@ INGEST_REJECT_COUNTS = _with(SOURCE_TEXT, _MALFORMED) + " UNION ALL ".join(
     f"SELECT '{c}' AS field, COUNT(*) FILTER ({_FAULTS.get(c, 'false')}) AS failures, COUNT(*) AS source_rows, "
     "COUNT(*) FILTER (NOT no_key) AS accepted_rows, COUNT(*) FILTER (no_key) AS rejected_rows FROM faults" for c in COLUMNS)
 
+_DAYS = {"2024-01-01": 0, "2024-01-02": 1, "2024-01-03": 2}
+_DELIVERED = " UNION ALL ".join(
+    f"SELECT * {'REPLACE (CAST(NULL AS DOUBLE) AS discount_offered)' if n == 2 else ''}, '{ds}' AS ds FROM (SELECT {RAW_COLS} FROM raw WHERE CAST(customer_id AS BIGINT) % 3 = {n})"
+    for ds, n in _DAYS.items())
+DRIFTING_LANDING = f"{_src()} {_DELIVERED}"
+DRIFTING_RANGE = f"{_src()} SELECT * FROM ({_DELIVERED}) WHERE ds >= '2024-01-02'"
+
+_KINDS = {
+    "int": "regexp_full_match(v, '[+-]?[0-9]{1,38}') AND TRY_CAST(v AS INTEGER) IS NOT NULL",
+    "bigint": "regexp_full_match(v, '[+-]?[0-9]{1,38}') AND TRY_CAST(v AS BIGINT) IS NOT NULL",
+    "decimal": "regexp_full_match(v, '[+-]?[0-9]{1,38}')",
+    "double": "regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')",
+    "date": "regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(v AS DATE) IS NOT NULL",
+    "timestamp": "regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9:.]+)?') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+    "boolean": "lower(v) IN ('true', 'false')",
+}
+
+
+def _first_kind(least: str) -> str:
+    return "CASE WHEN n_values = 0 THEN 'string' " + " ".join(f"WHEN n_{k} >= {least} THEN '{k}'" for k in _KINDS) + " ELSE 'string' END"
+
+
+def _by_kind(what: str, other: str) -> str:
+    return "CASE leading_type " + " ".join(f"WHEN '{k}' THEN {what.format(k)}" for k in _KINDS) + f" ELSE {other} END"
+
+
+_PROFILE = _with(SOURCE_TEXT, _MALFORMED).rstrip() + ", cells AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {_unmissing(c)} AS v FROM bad_text" for c in COLUMNS) + f"""),
+counted AS (SELECT column_name, COUNT(v) AS n_values, COUNT(*) - COUNT(v) AS n_missing,
+  {", ".join(f"COUNT(*) FILTER ({t}) AS n_{k}, MIN(v) FILTER (NOT ({t})) AS least_{k}" for k, t in _KINDS.items())}
+  FROM cells GROUP BY column_name),
+led AS (SELECT *, {_first_kind("n_values")} AS exact_type, {_first_kind("n_values * 0.95")} AS leading_type FROM counted)
+"""
+CSV_TYPE_PROFILE = f"""{_PROFILE}
+SELECT column_name, n_values, n_missing, {", ".join(f"n_{k}" for k in _KINDS)}, exact_type, leading_type,
+  {_by_kind("n_values - n_{}", "0")} AS n_offenders, {_by_kind("least_{}", "NULL")} AS example FROM led"""
+CSV_TYPE_OFFENDERS = _PROFILE + " UNION ALL ".join(
+    f"SELECT column_name, leading_type, v AS value, COUNT(*) AS n_rows FROM cells JOIN led USING (column_name) "
+    f"WHERE v IS NOT NULL AND leading_type = '{k}' AND NOT ({t}) GROUP BY ALL" for k, t in _KINDS.items())
+
 INGEST_STAMP = f"""{_src()}
 SELECT shipment_id, '2024-01-01 06:00:00' AS ingested_at FROM raw"""
 
@@ -363,7 +403,7 @@ SELECT name AS output, n AS observed, n AS expected, 'OK' AS status
 FROM (SELECT COUNT(shipment_id) AS n FROM clean), (VALUES ('warehouse_kpis'), ('route_kpis'), ('category_kpis')) v(name)"""
 
 ROUNDTRIPS = ("csv_roundtrip", "csv_inferred_read", "parquet_roundtrip", "source_preference", "dated_landing",
-              "partitioned_overwrite", "json_publish", "stream_ingest", "layout_compacted", "layout_clustered")
+              "partitioned_overwrite", "json_publish", "stream_publish", "stream_ingest", "layout_compacted", "layout_clustered")
 
 REPORTS = {
     "on_time_by_warehouse": REPORT_ON_TIME,
@@ -412,6 +452,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest_dedup": STREAM_DEDUP,
         "stream_dedup_bounded": DEDUP_LATEST,
         "csv_foreign": CSV_FOREIGN,
+        "csv_type_profile": CSV_TYPE_PROFILE,
+        "csv_type_offenders": CSV_TYPE_OFFENDERS,
+        "drifting_landing": DRIFTING_LANDING,
+        "drifting_landing_range": DRIFTING_RANGE,
         "ingest_stamp": INGEST_STAMP,
         "ingest_rejects": INGEST_REJECTS,
         "ingest_accepted": INGEST_ACCEPTED,

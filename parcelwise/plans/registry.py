@@ -26,15 +26,18 @@ from parcelwise.operators.sample import first_rows
 from parcelwise.plans import pipeline as P
 from parcelwise.plans import quality as Q
 from parcelwise.plans import reconcile as RC
-from parcelwise.session import delete_path, shared_path
+from parcelwise.session import delete_path, list_names, shared_path
 from parcelwise.sinks import ddl as K
 from parcelwise.sinks import layout as L
 from parcelwise.sinks import writers as W
+from parcelwise.sources import history as H
 from parcelwise.sources import readers as SR
+from parcelwise.sources import type_profile as TP
 from parcelwise.sources.fixture import shipments_text
 from parcelwise.streaming import bounded_dedup as BD
 from parcelwise.streaming import ingest_stream as T2
 from parcelwise.streaming import messages as T1
+from parcelwise.streaming import publish_stream as PS
 
 # A fixed run time for queries whose output would otherwise depend on the clock.
 RUN_DATE = "2024-01-01"
@@ -191,6 +194,44 @@ def q_dated_landing(spark, sf_dir, ds: str = RUN_DATE):
     return _no_run_time(G.ingest(history.filter(F.col("ds") == ds).drop("ds"), run_ts=RUN_TS))
 
 
+def _drifting_landing(spark, sf_dir):
+    """Three deliveries: as declared; reversed and with an unknown column; without discounts and with the id last."""
+    prefix = shared_path(spark, "drifting")
+    text = source_text(spark, sf_dir)
+    third = F.pmod(F.col("customer_id").cast("bigint"), F.lit(3))
+    later = [c for c in S.SOURCE_COLUMNS if c not in ("discount_offered", "shipment_id")]
+    W.write_csv(text.where(third == 0), SR.landing_path(prefix, RUN_DATE))
+    W.write_csv(text.where(third == 1).select(*reversed(text.columns), F.lit("x, y").alias("unknown_column")), SR.landing_path(prefix, "2024-01-02"))
+    W.write_csv(text.where(third == 2).select(*later, "shipment_id"), SR.landing_path(prefix, "2024-01-03"))
+    return prefix
+
+
+def q_drifting_landing(spark, sf_dir):
+    history = H.read_history(spark, _drifting_landing(spark, sf_dir))
+    return history.select(*G.typed_columns(), "ds").dropna(subset=["shipment_id"])
+
+
+def q_drifting_landing_range(spark, sf_dir):
+    """Only the days from the second on."""
+    history = H.read_history(spark, _drifting_landing(spark, sf_dir), since="2024-01-02")
+    return history.select(*G.typed_columns(), "ds").dropna(subset=["shipment_id"])
+
+
+def _malformed_csv(spark, sf_dir):
+    path = shared_path(spark, "malformed_csv")
+    W.write_csv(_malformed_source(spark, sf_dir), path)
+    return SR.read_source_csv(spark, path)
+
+
+def q_csv_type_profile(spark, sf_dir):
+    return TP.type_profile(_malformed_csv(spark, sf_dir))
+
+
+def q_csv_type_offenders(spark, sf_dir):
+    rows = _malformed_csv(spark, sf_dir)
+    return TP.type_offenders(rows, TP.type_profile(rows))
+
+
 def q_csv_foreign(spark, sf_dir):
     """A file as other tools write it: columns in another order, commas, quotes and line breaks
     inside fields, integers as decimals, and US dates."""
@@ -405,6 +446,19 @@ def q_json_publish(spark, sf_dir):
     return G.conform(text)
 
 
+def q_stream_publish(spark, sf_dir):
+    """The landed table goes out as a stream; the last epoch is run again after a stop before its commit."""
+    base = shared_path(spark, "stream_publish")
+    landed, topic, checkpoint = f"{base}/landed", f"{base}/topic", f"{base}/_checkpoint"
+    W.land_raw(raw_shipments(spark, sf_dir).repartition(8), landed)
+    rows = PS.follow_table(spark, landed, max_files_per_trigger=3)
+    PS.publish_available(rows, topic, checkpoint)
+    last = max(int(n) for n in list_names(spark, f"{checkpoint}/commits") if n.isdigit())
+    delete_path(spark, f"{checkpoint}/commits/{last}")
+    PS.publish_available(rows, topic, checkpoint)
+    return G.conform(T1.decode(spark.read.text(topic)))
+
+
 def q_stream_ingest(spark, sf_dir):
     topic = _publish(spark, sf_dir)
     base = shared_path(spark, "stream")
@@ -513,6 +567,11 @@ QUERIES: dict[str, Query] = {
     "quality_report": q_quality_report,
     "run_summary": q_run_summary,
     "csv_foreign": q_csv_foreign,
+    "csv_type_profile": q_csv_type_profile,
+    "csv_type_offenders": q_csv_type_offenders,
+    "drifting_landing": q_drifting_landing,
+    "drifting_landing_range": q_drifting_landing_range,
+    "stream_publish": q_stream_publish,
     "ingest_stamp": q_ingest_stamp,
     "ingest_rejects": q_ingest_rejects,
     "ingest_accepted": q_ingest_accepted,

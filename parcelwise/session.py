@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +70,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/parcelwise/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def session_settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs and queries started inside; restored afterwards."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
 
@@ -102,6 +117,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
 
 
+def move_into(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file; a target that is there already is an error."""
+    fs, hpath = _hadoop_path(spark, source)
+    if not fs.rename(hpath, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise RuntimeError(f"cannot move {source} to {target}")
+
+
 def create_exclusively(spark: SparkSession, path: str, line: str) -> bool:
     """Write a one-line file that must not exist yet; False if it does."""
     fs, hpath = _hadoop_path(spark, path)

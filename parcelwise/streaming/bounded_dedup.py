@@ -16,13 +16,11 @@ it is read at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from parcelwise import schema as S
+from parcelwise.session import session_settings
 from parcelwise.streaming.ingest_stream import subscribe, typed_events
 
 STATE_STORE = {
@@ -32,19 +30,6 @@ STATE_STORE = {
 DELAY = "2 days"
 
 
-@contextmanager
-def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    """Session settings that a query takes over when it starts; restored afterwards."""
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def distinct_events(messages: DataFrame, delay: str = DELAY, key: str = "shipment_id") -> DataFrame:
     """Typed events, each id once within the watermark; works on a stream."""
     return typed_events(messages).withWatermark("ingested_at", delay).dropDuplicatesWithinWatermark([key])
@@ -56,7 +41,7 @@ def start_distinct_ingest(spark: SparkSession, topic: str, sink: str, checkpoint
     events = distinct_events(subscribe(spark, topic, fmt, max_files_per_trigger, **options), delay)
     writer = (events.writeStream.outputMode("append").format("parquet").option("path", sink).option("checkpointLocation", checkpoint))
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
-    with _settings(spark, STATE_STORE):
+    with session_settings(spark, STATE_STORE):
         return writer.start()
 
 
