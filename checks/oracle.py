@@ -363,6 +363,12 @@ CSV_TYPE_OFFENDERS = _PROFILE + " UNION ALL ".join(
     f"SELECT column_name, leading_type, v AS value, COUNT(*) AS n_rows FROM cells JOIN led USING (column_name) "
     f"WHERE v IS NOT NULL AND leading_type = '{k}' AND NOT ({t}) GROUP BY ALL" for k, t in _KINDS.items())
 
+STREAM_RUN_SUMMARY = f"""{_src()}
+SELECT 'shipments' AS query, CAST(3 AS BIGINT) AS batches, COUNT(*) AS source_rows, COUNT(shipment_id) AS landed_rows,
+  COUNT(*) FILTER (shipment_id IS NOT NULL AND shipment_date IS NULL) AS undated_rows,
+  {r2("SUM(CAST(cost_of_product AS DECIMAL(18,2))) FILTER (shipment_id IS NOT NULL)")} AS total_cost,
+  MIN(shipment_date) FILTER (shipment_id IS NOT NULL) AS first_date, MAX(shipment_date) FILTER (shipment_id IS NOT NULL) AS last_date FROM typed"""
+
 INGEST_STAMP = f"""{_src()}
 SELECT shipment_id, '2024-01-01 06:00:00' AS ingested_at FROM raw"""
 
@@ -452,6 +458,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest_dedup": STREAM_DEDUP,
         "stream_dedup_bounded": DEDUP_LATEST,
         "csv_foreign": CSV_FOREIGN,
+        "stream_run_summary": STREAM_RUN_SUMMARY,
         "csv_type_profile": CSV_TYPE_PROFILE,
         "csv_type_offenders": CSV_TYPE_OFFENDERS,
         "drifting_landing": DRIFTING_LANDING,

@@ -38,6 +38,7 @@ from parcelwise.streaming import bounded_dedup as BD
 from parcelwise.streaming import ingest_stream as T2
 from parcelwise.streaming import messages as T1
 from parcelwise.streaming import publish_stream as PS
+from parcelwise.streaming import run_log as RL
 
 # A fixed run time for queries whose output would otherwise depend on the clock.
 RUN_DATE = "2024-01-01"
@@ -466,6 +467,16 @@ def q_stream_ingest(spark, sf_dir):
     return _no_run_time(events)
 
 
+def q_stream_run_summary(spark, sf_dir):
+    """The run log of a stream in three batches, added up."""
+    topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
+    T1.publish(typed_source(spark, sf_dir).repartition(8), topic)
+    log = RL.ingest_logged(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint", f"{base}/_log", max_files_per_trigger=3)
+    return log.groupBy("query").agg(
+        F.count("*").alias("batches"), *[F.sum(c).alias(c) for c in ("source_rows", "landed_rows", "undated_rows")],
+        F.round(F.sum("total_cost"), 2).alias("total_cost"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+
+
 def q_stream_ingest_dedup(spark, sf_dir):
     """Messages arrive twice, and those of some customers days late: no id is lost, the newest row of each stays."""
     topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
@@ -572,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "drifting_landing": q_drifting_landing,
     "drifting_landing_range": q_drifting_landing_range,
     "stream_publish": q_stream_publish,
+    "stream_run_summary": q_stream_run_summary,
     "ingest_stamp": q_ingest_stamp,
     "ingest_rejects": q_ingest_rejects,
     "ingest_accepted": q_ingest_accepted,
