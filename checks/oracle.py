@@ -238,6 +238,11 @@ ORDER BY shipment_date NULLS FIRST"""
 INGEST_RAW = f"""{_src()}
 SELECT {RAW_COLS} FROM raw"""
 
+CONNECTOR_FILTERED = f"""{_src()}
+SELECT shipment_id, warehouse_block, shipment_date, cost_of_product, customer_rating FROM raw
+WHERE shipment_date >= DATE '1996-10-01' AND shipment_date < DATE '1997-01-01' AND warehouse_block IN ('A', 'B')
+  AND customer_rating <> 3 AND cost_of_product > 1000"""
+
 INGEST_COUNTS = f"""WITH {SOURCE_TEXT}
 SELECT COUNT(*) AS source_rows,
   COUNT({_unmissing('shipment_id')}) AS valid_rows,
@@ -409,7 +414,7 @@ SELECT name AS output, n AS observed, n AS expected, 'OK' AS status
 FROM (SELECT COUNT(shipment_id) AS n FROM clean), (VALUES ('warehouse_kpis'), ('route_kpis'), ('category_kpis')) v(name)"""
 
 ROUNDTRIPS = ("csv_roundtrip", "csv_inferred_read", "parquet_roundtrip", "source_preference", "dated_landing",
-              "partitioned_overwrite", "json_publish", "stream_publish", "stream_ingest", "layout_compacted", "layout_clustered")
+              "partitioned_overwrite", "connector_roundtrip", "json_publish", "stream_publish", "stream_ingest", "layout_compacted", "layout_clustered")
 
 REPORTS = {
     "on_time_by_warehouse": REPORT_ON_TIME,
@@ -455,6 +460,8 @@ def oracle_sql() -> dict[str, str]:
         "incremental_upsert": INCREMENTAL_UPSERT,
         **{k: INGEST_RAW for k in ROUNDTRIPS},
         "table_read_query": WAREHOUSE_KPIS,
+        "connector_kpis": WAREHOUSE_KPIS,
+        "connector_filtered": CONNECTOR_FILTERED,
         "stream_ingest_dedup": STREAM_DEDUP,
         "stream_dedup_bounded": DEDUP_LATEST,
         "csv_foreign": CSV_FOREIGN,

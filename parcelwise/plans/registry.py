@@ -30,6 +30,7 @@ from parcelwise.session import delete_path, list_names, shared_path
 from parcelwise.sinks import ddl as K
 from parcelwise.sinks import layout as L
 from parcelwise.sinks import writers as W
+from parcelwise.sources import connector as CN
 from parcelwise.sources import history as H
 from parcelwise.sources import readers as SR
 from parcelwise.sources import type_profile as TP
@@ -538,7 +539,43 @@ def q_reconciled_kpis(spark, sf_dir):
     return RC.kpi_totals(landed, {name: spark.read.parquet(path) for name, path in outputs.items()})
 
 
+def _connected(spark, sf_dir) -> tuple[str, dict[str, str]]:
+    """The raw table behind the connector: a first state replaced by the early rows, the later ones appended."""
+    fmt, options = CN.register(spark), {"warehouse": shared_path(spark, "connector")}
+    raw = raw_shipments(spark, sf_dir)
+    early = F.coalesce(F.col("shipment_date") < F.lit(DEDUP_CUTOFF).cast("date"), F.lit(False))
+    W.publish_table(raw.where(~early), S.RAW_TABLE, fmt, **options)
+    W.publish_table(raw.where(early), S.RAW_TABLE, fmt, **options)
+    W.append_table(raw.where(~early), S.RAW_TABLE, fmt, **options)
+    return fmt, options
+
+
+def q_connector_roundtrip(spark, sf_dir):
+    fmt, options = _connected(spark, sf_dir)
+    return _no_run_time(SR.read_table(spark, S.RAW_TABLE, fmt, **options))
+
+
+def q_connector_filtered(spark, sf_dir):
+    """Shipments of two blocks in one quarter: filters that the connector takes over, and the columns it is asked for."""
+    fmt, options = _connected(spark, sf_dir)
+    wanted = "shipment_id,warehouse_block,shipment_date,cost_of_product,customer_rating"
+    rows = SR.read_table(spark, S.RAW_TABLE, fmt, columns=wanted, **options)
+    return rows.where((F.col("shipment_date") >= F.lit("1996-10-01").cast("date")) & (F.col("shipment_date") < F.lit("1997-01-01").cast("date"))
+                      & F.col("warehouse_block").isin("A", "B") & (F.col("customer_rating") != 3) & (F.col("cost_of_product") > 1000))
+
+
+def q_connector_kpis(spark, sf_dir):
+    """Warehouse KPIs computed from the connector's table and published through it."""
+    fmt, options = _connected(spark, sf_dir)
+    kpis = A.warehouse_kpis(C.clean(SR.read_table(spark, S.RAW_TABLE, fmt, **options)))
+    W.publish_table(kpis, "warehouse_kpis", fmt, **options)
+    return SR.read_table(spark, "warehouse_kpis", fmt, **options)
+
+
 QUERIES: dict[str, Query] = {
+    "connector_roundtrip": q_connector_roundtrip,
+    "connector_filtered": q_connector_filtered,
+    "connector_kpis": q_connector_kpis,
     "layout_compacted": q_layout_compacted,
     "layout_clustered": q_layout_clustered,
     "reconciled_days": q_reconciled_days,

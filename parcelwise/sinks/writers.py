@@ -93,6 +93,11 @@ def publish_table(df: DataFrame, table: str, fmt: str | None = None, **options:
         df.write.format(fmt).option("table", table).options(**options).mode("overwrite").save()
 
 
+def append_table(df: DataFrame, table: str, fmt: str, **options: str) -> None:
+    """Add rows to a table through a connector."""
+    df.write.format(fmt).option("table", table).options(**options).mode("append").save()
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header row; NULL is an empty field, and spaces, quotes, commas and line breaks survive."""
     (df.write.mode(mode).option("header", True).option("escape", '"')
