@@ -88,65 +88,92 @@ def one_set_per_key(sigs: DataFrame) -> DataFrame:
     return nodes.select("node", "low_id")
 
 
+def tight(x: np.ndarray) -> bytes:
+    """An array as bytes, compressed byte plane by byte plane (high bytes of small numbers take next to nothing)."""
+    width = x.dtype.itemsize
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(-1, width).T.tobytes()
+    return width.to_bytes(1, "little") + len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def loose(data: bytes) -> np.ndarray:
+    """The unsigned numbers that ``tight`` was given."""
+    width, size = data[0], int.from_bytes(data[1:9], "little")
+    planes = pa.decompress(data[9:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).reshape(-1).view(f"<u{width}")
+
+
+def _places(n: np.ndarray, most: int) -> np.ndarray:
+    """Numbers below ``most`` in as few bytes as hold them."""
+    return n.astype(np.uint16 if most <= 1 << 16 else np.uint32)
+
+
 def _packed_shingles(docs: DataFrame, text_col: str, words: int, buckets: int) -> DataFrame:
-    """Rows (bucket, runs, low, mid): the n-grams of many sets that fall into one bucket.
+    """Rows (bucket, nodes, sizes, own, low, mid): the n-grams of many sets that fall into one bucket.
 
-    ``runs`` holds (node, set size, n-grams here) as 64-bit numbers; ``low``
-    and ``mid`` the lower 32 and 16 bits of the n-grams' hashes, node by node.
+    N-grams are sorted by the lower 48 bits of their hash: ``low`` holds 32 of
+    these, ``mid`` the steps of the upper 16, ``own`` the place of each
+    n-gram's set in ``nodes`` and ``sizes``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
+        sent: set[int] = set()
         size = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
             nodes = np.array(list(held), dtype=np.int64)
-            sizes = np.array([len(s) for s in held.values()], dtype=np.int64)
+            sizes = np.array([len(s) for s in held.values()], dtype=np.uint32)
             h = np.concatenate(list(held.values()))
             own = np.repeat(np.arange(len(nodes)), sizes)
-            bucket = ((h >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            h, own, bucket = h[order], own[order], bucket[order]
+            key = ((h >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)) << np.uint64(48) | h & np.uint64((1 << 48) - 1)
+            order = np.argsort(key)
+            key, own = key[order], own[order]
+            bucket = (key >> np.uint64(48)).astype(np.int32)
             edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
             for s, e in zip(edges[:-1], edges[1:], strict=True):
-                who, count = np.unique(own[s:e], return_counts=True)
-                runs = np.stack([nodes[who], sizes[who], count])
+                who, at = np.unique(own[s:e], return_inverse=True)
+                mid = (key[s:e] >> np.uint64(32)).astype(np.uint16)
+                columns = (nodes[who].view(np.uint64), sizes[who], _places(at, len(who)), key[s:e].astype(np.uint32), np.diff(mid, prepend=np.uint16(0)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[s])], pa.int32()), pa.array([runs.tobytes()], pa.binary()),
-                     pa.array([h[s:e].astype(np.uint32).tobytes()], pa.binary()),
-                     pa.array([(h[s:e] >> np.uint64(32)).astype(np.uint16).tobytes()], pa.binary())], names=["bucket", "runs", "low", "mid"])
+                    [pa.array([int(bucket[s])], pa.int32()), *(pa.array([tight(c)], pa.binary()) for c in columns)],
+                    names=["bucket", "nodes", "sizes", "own", "low", "mid"])
 
         for batch in batches:
             for s in shingle_sets([lowered(t) for t in batch.column(0).to_pylist()], words):
-                if len(s) and (key := set_key(s)) not in held:  # copies within a task travel once
+                if len(s) and (key := set_key(s)) not in sent:  # copies within a task travel once
+                    sent.add(key)
                     held[key] = s
                     size += len(s)
                     if size >= FLUSH:
                         yield from packed()
                         held, size = {}, 0
+                        if len(sent) >= FLUSH:  # bounded; what is sent again is merged where it arrives
+                            sent = set()
         if held:
             yield from packed()
-        held = {}
+        held, sent = {}, set()
         give_back()
 
-    return docs.select(text_col).mapInArrow(run, "bucket int, runs binary, low binary, mid binary")
+    return docs.select(text_col).mapInArrow(run, "bucket int, nodes binary, sizes binary, own binary, low binary, mid binary")
 
 
 def _shared(packed: DataFrame, buckets: int) -> DataFrame:
-    """Rows (place, runs, entries): the n-grams that other sets have too, packed by the partition of their set.
+    """Rows (place, bucket, nodes, sizes, runs, low, mid, counts): the n-grams that other sets have too, packed by the partition of their set.
 
-    An entry is (count, bucket, hash) in one number, so that entries sort
-    rarest first and are equal for equal n-grams. ``runs`` is as in
-    ``_packed_shingles``.
+    ``runs`` holds the number of n-grams per set, the n-grams lie set by set;
+    ``counts`` the sets that have each, up to MOST_COUNT.
     """
 
-    def of_bucket(bucket: int, parts: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        runs = np.concatenate([np.frombuffer(r, np.int64).reshape(3, -1) for r, _, _ in parts], axis=1)
-        h = np.concatenate([np.frombuffer(lo, np.uint32).astype(np.uint64) | np.frombuffer(mid, np.uint16).astype(np.uint64) << np.uint64(32)
-                            for _, lo, mid in parts])
-        nodes, first = np.unique(runs[0], return_index=True)
-        sizes = runs[1][first]
-        own = np.repeat(np.searchsorted(nodes, runs[0]), runs[2])
+    def of_bucket(bucket: int, parts: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
+        columns = [[loose(c) for c in part] for part in parts]
+        sent = np.concatenate([c[0] for c in columns]).view(np.int64)
+        nodes, first = np.unique(sent, return_index=True)
+        sizes = np.concatenate([c[1] for c in columns])[first]
+        at = np.searchsorted(nodes, sent)
+        offsets = np.cumsum([0] + [len(c[0]) for c in columns])
+        own = np.concatenate([at[o + c[2].astype(np.int64)] for o, c in zip(offsets, columns, strict=False)])
+        h = np.concatenate([c[3].astype(np.uint64) | np.cumsum(c[4], dtype=np.uint16).astype(np.uint64) << np.uint64(32) for c in columns])
+        columns = []
         order = np.argsort(h, kind="stable")
         h, own = h[order], own[order]
         again = h[1:] == h[:-1]
@@ -157,24 +184,23 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
         fresh = np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])]) if len(h) else np.zeros(0, bool)
         h, own = h[fresh], own[fresh]
         _, gram, count = np.unique(h, return_inverse=True, return_counts=True)
-        count = count[gram]
+        count = np.minimum(count, MOST_COUNT).astype(np.uint16)[gram]
         h, own, count = h[count > 1], own[count > 1], count[count > 1]
-        entry = (np.minimum(count, MOST_COUNT).astype(np.uint64) << np.uint64(54)) | np.uint64(bucket % 64) << np.uint64(48) | h
-        place = (mixed(nodes.view(np.uint64)) >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)
-        order = np.lexsort((own, place[own]))
-        entry, own = entry[order].view(np.int64), own[order]
+        place = ((mixed(nodes.view(np.uint64)) >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
+        order = np.lexsort((h, own, place[own]))
+        h, own, count = h[order], own[order], count[order]
         turn = np.flatnonzero(np.concatenate([[True], place[own][1:] != place[own][:-1], [True]])) if len(own) else np.zeros(1, int)
         for s, e in zip(turn[:-1], turn[1:], strict=True):
-            who, count = np.unique(own[s:e], return_counts=True)
-            runs = np.stack([nodes[who], sizes[who], count])
+            who, runs = np.unique(own[s:e], return_counts=True)
+            packed = (nodes[who].view(np.uint64), sizes[who], runs.astype(np.uint32), h[s:e].astype(np.uint32), (h[s:e] >> np.uint64(32)).astype(np.uint16), count[s:e])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(place[own[s]])], pa.int32()), pa.array([runs.tobytes()], pa.binary()), pa.array([entry[s:e].tobytes()], pa.binary())],
-                names=["place", "runs", "entries"])
+                [pa.array([int(place[own[s]])], pa.int32()), pa.array([bucket], pa.int32()), *(pa.array([tight(c)], pa.binary()) for c in packed)],
+                names=["place", "bucket", "nodes", "sizes", "runs", "low", "mid", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
         for batch in batches:
-            for bucket, *part in zip(*(batch.column(c).to_pylist() for c in ("bucket", "runs", "low", "mid")), strict=True):
+            for bucket, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != current and parts:
                     yield from of_bucket(current, parts)
                     parts = []
@@ -186,21 +212,28 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
         give_back()
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "place int, runs binary, entries binary")
+    return dealt.mapInArrow(run, "place int, bucket int, nodes binary, sizes binary, runs binary, low binary, mid binary, counts binary")
 
 
 def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
     """Rows (node, n, m, weight, bitmap, entries) of the sets with enough shared n-grams, sorted rarest first."""
 
-    def of_place(parts: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        runs = np.concatenate([np.frombuffer(r, np.int64).reshape(3, -1) for r, _ in parts], axis=1)
-        entry = np.concatenate([np.frombuffer(e, np.int64) for _, e in parts])
-        node = np.repeat(runs[0], runs[2])
+    def of_place(parts: list[list]) -> Iterator[pa.RecordBatch]:
+        sent, sizes, node, entry = [], [], [], []
+        for bucket, *packed in parts:
+            nodes, size, runs, low, mid, count = (loose(c) for c in packed)
+            sent.append(nodes.view(np.int64))
+            sizes.append(size.astype(np.int64))
+            node.append(np.repeat(sent[-1], runs))
+            # count, bucket and hash in one number: entries sort rarest first and are equal for equal n-grams
+            gram = np.uint64(bucket % 64) << np.uint64(48) | mid.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)
+            entry.append((count.astype(np.uint64) << np.uint64(54) | gram).view(np.int64))
+        sent, sizes, node, entry = (np.concatenate(x) for x in (sent, sizes, node, entry))
         order = np.lexsort((entry, node))
         entry, node = entry[order], node[order]
         ids, first, m = np.unique(node, return_index=True, return_counts=True)
-        known, at = np.unique(runs[0], return_index=True)
-        n = runs[1][at][np.searchsorted(known, ids)]
+        known, at = np.unique(sent, return_index=True)
+        n = sizes[at][np.searchsorted(known, ids)]
         weight = np.add.reduceat(entry >> 54, first) / n
         bit = mixed(entry.view(np.uint64))
         one = np.uint64(1) << (bit & np.uint64(63))
@@ -217,7 +250,7 @@ def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts = None, []
         for batch in batches:
-            for place, *part in zip(*(batch.column(c).to_pylist() for c in ("place", "runs", "entries")), strict=True):
+            for place, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if place != current and parts:
                     yield from of_place(parts)
                     parts = []

@@ -4,6 +4,7 @@ import io
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -84,3 +85,23 @@ def test_a_plain_record_with_a_long_header_is_read():
     end, found = warc._plain_record(window, 0)
     assert end == len(data) and url in str(found)
     assert warc._plain_record(window, end)[0] == 2 * len(data)
+
+
+@pytest.mark.parametrize("kind", [np.uint16, np.uint32, np.uint64])
+def test_packed_numbers_come_back(kind):
+    r = np.random.default_rng(3)
+    for x in (np.zeros(0, kind), np.array([0, np.iinfo(kind).max], kind), r.integers(0, np.iinfo(kind).max, 5000, dtype=kind), np.sort(r.integers(0, 900, 5000, dtype=kind))):
+        back = ngram_join.loose(ngram_join.tight(x))
+        assert back.dtype == kind and (back == x).all()
+    small = np.full(5000, 3, kind)
+    assert len(ngram_join.tight(small)) < 100
+
+
+def test_sets_sent_in_many_pieces_are_merged(spark, monkeypatch):
+    """Tiny flushes, many buckets and copies in every task: the links are those of one flush."""
+    docs = cases.documents(spark).select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id in (1, 3, 10, 14)")).repartition(5)
+    want = sorted(map(repr, ngram_join.join_components(docs).collect()))
+    monkeypatch.setattr(ngram_join, "FLUSH", 100)
+    monkeypatch.setattr(ngram_join, "partitions", lambda spark: 70)  # more buckets than the six bits of an entry tell apart
+    assert sorted(map(repr, ngram_join.join_components(docs).collect())) == want
