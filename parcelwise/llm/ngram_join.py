@@ -352,7 +352,11 @@ def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent:
             pairs = _all_candidates(open_rows, percent, apart=True)
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "join-pairs")
-        found = stored(verified(pairs, sets, percent).select("a", "b"), "join-links")
+        met = sets
+        if turn:  # most sets are settled by now: the few that are still compared are moved alone
+            ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "join-ends")
+            met = stored(sets.join(ends, "node", "left_semi"), "join-met")
+        found = stored(verified(pairs, met, percent).select("a", "b"), "join-links")
         links = found if links is None else links.union(found)
         tried = pairs if tried is None else tried.union(pairs)
         comps = connected_components(links)
