@@ -4,7 +4,7 @@ Documents link when the Jaccard similarity of their sets of word n-grams
 reaches the threshold. Documents with equal sets are one node. The join is a
 prefix filter over one global order of n-grams, rarest first:
 
-1. every n-gram of every distinct set travels once, as six packed bytes, to
+1. every n-gram of every distinct set travels, sorted and compressed, to
    the partition of its hash, where its number of sets is counted; n-grams of
    one set alone can match nothing and end there;
 2. the shared n-grams come back to their sets and are sorted rarest first. A
