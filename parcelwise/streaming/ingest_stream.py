@@ -26,12 +26,17 @@ from parcelwise.streaming.messages import decode
 
 def subscribe(spark: SparkSession, topic: str, fmt: str = "text", max_files_per_trigger: int | None = None,
               **options: str) -> DataFrame:
-    """A stream of messages with a ``value`` column (file folder or a connector topic)."""
+    """A stream of messages with a ``value`` column (file folder or a connector topic).
+
+    A compressed file is read by one task, so a batch of fewer files than cores deals its lines out to all of them.
+    """
     reader = spark.readStream.format(fmt)
     if fmt == "text":
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        return reader.options(**options).load(topic)
+        if not max_files_per_trigger:
+            return reader.options(**options).load(topic)
+        lines = reader.option("maxFilesPerTrigger", max_files_per_trigger).options(**options).load(topic)
+        cores = spark.sparkContext.defaultParallelism
+        return lines.repartition(cores, F.xxhash64("value")) if max_files_per_trigger < cores else lines
     return reader.option("subscribe", topic).options(**options).load()
 
 

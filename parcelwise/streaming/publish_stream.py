@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from parcelwise import schema as S
 from parcelwise.session import create_exclusively, list_names, move_into, path_exists, write_finished
-from parcelwise.streaming.messages import publish, to_messages
+from parcelwise.streaming.messages import TEXT_OPTIONS, publish, to_messages
 
 
 def follow_table(spark: SparkSession, landed: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -45,7 +45,7 @@ def publish_epoch(batch: DataFrame, epoch: int, topic: str, publisher: str, fmt:
     if fmt == "text":
         staged = f"{topic.rstrip('/')}/_staged/{publisher}/{epoch}"
         if not write_finished(spark, staged):
-            to_messages(batch, key=None).write.mode("overwrite").text(staged)
+            to_messages(batch, key=None).write.mode("overwrite").options(**TEXT_OPTIONS).text(staged)
         for name in list_names(spark, staged):
             if name.startswith("part-"):
                 move_into(spark, f"{staged}/{name}", f"{topic.rstrip('/')}/{publisher}-{epoch:010d}-{name}")
