@@ -8,9 +8,10 @@ third of all rows is not sorted whole inside one task.
 
 An incremental target is a Parquet folder partitioned by a hash bucket of the
 key. A load rewrites the buckets that its keys fall into and no others: old
-and new rows of those buckets are merged into a staging folder, which then
-replaces them. A run that was cut off while replacing is finished by the next
-one from the staging folder, so no row is lost.
+and new rows of those buckets are merged into a staging folder of the same
+layout, whose bucket folders then replace the target's by renames (a store
+without renames copies). A run that was cut off while replacing is finished by
+the next one from what is still staged, so no row is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelwise.session import delete_path, path_exists, write_finished
+from parcelwise.session import delete_path, list_names, make_folder, move_into, path_exists, shared_path, write_finished
 
 RECENCY = ("ingested_at", "shipment_date")
 BUCKET = "key_bucket"
@@ -41,10 +42,15 @@ def latest_per_key(df: DataFrame, key: str = "shipment_id", recency: Sequence[st
 
 
 def _apply(spark: SparkSession, staging: str, path: str) -> None:
-    """Replace the staged buckets of the target; can be repeated."""
-    (spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(BUCKET).parquet(path))
+    """Replace the staged buckets of the target; can be repeated: a bucket that has moved is no longer staged."""
+    if not path_exists(spark, path):
+        make_folder(spark, path)
+    for name in list_names(spark, staging):
+        if name.startswith(f"{BUCKET}="):
+            delete_path(spark, f"{path}/{name}")
+            move_into(spark, f"{staging}/{name}", f"{path}/{name}")
     delete_path(spark, staging)
+    spark.catalog.refreshByPath(path)
 
 
 def merge_latest(batch: DataFrame, path: str, buckets: int, key: str = "shipment_id", recency: Sequence[str] = RECENCY) -> None:
@@ -54,18 +60,28 @@ def merge_latest(batch: DataFrame, path: str, buckets: int, key: str = "shipment
     rewrites; choose it so that a bucket of the whole target fits a task.
     Loading the same batch again changes nothing.
     """
-    spark = batch.sparkSession
-    staging = f"{path.rstrip('/')}__merge"
+    spark, path = batch.sparkSession, path.rstrip("/")
+    staging = f"{path}__merged"
     if write_finished(spark, staging):
         _apply(spark, staging, path)
-    rows = batch.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    merged = latest_per_key(rows, key, recency)
+    merged = latest_per_key(batch, key, recency).withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    scratch = None
     if path_exists(spark, path):
-        target = read_target(spark, path, batch.schema, with_bucket=True)
-        touched = rows.select(BUCKET).distinct()  # at most ``buckets`` rows
-        merged = latest_per_key(target.join(F.broadcast(touched), BUCKET, "left_semi").unionByName(merged), key, recency)
-    (merged.repartition(BUCKET).write.mode("overwrite").parquet(staging))
+        scratch = shared_path(spark, "merge-load")
+        merged.write.parquet(scratch)  # the load is computed once, for its buckets and its rows
+        load = spark.read.schema(merged.schema).parquet(scratch)
+        touched = [r[0] for r in load.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+        target = read_target(spark, path, batch.schema, with_bucket=True).where(F.col(BUCKET).isin(touched))
+        both = target.unionByName(load).repartition(BUCKET)
+        # rows of a bucket are together already, so the window needs no shuffle of its own
+        newest = Window.partitionBy(BUCKET, key).orderBy(*newest_first(batch.columns, key, recency))
+        merged = both.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    else:
+        merged = merged.repartition(BUCKET)
+    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
     _apply(spark, staging, path)
+    if scratch:
+        delete_path(spark, scratch)
 
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType, with_bucket: bool = False) -> DataFrame:

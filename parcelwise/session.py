@@ -117,8 +117,14 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder, with those above it; one that is there stays."""
+    fs, hpath = _hadoop_path(spark, path)
+    fs.mkdirs(hpath)
+
+
 def move_into(spark: SparkSession, source: str, target: str) -> None:
-    """Move one file; a target that is there already is an error."""
+    """Move one file or folder; a target that is there already is an error."""
     fs, hpath = _hadoop_path(spark, source)
     if not fs.rename(hpath, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
         raise RuntimeError(f"cannot move {source} to {target}")
