@@ -481,7 +481,8 @@ def q_stream_run_summary(spark, sf_dir):
 def q_stream_ingest_dedup(spark, sf_dir):
     """Messages arrive twice, and those of some customers days late: no id is lost, the newest row of each stays."""
     topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
-    raw = raw_shipments(spark, sf_dir)
+    W.land_raw(raw_shipments(spark, sf_dir), f"{base}/raw")  # once for all deliveries
+    raw = SR.read_landed(spark, f"{base}/raw")
     late = F.coalesce(F.col("customer_id").endswith("3"), F.lit(False))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for delivery in (raw.filter(~late), raw.filter(late).withColumn("ingested_at", F.lit(LATE_TS).cast("timestamp")), raw.filter(~late)):
@@ -493,7 +494,8 @@ def q_stream_ingest_dedup(spark, sf_dir):
 def q_stream_dedup_bounded(spark, sf_dir):
     """Three deliveries, 20 hours apart in event time, each with repeats of the one before; every id is kept once."""
     topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
-    raw = D.latest_per_key(raw_shipments(spark, sf_dir))
+    W.land_raw(D.latest_per_key(raw_shipments(spark, sf_dir)), f"{base}/raw")  # once for all deliveries
+    raw = SR.read_landed(spark, f"{base}/raw")
     third = F.pmod(F.crc32("customer_id"), F.lit(3))
     # event time by delivery: some hours apart, so repeats of the delivery before lie within the watermark
     at = lambda n: F.to_timestamp(F.lit(RUN_TS)) + F.make_dt_interval(hours=F.lit(20 * n))
