@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelwise import schema as S
+from parcelwise.session import delete_path, shared_path
 from parcelwise.sinks.writers import MAX_RECORDS_PER_FILE
 
 ROWS_PER_FILE = 1_000_000
@@ -59,14 +60,19 @@ def compact_days(spark: SparkSession, path: str, rows_per_file: int = ROWS_PER_F
     return len(days)
 
 
+def _cuts_and_rows(df: DataFrame, columns: Sequence[str], bits: int) -> tuple[dict[str, list], int]:
+    """The cuts of every column and the number of rows, from one scan."""
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.percentile_approx(_number(df, c), shares, 10_000).alias(f"cuts{i}") for i, c in enumerate(columns)]).first()
+    return {c: sorted(set(row[f"cuts{i}"] or [])) for i, c in enumerate(columns)}, row["rows"]
+
+
 def range_cuts(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> dict[str, list]:
     """Per column the values that cut it into 2^bits ranges of about equal rows, from one scan.
 
     Text is cut by its first eight bytes as a number, which keeps its order.
     """
-    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = df.agg(*[F.percentile_approx(_number(df, c), shares, 10_000).alias(f"cuts{i}") for i, c in enumerate(columns)]).first()
-    return {c: sorted(set(row[f"cuts{i}"] or [])) for i, c in enumerate(columns)}
+    return _cuts_and_rows(df, columns, bits)[0]
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -80,38 +86,55 @@ def _number(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
-def _range_number(number: Column, cuts: list) -> Column:
-    """How many cuts lie below the number; 0 for null."""
-    array = F.array(*[F.lit(float(v)) for v in cuts]).cast("array<double>")
-    return F.coalesce(F.size(F.filter(array, lambda cut: cut < number)), F.lit(0))
+def _by_range(number: Column, cuts: list, values: list[int]) -> Column:
+    """``values[n]`` for a number with n cuts below it (0 for null), by halving: one comparison per bit, all in generated code."""
+    if not cuts:
+        return F.lit(values[0]).cast("long")
+    mid = len(cuts) // 2
+    return F.when(F.lit(float(cuts[mid])) < number, _by_range(number, cuts[mid + 1:], values[mid + 1:])).otherwise(_by_range(number, cuts[:mid], values[:mid + 1]))
 
 
-def interleaved(df: DataFrame, cuts: dict[str, list], bits: int = BITS) -> Column:
-    """The range numbers of the columns with their bits in turn, the first column's highest; null comes first."""
-    ranges = [_range_number(_number(df, column), values) for column, values in cuts.items()]
+def _spread(n: int, place: int, places: int, bits: int) -> int:
+    """The bits of n, moved apart to leave room for those of the other columns; the first column's are highest."""
+    return sum(((n >> bit) & 1) << (bit * places + (places - 1 - place)) for bit in range(bits))
+
+
+def _interleave(numbers: list[Column], cuts: list[list], bits: int) -> Column:
     out = F.lit(0).cast("long")
-    for bit in range(bits):
-        for i, r in enumerate(ranges):
-            at = bit * len(ranges) + (len(ranges) - 1 - i)
-            out = out + F.shiftleft(F.shiftright(r, bit).bitwiseAND(F.lit(1)).cast("long"), at)
+    for i, (number, values) in enumerate(zip(numbers, cuts, strict=True)):
+        out = out + _by_range(number, values, [_spread(n, i, len(numbers), bits) for n in range(len(values) + 1)])
     return out
 
 
+def interleaved(df: DataFrame, cuts: dict[str, list], bits: int = BITS) -> Column:
+    """The range numbers of the columns with their bits in turn, the first column's highest; null comes first."""
+    return _interleave([_number(df, c) for c in cuts], list(cuts.values()), bits)
+
+
 def land_clustered(df: DataFrame, path: str, columns: Sequence[str] = (DAY, "customer_id"), rows_per_file: int = ROWS_PER_FILE,
                    bloom: str | None = "shipment_id", bits: int = BITS) -> int:
-    """Write ``df`` as files clustered on both columns at once; returns the number of files asked for."""
-    spark = df.sparkSession
-    cuts = range_cuts(df, columns, bits)
-    rows = df.count()
+    """Write ``df`` as files clustered on both columns at once; returns the number of files asked for.
+
+    The rows are read three times (cuts, the sample of the range partitioning, the files), so they are computed once into a scratch copy.
+    """
+    spark, scratch = df.sparkSession, shared_path(df.sparkSession, "to-cluster")
+    df.write.parquet(scratch)
+    df = spark.read.schema(df.schema).parquet(scratch)
+    cuts, rows = _cuts_and_rows(df, columns, bits)
     files = max(1, -(-rows // rows_per_file))
     number = "_cluster"
-    while number in df.columns:
+    while any(c.startswith(number) for c in df.columns):
         number += "_"
+    # the numbers are columns of their own, so that no comparison works them out again
+    numbers = [f"{number}{i}" for i in range(len(columns))]
+    numbered = df.withColumns({n: _number(df, c) for n, c in zip(numbers, columns, strict=True)})
     # the columns follow the number, so a range that is hot in both is still cut
-    placed = df.withColumn(number, interleaved(df, cuts, bits)).repartitionByRange(files, number, *columns).sortWithinPartitions(number, *columns).drop(number)
+    placed = numbered.withColumn(number, _interleave([F.col(n) for n in numbers], [cuts[c] for c in columns], bits)).drop(*numbers)
+    placed = placed.repartitionByRange(files, number, *columns).sortWithinPartitions(number, *columns).drop(number)
     writer = placed.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true").option(f"parquet.bloom.filter.expected.ndv#{bloom}", str(rows_per_file))
     writer.parquet(path)
+    delete_path(spark, scratch)
     spark.catalog.refreshByPath(path)
     return files

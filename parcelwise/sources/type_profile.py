@@ -45,6 +45,22 @@ def _values(rows: DataFrame) -> DataFrame:
     return text.unpivot([], rows.columns, "column_name", "value")
 
 
+def _mask(value: Column) -> Column:
+    """The types that admit a value as bits (bit i: type i of TYPES), worked out once.
+
+    Most values are settled by one pattern: a whole number is no date, a date no number, and so on.
+    """
+    def bit(name: str, test: Column | None = None) -> Column:
+        set_ = F.lit(1 << TYPES.index(name))
+        return set_ if test is None else F.when(test, set_).otherwise(F.lit(0))
+
+    admits = {t: value.try_cast(t).isNotNull() for t in ("int", "bigint", "double", "date", "timestamp")}
+    whole = bit("int", admits["int"]) + bit("bigint", admits["bigint"]) + bit("decimal") + bit("double", admits["double"])
+    return (F.when(value.rlike(_WHOLE), whole).when(value.rlike(_NUMBER), bit("double", admits["double"]))
+            .when(value.rlike(_DATE), bit("date", admits["date"]) + bit("timestamp", admits["timestamp"]))
+            .when(value.rlike(_TIME), bit("timestamp", admits["timestamp"])).when(F.lower(value).isin("true", "false"), bit("boolean")).otherwise(F.lit(0)))
+
+
 def _narrowest(least: Column) -> Column:
     found = F.coalesce(*[F.when(F.col(f"n_{t}") >= least, t) for t in TYPES], F.lit("string"))
     return F.when(F.col("n_values") == 0, "string").otherwise(found)
@@ -53,13 +69,16 @@ def _narrowest(least: Column) -> Column:
 def type_profile(rows: DataFrame, share: float = 0.95) -> DataFrame:
     """One row per text column of ``rows``: counts by type, exact and leading type, and the leading type's offenders.
 
-    One scan; partial sums per task leave one row per column to the shuffle.
+    One scan; partial sums per task leave one row per column to the shuffle. The set of masks is one of few numbers; as a
+    collected value it also lets Spark aggregate by hashing, where text minima alone would have it sort every value.
     """
-    admits = _admits(F.col("value"))
-    counted = _values(rows).groupBy("column_name").agg(
-        F.count("value").alias("n_values"), (F.count("*") - F.count("value")).alias("n_missing"),
+    masked = _values(rows).withColumn("mask", F.when(F.col("value").isNotNull(), _mask(F.col("value"))))
+    admits = {t: F.col("mask").bitwiseAND(F.lit(1 << i)) != 0 for i, t in enumerate(TYPES)}
+    counted = masked.groupBy("column_name").agg(
+        F.count("value").alias("n_values"), (F.count("*") - F.count("value")).alias("n_missing"), F.collect_set("mask").alias("masks"),
         *[F.count_if(a).alias(f"n_{t}") for t, a in admits.items()],
         *[F.min(F.when(~a, F.col("value"))).alias(f"least_{t}") for t, a in admits.items()])
+    counted = counted.where(F.size("masks") >= 0)  # keeps the set in the plan
     typed = counted.withColumns({"exact_type": _narrowest(F.col("n_values")), "leading_type": _narrowest(F.col("n_values") * F.lit(share))})
     offenders = F.coalesce(*[F.when(F.col("leading_type") == t, F.col("n_values") - F.col(f"n_{t}")) for t in TYPES], F.lit(0))
     example = F.coalesce(*[F.when(F.col("leading_type") == t, F.col(f"least_{t}")) for t in TYPES])
