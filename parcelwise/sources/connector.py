@@ -50,6 +50,8 @@ FORMAT = "parcelwise_table"
 #: Bytes after which a task starts its next file, and bytes that one reading task is given.
 FILE_BYTES = 256 << 20
 SPLIT_BYTES = 128 << 20
+#: Most rows of a row group and of a batch that a task holds at once.
+BATCH_ROWS = 10_000
 #: Types whose order and equality are the same in Spark and Arrow.
 COMPARABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.BooleanType, T.DateType, T.DecimalType)
 
@@ -163,7 +165,7 @@ class TableWriter(D.DataSourceArrowWriter):
                     path, rows, ranges = f"{base}/data/{uuid.uuid4().hex}.parquet", 0, Ranges(self.schema)
                     sink = store.open_output_stream(path)
                     out = pq.ParquetWriter(sink, batch.schema, compression="zstd")
-                out.write_batch(batch)
+                out.write_batch(batch, row_group_size=BATCH_ROWS)
                 ranges.add(batch)
                 rows += batch.num_rows
                 if sink.tell() >= FILE_BYTES:
@@ -298,8 +300,14 @@ class TableReader(D.DataSourceReader):
         for pushed in self.filters:
             one = condition(pushed, self.schema)
             wanted = one if wanted is None else wanted & one
-        table = ds.dataset([f"{base}/data/{n}" for n in partition.names], format="parquet", filesystem=store)
-        yield from (b for b in table.to_batches(columns=self.schema.fieldNames(), filter=wanted) if b.num_rows)
+        # one row group at a time, nothing read ahead: what a task holds does not grow with its files
+        for name in partition.names:
+            found = ds.dataset(f"{base}/data/{name}", format=ds.ParquetFileFormat(pre_buffer=False), filesystem=store)
+            for fragment in found.get_fragments(filter=wanted):
+                for group in fragment.split_by_row_group(filter=wanted, schema=found.schema):
+                    batches = group.to_batches(schema=found.schema, columns=self.schema.fieldNames(), filter=wanted, batch_size=BATCH_ROWS,
+                                               batch_readahead=0, fragment_readahead=0, use_threads=False)
+                    yield from (b for b in batches if b.num_rows)
 
 
 class WarehouseTable(D.DataSource):
