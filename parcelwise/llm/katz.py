@@ -1,25 +1,30 @@
-"""Language-model scoring with Katz backoff (operator 7).
-
-A bigram model over word classes and an exact unigram model inside them. The
-VOCABULARY most frequent words (counted over all training texts) are classes of
-their own; every other word falls into one of RARE hash
-classes and keeps its own count there, so no token is dropped:
-
-    P(word | previous) = P(class | class of previous) * P(word | class)
-
-P(class | context) is Katz backoff: counts up to CUTOFF are discounted by
-Good-Turing, the mass that this frees goes to the unseen classes in proportion
-to their unigram probability, with a weight per context that makes the
-probabilities sum to one exactly (``Model.alpha``, ``Model.gamma``).
-P(word | class) discounts in the same way; what it frees is the probability of
-an unknown word of that class.
-
-Counts are packed types (class pairs, rare words) per task and flush, summed
-in the partition of their hash, and stored as a table partitioned by it.
-Scoring sends a document's class pairs and rare words to the same partitions,
-where they meet the table; very frequent pairs (above FREQUENT of all, so at
-most 1 / FREQUENT of them) are looked up before anything is sent, so no pair
-is hot. What is broadcast is bounded by the number of classes.
+"""Language-model scoring with Katz backoff over word bigrams (operator 7).
+
+Every word keeps its own bigram counts, as a context and as the next word. The
+VOCABULARY most frequent words (counted over all training texts) have a number,
+so that pairs of them are four bytes; this only routes the counts. All other
+words, the rare ones, are known by their hash and share the number RARE_CLASS:
+
+    P(w | v)   v frequent, w frequent: Katz over the words' numbers, RARE_CLASS among them
+               v frequent, w rare:     P(RARE_CLASS | v) * Q(w | v), Q by Katz over the rare words after v, backing off to P(w | RARE_CLASS)
+               v rare:                 Katz over the words after v, backing off to P(w)
+    P(w)       of a rare word: P(RARE_CLASS) * P(w | RARE_CLASS)
+
+Counts up to CUTOFF are discounted by Good-Turing, the mass that this frees
+goes to what is unseen after the context in proportion to the lower order,
+with a weight per context that makes the probabilities sum to one exactly
+(``backoff``). P(w | RARE_CLASS) discounts in the same way; what it frees is
+the probability of an unknown word. A context that training lacks leaves the
+lower order as it is.
+
+Counts are packed types (pairs of numbers; pairs with a rare word) per task
+and flush, summed in the partition of their hash, and stored as a table
+partitioned by it. Pairs with a rare next word lie with that word, where its
+count is known, and move on to their context, if it is rare too. Scoring sends
+a document's pairs to the same partitions, where they meet the table; very
+frequent pairs (above FREQUENT of all, so at most 1 / FREQUENT of them) are
+looked up before anything is sent, so no pair is hot. What is broadcast is
+bounded by VOCABULARY.
 
 Rules for odd rows: a null text is empty and has the end token only; texts
 that are equal have equal scores and count as often as they occur; without
@@ -40,9 +45,9 @@ from pyspark.sql import functions as F
 from parcelwise.llm.common import batches_of, give_back, partitions, stored
 from parcelwise.llm.shingles import mixed, word_hashes
 
-#: Words with a class of their own; hash classes of all others.
+#: Words with a number of their own, and numbers that all others share (their counts are kept by hash).
 VOCABULARY = 60_000
-RARE = 4_096
+RARE = 1
 #: Counts above this are not discounted.
 CUTOFF = 5
 #: Pairs above this share of all are looked up where the documents are read.
@@ -60,41 +65,47 @@ ARROW_BYTES = "4m"
 CLASSES = 1 << 16
 END = 0
 START = CLASSES - 1  # a context only
+RARE_CLASS = 1 + VOCABULARY
 
 BLOBS = "bucket int, kind int, a binary, b binary, c binary"
-PAIR_TYPES, RARE_TYPES, PAIR_TABLE, RARE_TABLE, DOC_PAIRS, DOC_RARE, DOC_SUMS = range(7)
+# pairs of numbers, rare words; rare next words by their context, rare contexts by a frequent next word; frequent contexts of a rare word; pairs of rare words
+(PAIR_TYPES, RARE_TYPES, INTO_TYPES, AFTER_TYPES, LED_TYPES, BOTH_TYPES,
+ PAIR_TABLE, RARE_TABLE, LED_TABLE, AFTER_TABLE, DOC_PAIRS, DOC_RARE, DOC_AFTER, DOC_SUMS) = range(14)
 
 
 def class_of(h: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Classes of words by hash: 1.. for frequent words, then the hash classes."""
-    rare = (1 + VOCABULARY + (h % np.uint64(RARE)).astype(np.int64)).astype(np.uint32)
+    """Numbers of words by hash: 1.. for frequent words, RARE_CLASS for all others."""
     if not len(frequent):
-        return rare
+        return np.full(len(h), RARE_CLASS, np.uint32)
     at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
-    return np.where(frequent[at] == h, at + 1, rare).astype(np.uint32)
+    return np.where(frequent[at] == h, at + 1, RARE_CLASS).astype(np.uint32)
 
 
 def token_classes(texts: list[bytes], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(pair, owner) per token incl. the end, (hash, owner) per rare word, and tokens per text."""
+    """Per token incl. the end: pair of numbers, owner, its own and its context's id (the number, or the hash of a rare word); tokens per text."""
     starts, h = word_hashes(b"\n".join(texts))
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
     first = np.searchsorted(starts, edges)
     count = np.diff(first)
-    owner = np.repeat(np.arange(len(texts)), count)
     classes = class_of(h, frequent)
-    rare = classes > VOCABULARY
+    ids = np.where(classes == RARE_CLASS, h, classes.astype(np.uint64))
     # events: the words of each text and its end; contexts: the start and the words
     event = np.insert(classes, first[1:], END)
     context = np.insert(classes, first[:-1], START)
     tokens = count + 1
     pair = (context.astype(np.uint32) << np.uint32(16)) | event.astype(np.uint32)
-    return pair, np.repeat(np.arange(len(texts)), tokens), h[rare], owner[rare], tokens
+    return pair, np.repeat(np.arange(len(texts)), tokens), np.insert(ids, first[1:], np.uint64(END)), np.insert(ids, first[:-1], np.uint64(START)), tokens
 
 
 def _place(key: np.ndarray) -> np.ndarray:
     return mixed(key.astype(np.uint64) + np.uint64(0x51ED27))
 
 
+def _rare(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that are rare words, and tokens after one."""
+    return pair & np.uint32(0xFFFF) == RARE_CLASS, pair >> np.uint32(16) == RARE_CLASS
+
+
 def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     """Partitions are ranges of places."""
     return ((_place(key) >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
@@ -202,40 +213,90 @@ def frequent_words(training: DataFrame, text_col: str) -> np.ndarray:
     return np.sort(np.frombuffer(b"".join(bytes(r["words"]) for r in rows), np.uint64))
 
 
+def _distinct(*keys: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+    """Distinct rows of parallel columns sorted by the first, then the next; the order of the rows and the start of every distinct one in it."""
+    order = np.lexsort(keys[::-1])
+    keys = tuple(k[order] for k in keys)
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    starts = np.flatnonzero(new)
+    return tuple(k[starts] for k in keys), order, starts
+
+
+def _totals(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values[order], starts) if len(starts) else values[:0]
+
+
+def _link_blobs(kind: int, near: np.ndarray, other: np.ndarray, buckets: int) -> list[tuple]:
+    """Distinct pairs with their counts, by the partition of ``near``."""
+    (near, other), order, starts = _distinct(near, other)
+    counts, bucket = np.diff(np.append(starts, len(order))), _bucket(near, buckets)
+    order = np.argsort(bucket, kind="stable")
+    near, other, counts, bucket = near[order], other[order], counts[order], bucket[order]
+    return [_blob(b, kind, near[s:e], counts[s:e].astype(np.uint32), other[s:e]) for b, s, e in _pieces(bucket)]
+
+
 def count_types(training: DataFrame, text_col: str, frequent: np.ndarray, buckets: int) -> DataFrame:
-    """The counts table: per partition one row of class pairs and one of rare words (keys, counts)."""
+    """The counts of pairs of numbers and of rare words: per partition one row of each (keys, counts)."""
+    return count_all(training, text_col, frequent, buckets).where(F.col("kind").isin(PAIR_TYPES, RARE_TYPES))
+
+
+def count_all(training: DataFrame, text_col: str, frequent: np.ndarray, buckets: int) -> DataFrame:
+    """The counts table: per partition one row each of
+
+    pairs of numbers (pair, count); rare words (hash, count); frequent contexts of rare words (place of the word among them and
+    number of the context, count, counts of the words); pairs of rare words (word, count and the word's own, context);
+    frequent words after rare ones (context, count, number).
+    """
     shared = training.sparkSession.sparkContext.broadcast(frequent)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, rare, size = [], [], 0
+        pairs, into, after, size = [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for kind, held in ((PAIR_TYPES, pairs), (RARE_TYPES, rare)):
-                rows = _type_blobs(kind, *np.unique(np.concatenate(held), return_counts=True), buckets)
-                yield from _batches(rows)
+            yield from _batches(_type_blobs(PAIR_TYPES, *np.unique(np.concatenate(pairs), return_counts=True), buckets))
+            for kind, held in ((INTO_TYPES, into), (AFTER_TYPES, after)):
+                yield from _batches(_link_blobs(kind, *(np.concatenate(h) for h in zip(*held, strict=True)), buckets))
 
         for batch in batches:
             for _, group in _groups(batch.column(0)):
-                pair, _, h, _, _ = token_classes(group, shared.value)
+                pair, _, event, context, _ = token_classes(group, shared.value)
+                rare, led = _rare(pair)
                 pairs.append(pair)
-                rare.append(h)
+                into.append((event[rare], context[rare]))
+                after.append((context[led & ~rare], event[led & ~rare]))
                 size += len(pair)
                 if size >= FLUSH:
                     yield from flush()
-                    pairs, rare, size = [], [], 0
+                    pairs, into, after, size = [], [], [], 0
         if pairs:
             yield from flush()
-        pairs, rare = [], []
+        pairs, into, after = [], [], []
         give_back()
 
     return _summed(training.select(text_col).mapInArrow(packed, BLOBS), buckets, "katz-types")
 
 
 def _summed(blobs: DataFrame, buckets: int, name: str) -> DataFrame:
-    """Counts of packed types, summed in the partition of their hash and stored: one row per partition and kind."""
+    """Counts of packed types, summed in the partition of their hash and stored: one row per partition and kind (see ``count_all``)."""
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket, kind), parts in _parts(batches):
+            if kind in (INTO_TYPES, AFTER_TYPES):
+                (near, other), order, starts = _distinct(*(np.concatenate([np.frombuffer(p[k], np.uint64) for p in parts]) for k in (0, 2)))
+                n = _totals(np.concatenate([np.frombuffer(b, np.uint32) for _, b, _ in parts]).astype(np.int64), order, starts)
+                if kind == AFTER_TYPES:
+                    yield _blobs([_blob(bucket, kind, near, n, other)])
+                    continue
+                words, at = np.unique(near, return_inverse=True)
+                count = np.bincount(at, n, len(words)).astype(np.int64)
+                led = other < CLASSES
+                yield _blobs([_blob(bucket, RARE_TYPES, words, count),
+                              _blob(bucket, LED_TYPES, (at[led].astype(np.uint64) << np.uint64(16)) | other[led], n[led], count),
+                              _blob(bucket, BOTH_TYPES, near[~led], np.stack([n[~led], count[at[~led]]]), other[~led])])
+                continue
             keys = np.concatenate([np.frombuffer(a, np.uint32 if kind == PAIR_TYPES else np.uint64) for a, _, _ in parts])
             counts = np.concatenate([np.frombuffer(b, np.uint32) for _, b, _ in parts])
             values, group = np.unique(keys, return_inverse=True)
@@ -286,22 +347,36 @@ def good_turing(n: np.ndarray, cutoff: int = CUTOFF) -> np.ndarray:
     return d
 
 
+def backoff(total: np.ndarray, kept: np.ndarray, lower: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per context: the factor of what it has seen, and log10 of the weight of the lower order for what it has not.
+
+    From its counts, the discounted ones, and the lower order's share of what it has seen; of that order at least ``least`` is never seen.
+    """
+    factor = np.where(total - kept < 1e-9 * total, total / (total + 1), 1.0)  # nothing was discounted: one count's worth for what is unseen
+    return factor, np.log10((1 - factor * kept / total) / np.maximum(1 - lower, least))
+
+
 @dataclass
 class Model:
-    """What is shared with every task: arrays by class, discounts and frequent pairs."""
+    """What is shared with every task: arrays by class (a word's number), discounts and frequent pairs."""
 
-    frequent: np.ndarray  # hashes of words with a class of their own
+    frequent: np.ndarray  # hashes of words with a number of their own
     tokens: int  # training tokens
     distinct: int  # distinct training tokens
     counts: np.ndarray  # training tokens by class
     uni: np.ndarray  # log10 P(class)
     pair_discount: np.ndarray
     word_discount: np.ndarray
+    link_discount: np.ndarray  # of pairs with a rare word
     total: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))  # tokens after a context
     alpha: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))  # log10 backoff weight of a context
     gamma: np.ndarray = field(default_factory=lambda: np.ones(CLASSES))  # factor of a context's seen events
     scale: np.ndarray = field(default_factory=lambda: np.ones(CLASSES))  # factor of a class's known words
     unknown: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))  # log10 P(unknown word | class)
+    into: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))  # log10 P(RARE_CLASS | context)
+    rare_total: np.ndarray = field(default_factory=lambda: np.ones(CLASSES))  # rare words after a context
+    rare_alpha: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))  # log10 weight of P(w | RARE_CLASS) there
+    rare_gamma: np.ndarray = field(default_factory=lambda: np.ones(CLASSES))
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))  # frequent pairs and their log10 probabilities
     pair_logs: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
@@ -316,12 +391,15 @@ class Model:
         return self.alpha[pair >> np.uint32(16)] + self.uni[pair & np.uint32(0xFFFF)]
 
     def known(self, h: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """log10 P(word | its hash class) of rare words that training has."""
-        k = 1 + VOCABULARY + (h % np.uint64(RARE)).astype(np.int64)
-        return np.log10(self.scale[k] * self.word_discount[np.minimum(count, CUTOFF + 1)] * count / np.maximum(self.counts[k], 1))
+        """log10 P(word | RARE_CLASS) of rare words that training has so often."""
+        return np.log10(self.scale[RARE_CLASS] * self.word_discount[np.minimum(count, CUTOFF + 1)] * count / np.maximum(self.counts[RARE_CLASS], 1))
 
     def unseen(self, h: np.ndarray) -> np.ndarray:
-        return self.unknown[1 + VOCABULARY + (h % np.uint64(RARE)).astype(np.int64)]
+        return np.full(len(h), self.unknown[RARE_CLASS])
+
+    def led(self, context: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """log10 Q(word | context) of rare words that training has after that frequent context."""
+        return np.log10(self.rare_gamma[context] * self.link_discount[np.minimum(count, CUTOFF + 1)] * count / self.rare_total[context])
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return np.log10((count + 0.5) / (self.tokens + 0.5 * (self.distinct + 1)))
@@ -340,53 +418,64 @@ def _summary(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
 
 
 def fit(types: DataFrame, frequent: np.ndarray) -> Model:
-    """Discounts, probabilities and backoff weights from the counts table: three scans, results by class or count."""
+    """Discounts, probabilities and backoff weights from the counts table: three scans, results by class or count.
+
+    The weights of rare contexts are worked out where their pairs meet (``after_table``).
+    """
 
     def counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, kind), parts in _parts(batches):
             for a, b, _ in parts:
                 n = np.frombuffer(b, np.int64)
+                n = n[:len(n) // 2] if kind == BOTH_TYPES else n
                 level = np.bincount(np.minimum(n, CUTOFF + 2), minlength=CUTOFF + 3)
-                yield _summary([np.full(CUTOFF + 3, kind), np.arange(CUTOFF + 3), level.astype(float)], ["n"])
+                yield _summary([np.full(CUTOFF + 3, kind if kind in (PAIR_TYPES, RARE_TYPES) else LED_TYPES), np.arange(CUTOFF + 3), level.astype(float)], ["n"])
                 if kind == PAIR_TYPES:
                     event = np.frombuffer(a, np.uint32) & np.uint32(0xFFFF)
                     total = np.bincount(event, n, CLASSES)
                     some = np.flatnonzero(total)
-                    yield _summary([np.full(len(some), 10), some, total[some]], ["n"])
+                    yield _summary([np.full(len(some), 100), some, total[some]], ["n"])
 
     first = _sums(types, counts_of, ["n"])
     counts = np.zeros(CLASSES)
     for (what, key), v in first.items():
-        if what == 10:
+        if what == 100:
             counts[key] = v[0]
-    level = {kind: np.array([first.get((kind, r), np.zeros(1))[0] for r in range(CUTOFF + 3)]) for kind in (PAIR_TYPES, RARE_TYPES)}
+    level = {kind: np.array([first.get((kind, r), np.zeros(1))[0] for r in range(CUTOFF + 3)]) for kind in (PAIR_TYPES, RARE_TYPES, LED_TYPES)}
     tokens = int(counts.sum())
     events = 1 + len(frequent) + RARE
     uni = np.full(CLASSES, -np.inf)
     used = np.r_[0:1 + len(frequent), 1 + VOCABULARY:1 + VOCABULARY + RARE]
     uni[used] = np.log10((counts[used] + 0.5) / (tokens + 0.5 * events))
     distinct = int((counts[:1 + len(frequent)] > 0).sum() + level[RARE_TYPES].sum())
-    model = Model(frequent, tokens, distinct, counts, uni, good_turing(level[PAIR_TYPES]), good_turing(level[RARE_TYPES]))
+    model = Model(frequent, tokens, distinct, counts, uni, *(good_turing(level[kind]) for kind in (PAIR_TYPES, RARE_TYPES, LED_TYPES)))
     shared = types.sparkSession.sparkContext.broadcast(model)
     names = ["total", "kept", "lower"]
 
     def by_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for (_, kind), parts in _parts(batches):
-            for a, b, _ in parts:
+            for a, b, c in parts if kind in (PAIR_TYPES, RARE_TYPES, LED_TYPES) else ():
                 n = np.frombuffer(b, np.int64)
                 if kind == PAIR_TYPES:
                     pair = np.frombuffer(a, np.uint32)
+                    into = pair & np.uint32(0xFFFF) == RARE_CLASS
+                    yield _summary([np.full(into.sum(), 100), pair[into] >> np.uint32(16), n[into].astype(float), *np.zeros((2, into.sum()))], names)
                     key, kept = pair >> np.uint32(16), m.pair_discount[np.minimum(n, CUTOFF + 1)] * n
                     lower = 10 ** m.uni[pair & np.uint32(0xFFFF)]
+                elif kind == LED_TYPES:
+                    at, count = np.frombuffer(a, np.uint64), np.frombuffer(c, np.int64)
+                    key, kept = (at & np.uint64(0xFFFF)).astype(np.int64), m.link_discount[np.minimum(n, CUTOFF + 1)] * n
+                    lower = 10 ** m.known(count, count)[(at >> np.uint64(16)).astype(np.int64)]  # the scale comes with this scan
                 else:
-                    key = 1 + VOCABULARY + (np.frombuffer(a, np.uint64) % np.uint64(RARE)).astype(np.int64)
+                    key = np.full(len(n), RARE_CLASS)
                     kept, lower = m.word_discount[np.minimum(n, CUTOFF + 1)] * n, np.zeros(len(n))
                 sums = [np.bincount(key, x, CLASSES) for x in (n, kept, lower)]
                 some = np.flatnonzero(sums[0])
                 yield _summary([np.full(len(some), kind), some, *(x[some] for x in sums)], names)
 
-    for (what, key), (total, kept, lower) in _sums(types, by_context, names).items():
+    found = _sums(types, by_context, names)
+    for (what, key), (total, kept, lower) in found.items():
         if total - kept < 1e-9 * total:  # nothing was discounted: keep one count's worth for what is unseen
             factor = total / (total + 1)
         else:
@@ -398,8 +487,17 @@ def fit(types: DataFrame, frequent: np.ndarray) -> Model:
                 model.gamma[key], model.alpha[key] = total / kept, -np.inf
             else:
                 model.gamma[key], model.alpha[key] = factor, np.log10((1 - factor * kept / total) / rest)
-        else:
+        elif what == RARE_TYPES:
             model.scale[key], model.unknown[key] = factor, np.log10(1 - factor * kept / total)
+    contexts = np.arange(CLASSES, dtype=np.uint32)
+    model.into = model.backed_off((contexts << np.uint32(16)) | np.uint32(RARE_CLASS))
+    for (what, key), sums in found.items():
+        if what == LED_TYPES:
+            total, kept, lower = sums * [1.0, 1.0, model.scale[RARE_CLASS]]
+            model.rare_total[key] = total
+            model.rare_gamma[key], model.rare_alpha[key] = backoff(total, kept, lower, 10 ** model.unknown[RARE_CLASS])
+        elif what == 100:
+            model.into[key] = model.seen((contexts[key:key + 1] << np.uint32(16)) | np.uint32(RARE_CLASS), sums[:1].astype(np.int64))[0]
     least = max(2.0, FREQUENT * tokens)
     again = types.sparkSession.sparkContext.broadcast(model)
 
@@ -430,6 +528,39 @@ SUMS = "place int, nodes binary, small binary, logs binary"
 PARTS = "node long, sent long, n_tokens long, n_known long, base double, score double"
 
 
+def _link_keys(place: np.ndarray, event: np.ndarray) -> np.ndarray:
+    """One key for a rare context (its place in its partition) and the id of the next word."""
+    return mixed(event + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def met_by(tables: dict, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(found, place, count) of keys in a table of a partition."""
+    table, n = tables.get(kind, (keys[:0], np.zeros(0, np.int64)))
+    found, at = _lookup(keys, table)
+    return found, at, np.where(found, n[at] if len(n) else 0, 0)
+
+
+def after_table(m: Model, pieces: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What is known after the rare contexts of a partition: contexts and log10 of their weights, and sorted pairs with their logs.
+
+    The log of a pair of rare words is relative to P(word | RARE_CLASS), which is added where the word's count lies.
+    """
+    context, event = (np.concatenate([np.frombuffer(p[k], np.uint64) for p in pieces]) for k in (0, 2))
+    n, count = np.concatenate([np.frombuffer(p[1], np.int64).reshape(2, -1) for p in pieces], axis=1)
+    contexts, at = np.unique(context, return_inverse=True)
+    rare = event >= CLASSES
+    word = np.zeros(len(n))
+    word[rare] = m.known(event[rare], count[rare])
+    lower = m.uni[np.where(rare, RARE_CLASS, event).astype(np.int64)] + word
+    kept = m.link_discount[np.minimum(n, CUTOFF + 1)] * n
+    total = np.bincount(at, n, len(contexts))
+    gamma, alpha = backoff(total, np.bincount(at, kept, len(contexts)), np.bincount(at, 10 ** lower, len(contexts)),
+                           10 ** (m.uni[RARE_CLASS] + m.unknown[RARE_CLASS]))
+    keys = _link_keys(at, event)
+    order = np.argsort(keys)
+    return contexts, alpha, keys[order], (np.log10(gamma[at] * kept / total[at]) - word)[order]
+
+
 def score_texts(docs: DataFrame, text_col: str, types: DataFrame, model: Model, buckets: int) -> DataFrame:
     """PARTS rows, one per text; ``sent`` counts how often it was sent (once per task that holds copies).
 
@@ -447,14 +578,16 @@ def score_texts(docs: DataFrame, text_col: str, types: DataFrame, model: Model,
             order = np.argsort(place, kind="stable")
             rows = [_blob(b, DOC_SUMS, node[order][s:e], np.stack([base[order][s:e], score[order][s:e]]), np.stack([tokens[order][s:e], known[order][s:e]]))
                     for b, s, e in _pieces(place[order])]
-            for kind, k in ((DOC_PAIRS, 1), (DOC_RARE, 2)):
-                key, own, count = (np.concatenate([h[k][i] for h in held]) for i in range(3))
+            for kind, k in ((DOC_PAIRS, 1), (DOC_RARE, 2), (DOC_AFTER, 3)):
+                own, count, key, *other = (np.concatenate(c) for c in zip(*(h[k] for h in held), strict=True))
                 bucket = _bucket(key, buckets)
                 order = np.argsort(bucket, kind="stable")
                 key, own, count, bucket = key[order], own[order], count[order], bucket[order]
+                other = [x[order] for x in other]
                 for b, s, e in _pieces(bucket):
                     turn = np.flatnonzero(np.concatenate([[True], own[s + 1:e] != own[s:e - 1], [True]]))
-                    rows.append(_blob(b, kind, np.stack([own[s:e][turn[:-1]], np.diff(turn)]), key[s:e], count[s:e].astype(np.uint32)))
+                    row = _blob(b, kind, np.stack([own[s:e][turn[:-1]], np.diff(turn)]), key[s:e], count[s:e].astype(np.uint32))
+                    rows.append((*row[:3], row[3] + b"".join(x[s:e].tobytes() for x in other), row[4]))
             return rows
 
         for batch in batches:
@@ -462,21 +595,20 @@ def score_texts(docs: DataFrame, text_col: str, types: DataFrame, model: Model,
             fresh = [k for k, key in enumerate(keys) if key not in seen and not seen.add(key)]  # copies within a task travel once
             for start, group in _groups(batch.column(1).take(pa.array(fresh, pa.int64()))):
                 node = np.array([keys[k] for k in fresh[start:start + len(group)]], dtype=np.int64)
-                pair, own, h, rare_own, tokens = token_classes(group, m.frequent)
-                event = pair & np.uint32(0xFFFF)
-                common = event <= VOCABULARY  # base terms of frequent words and ends
-                n = m.counts[event[common]]
-                base = np.bincount(own[common], m.base(n), len(group))
-                known = np.bincount(own[common], n > 0, len(group)).astype(np.int64)
-                found, at = _lookup(pair, m.pairs)
-                score = np.bincount(own[found], m.pair_logs[at[found]], len(group)) if len(m.pairs) else np.zeros(len(group))
-                rest = np.unique((own[~found].astype(np.uint64) << np.uint64(32)) | pair[~found], return_counts=True)
-                order = np.lexsort((h, rare_own))
-                h, rare_own = h[order], rare_own[order]
-                turn = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (rare_own[1:] != rare_own[:-1]), [True]])) if len(h) else np.zeros(1, int)
-                held.append(((node, tokens, known, base, score),
-                             ((rest[0] & np.uint64(0xFFFFFFFF)).astype(np.uint32), node[(rest[0] >> np.uint64(32)).astype(np.int64)], rest[1]),
-                             (h[turn[:-1]], node[rare_own[turn[:-1]]], np.diff(turn))))
+                pair, own, event, context, tokens = token_classes(group, m.frequent)
+                rare, led = _rare(pair)
+                n = m.counts[pair[~rare] & np.uint32(0xFFFF)]  # base terms of frequent words and ends
+                base = np.bincount(own[~rare], m.base(n), len(group))
+                known = np.bincount(own[~rare], n > 0, len(group)).astype(np.int64)
+                plain, plain_own = pair[~(rare | led)], own[~(rare | led)]
+                found, at = _lookup(plain, m.pairs)
+                score = np.bincount(plain_own[found], m.pair_logs[at[found]], len(group)) if len(m.pairs) else np.zeros(len(group))
+                entries = []
+                for keys_of in ((plain_own[~found], plain[~found]), (own[rare], event[rare], (pair[rare] >> np.uint32(16)).astype(np.uint16)),
+                                (own[led], context[led], event[led])):
+                    (one, *key), order, starts = _distinct(*keys_of)
+                    entries.append((node[one], np.diff(np.append(starts, len(order))), *key))
+                held.append(((node, tokens, known, base, score), *entries))
                 size += len(pair)
                 if size >= FLUSH:
                     yield from _batches(flush())
@@ -488,8 +620,16 @@ def score_texts(docs: DataFrame, text_col: str, types: DataFrame, model: Model,
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket, kind), parts in _parts(batches):
-            for a, b, _ in parts:
-                yield _blobs([(bucket, PAIR_TABLE if kind == PAIR_TYPES else RARE_TABLE, a, b, b"")])
+            for a, b, c in parts:
+                if kind in (AFTER_TYPES, BOTH_TYPES):
+                    near, other = (a, c) if kind == AFTER_TYPES else (c, a)
+                    context, event, n = np.frombuffer(near, np.uint64), np.frombuffer(other, np.uint64), np.frombuffer(b, np.int64)
+                    n = np.stack([n, np.zeros_like(n)]) if kind == AFTER_TYPES else n.reshape(2, -1)
+                    place = _bucket(context, buckets)
+                    order = np.argsort(place, kind="stable")
+                    yield from _batches([_blob(p, AFTER_TABLE, context[order[s:e]], n[:, order[s:e]], event[order[s:e]]) for p, s, e in _pieces(place[order])])
+                else:
+                    yield _blobs([(bucket, {PAIR_TYPES: PAIR_TABLE, RARE_TYPES: RARE_TABLE, LED_TYPES: LED_TABLE}[kind], a, b, b"")])
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, tables, here = shared.value, {}, None
@@ -514,10 +654,15 @@ def score_texts(docs: DataFrame, text_col: str, types: DataFrame, model: Model,
                 if nodes:
                     yield from sums()
                 tables, here, nodes, values, held, least = {}, bucket, [], [], 0, FOLD
-            if kind in (PAIR_TABLE, RARE_TABLE):
+            if kind in (PAIR_TABLE, RARE_TABLE, LED_TABLE):
                 width = np.uint32 if kind == PAIR_TABLE else np.uint64
                 tables[kind] = (np.frombuffer(parts[0][0], width), np.frombuffer(parts[0][1], np.int64))
                 continue
+            if kind == AFTER_TABLE:
+                tables.setdefault(kind, []).extend(parts)
+                continue
+            if kind == DOC_AFTER and isinstance(tables.get(AFTER_TABLE), list):
+                tables[AFTER_TABLE] = after_table(m, tables[AFTER_TABLE])
             for a, b, c in parts:
                 if kind == DOC_SUMS:
                     node = np.frombuffer(a, np.int64)
@@ -526,18 +671,34 @@ def score_texts(docs: DataFrame, text_col: str, types: DataFrame, model: Model,
                     value = np.stack([np.ones(len(node)), tokens, known, base, score])
                 else:
                     runs = np.frombuffer(a, np.int64).reshape(2, -1)
-                    key, count = np.frombuffer(b, np.uint32 if kind == DOC_PAIRS else np.uint64), np.frombuffer(c, np.uint32).astype(np.float64)
-                    table, n = tables.get(PAIR_TABLE if kind == DOC_PAIRS else RARE_TABLE, (key[:0], np.zeros(0, np.int64)))
-                    found, at = _lookup(key, table)
+                    count = np.frombuffer(c, np.uint32).astype(np.float64)
+                    key = np.frombuffer(b, np.uint32 if kind == DOC_PAIRS else np.uint64, len(count))
                     log, value = np.zeros(len(key)), np.zeros((5, len(key)))
                     if kind == DOC_PAIRS:
-                        log[found] = m.seen(key[found], n[at[found]])
+                        found, at, n = met_by(tables, PAIR_TABLE, key)
+                        log[found] = m.seen(key[found], n[found])
                         log[~found] = m.backed_off(key[~found])
-                    else:
-                        log[found] = m.known(key[found], n[at[found]])
+                    elif kind == DOC_RARE:
+                        context = np.frombuffer(b, np.uint16, len(count), 8 * len(count))
+                        found, at, n = met_by(tables, RARE_TABLE, key)
+                        log[found] = m.known(key[found], n[found])
                         log[~found] = m.unseen(key[~found])
+                        after, _, pairs = met_by(tables, LED_TABLE, (at.astype(np.uint64) << np.uint64(16)) | context)
+                        after &= found
+                        log[after] = m.led(context[after], pairs[after])
+                        log[~after] += np.where(context[~after] == RARE_CLASS, 0.0, m.rare_alpha[context[~after]])
+                        log += np.where(context == RARE_CLASS, 0.0, m.into[context])
                         value[2] = found * count
-                        value[3] = count * m.base(np.where(found, n[at] if len(n) else 0, 0))
+                        value[3] = count * m.base(n)
+                    else:
+                        event = np.frombuffer(b, np.uint64, len(count), 8 * len(count))
+                        contexts, alpha, pairs, logs = tables.get(AFTER_TABLE, (key[:0], log[:0], key[:0], log[:0]))
+                        found, at = _lookup(key, contexts)
+                        log = m.uni[np.where(event < CLASSES, event, RARE_CLASS).astype(np.int64)]
+                        log[found] += alpha[at[found]]
+                        after, pair = _lookup(_link_keys(at, event), pairs)
+                        after &= found
+                        log[after] = logs[pair[after]]
                     value[4] = count * log
                     starts = np.cumsum(runs[1]) - runs[1]
                     value = np.add.reduceat(value, starts, axis=1)
@@ -598,7 +759,7 @@ def score_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     training = docs.where(~held_out(id_col))
     with batches_of(spark, ARROW_BYTES):
         frequent = frequent_words(training, text_col)
-        types = count_types(training, text_col, frequent, buckets)
+        types = count_all(training, text_col, frequent, buckets)
         model = fit(types, frequent)
         sums = score_texts(docs, text_col, types, model, buckets)
         known = stored(sums.select("node", *[(F.col(c) / F.col("sent")).alias(c) for c in ("n_tokens", "n_known", "base", "score")]), "katz-scores")
