@@ -38,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm.common import connected_components, give_back, partitions, stored
+from parcelwise.llm.common import batches_of, connected_components, give_back, partitions, stored
 from parcelwise.llm.shingles import lowered, mixed, shingle_sets
 
 #: Jaccard threshold in percent and words per n-gram.
 PERCENT = 75
 WORDS = 5
+#: Bytes of a batch between the JVM and Python.
+ARROW_BYTES = "4m"
 #: n-grams a task packs before it sends them on.
 FLUSH = 1_500_000
 #: Rounds in which sets are compared with one hub per n-gram, before all pairs that are still apart.
@@ -371,9 +373,10 @@ def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent:
 
 def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Signatures of all rows, and (node, component, low_id) of all sets."""
-    sigs = stored(signatures(docs, id_col, text_col, words), "join-signatures")
-    nodes = one_set_per_key(sigs)
-    comps = set_components(docs, text_col, words, percent)
+    with batches_of(docs.sparkSession, ARROW_BYTES):
+        sigs = stored(signatures(docs, id_col, text_col, words), "join-signatures")
+        nodes = one_set_per_key(sigs)
+        comps = set_components(docs, text_col, words, percent)
     return sigs, nodes.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 

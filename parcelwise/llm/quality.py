@@ -231,8 +231,8 @@ def apply_rules(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the base rule and the learned list keep, with their columns as they are."""
-    wanted = labels.where("quality in (0, 1)").select(F.col("doc_id").alias(id_col)).distinct()
-    labelled = docs.select(id_col, text_col).join(wanted, id_col, "left_semi")
-    rules = learn_from(stored(with_stats(labelled, text_col).drop(text_col), "quality-labelled"), labels, id_col)
+    # learned from the statistics of all rows: no text is shuffled to find the labelled ones
+    stats = with_stats(docs.select(id_col, text_col), text_col).drop(text_col)
+    rules = learn_from(stored(stats, "quality-stats"), labels, id_col)
     rows = with_stats(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text")), "_text")
     return apply_rules(rows, rules).where("kept").select("_row.*")

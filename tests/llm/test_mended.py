@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parcelwise.llm import ngram_join, shingles, suffix_dedup, warc
+from parcelwise.llm import ngram_join, quality, shingles, suffix_dedup, warc
 from tests.llm import cases
 
 OWN_NAMES = ["node", "id", "text_key", "row", "own", "hash", "again", "component", "_id", "_key", "_again", "_node", "_gone", "_spans",
@@ -105,3 +105,30 @@ def test_sets_sent_in_many_pieces_are_merged(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FLUSH", 100)
     monkeypatch.setattr(ngram_join, "partitions", lambda spark: 70)  # more buckets than the six bits of an entry tell apart
     assert sorted(map(repr, ngram_join.join_components(docs).collect())) == want
+
+
+def test_join_bounds_its_arrow_batches(spark, monkeypatch):
+    """Whole texts in batches of the session's size are held by the JVM and Python at once."""
+    key, real, seen = "spark.sql.execution.arrow.maxBytesPerBatch", ngram_join.stored, {}
+
+    def stored(df, name):
+        seen[name] = spark.conf.get(key)
+        return real(df, name)
+
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    ngram_join.keep_one(cases.documents(spark)).collect()
+    assert seen["join-signatures"] == seen["join-sets"] == ngram_join.ARROW_BYTES and spark.conf.get(key) == before
+
+
+def test_rules_are_learned_without_moving_texts(spark, monkeypatch):
+    seen, real = {}, quality.stored
+
+    def stored(df, name):
+        seen[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(quality, "stored", stored)
+    docs = cases.documents(spark)
+    quality.keep_good(docs, spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")).collect()
+    assert seen and not any("Join" in plan for plan in seen.values())
