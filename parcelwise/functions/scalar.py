@@ -24,14 +24,16 @@ def _sql_text(value: str) -> str:
 def missing_to_null(col: str | Column, tokens=S.MISSING_TOKENS) -> Column:
     """Map the missing-value tokens of a CSV loader to NULL (text columns).
 
-    For a named column the test is one SQL expression (one call to the JVM
-    instead of one per token); both forms plan as the same hashed IN set.
+    The test is one SQL expression (one call to the JVM instead of one per
+    token), a hashed IN set. A text is hashed only if it has the length in
+    bytes of some token: most fields, single digits above all, have not.
     """
+    lengths = sorted({len(t.encode()) for t in tokens})
     if isinstance(col, str):
         name = "`" + col.replace("`", "``") + "`"
         in_list = ", ".join(_sql_text(t) for t in tokens)
-        return F.expr(f"CASE WHEN {name} IN ({in_list}) THEN CAST(NULL AS STRING) ELSE {name} END")
-    return F.when(col.isin(*tokens), F.lit(None).cast(T.StringType())).otherwise(col)
+        return F.expr(f"CASE WHEN octet_length({name}) IN ({', '.join(map(str, lengths))}) AND {name} IN ({in_list}) THEN CAST(NULL AS STRING) ELSE {name} END")
+    return F.when(F.octet_length(col).isin(*lengths) & col.isin(*tokens), F.lit(None).cast(T.StringType())).otherwise(col)
 
 
 def lenient_cast(col: str | Column, data_type: T.DataType) -> Column:

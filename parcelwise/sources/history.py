@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from parcelwise import schema as S
 from parcelwise.session import list_names, session_settings
-from parcelwise.sources.readers import landing_path, read_source_csv
+from parcelwise.sources.readers import file_folder, landing_path, read_source_csv
 
 #: Files are neither split nor packed: a scan with these settings has one partition per file.
 FILE_PER_TASK = {"spark.sql.files.maxPartitionBytes": "1t", "spark.sql.files.openCostInBytes": "1t"}
@@ -75,7 +75,7 @@ def read_history(spark: SparkSession, prefix: str, since: str | None = None, unt
         groups[header].append(file)
     if not groups:
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*S.SOURCE_COLUMNS, "ds"]]))
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]*$", 1).alias("ds")
+    day = file_folder().alias("ds")
     scans = []
     for header, files in sorted(groups.items()):
         mixed = {f.rsplit("/", 1)[0] for h, fs in groups.items() if h != header for f in fs}

@@ -6,7 +6,7 @@ schema inference is offered only as the explicit ``read_csv_inferred``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,11 @@ def landing_path(prefix: str, ds: str) -> str:
     return f"{prefix.rstrip('/')}/{ds}"
 
 
+def file_folder() -> Column:
+    """The name of the folder that holds a row's file, without a regular expression per row."""
+    return F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
+
+
 def read_landing(spark: SparkSession, prefix: str, ds: str | None = None) -> DataFrame:
     """One run date's drop, or the whole history with the run date as a column ``ds``.
 
@@ -89,5 +94,4 @@ def read_landing(spark: SparkSession, prefix: str, ds: str | None = None) -> Dat
     if ds is not None:
         return read_source_csv(spark, landing_path(prefix, ds)).withColumn("ds", F.lit(ds))
     df = read_source_csv(spark, f"{prefix.rstrip('/')}/*")
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]*$", 1)
-    return df.withColumn("ds", folder)
+    return df.withColumn("ds", file_folder())

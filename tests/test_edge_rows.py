@@ -169,3 +169,27 @@ def test_missing_tokens_by_name_and_by_column_agree(spark):
     assert by_name == by_col
     assert by_name[: len(S.MISSING_TOKENS)] == [None] * len(S.MISSING_TOKENS)
     assert by_name[len(S.MISSING_TOKENS):] == ["ok", "n/a ", "NaN!", "it's", "back\\slash", None]
+
+
+def test_tokens_are_missing_by_name_and_by_column(spark):
+    from parcelwise import schema as S
+    from parcelwise.functions import missing_to_null
+
+    texts = [*S.MISSING_TOKENS, None, "7", "na", "n/a ", "NaNs", "é", "€", "nul", "Ship", "12345678", "#N/A N/B"]
+    df = spark.createDataFrame([(t,) for t in texts], "`a``b` string")
+    want = [None if t in S.MISSING_TOKENS else t for t in texts]
+    for column in (missing_to_null("a`b"), missing_to_null(df["`a``b`"])):
+        assert [r[0] for r in df.select(column).collect()] == want
+        assert "octet_length" in df.select(column.alias("x"))._jdf.queryExecution().optimizedPlan().toString()  # most texts are not hashed
+
+
+def test_run_date_is_the_name_of_the_folder_without_a_pattern(spark, tmp_path):
+    from parcelwise.sources import history, readers
+    from parcelwise.sinks.writers import write_csv
+
+    row = spark.createDataFrame([("1-1",)], "shipment_id string")
+    for day in ("2024-01-01", "a b"):
+        write_csv(row, f"{tmp_path}/{day}")
+    for rows in (readers.read_landing(spark, str(tmp_path)), history.read_history(spark, str(tmp_path))):
+        assert {r.ds.replace("%20", " ") for r in rows.collect()} == {"2024-01-01", "a b"}
+        assert "regexp" not in rows._jdf.queryExecution().optimizedPlan().toString()
