@@ -55,13 +55,12 @@ def reconciled(source: DataFrame, landed: DataFrame, day: str = DAY) -> DataFram
 def kpi_totals(clean: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
     """One row per KPI output: the shipments it counts in all groups against those of the clean rows."""
     names = {"warehouse_kpis": "total_shipments", "route_kpis": "total_shipments", "category_kpis": "shipment_count"}
-    wanted = clean.agg(F.count("shipment_id").alias("expected"))
+    expected = clean.agg(F.count("shipment_id")).scalar()
     rows = None
     for name, df in outputs.items():
         one = df.agg(F.coalesce(F.sum(names[name]), F.lit(0)).cast("long").alias("observed")).select(F.lit(name).alias("output"), "observed")
         rows = one if rows is None else rows.unionByName(one)
-    # one row joins three: both sides are totals
-    return rows.join(F.broadcast(wanted)).select("output", "observed", "expected", F.when(F.col("observed") == F.col("expected"), "OK").otherwise("COUNT").alias("status"))
+    return rows.select("output", "observed", expected.alias("expected")).select("*", F.when(F.col("observed") == F.col("expected"), "OK").otherwise("COUNT").alias("status"))
 
 
 def require_reconciled(report: DataFrame) -> None:
