@@ -193,3 +193,12 @@ def test_run_date_is_the_name_of_the_folder_without_a_pattern(spark, tmp_path):
     for rows in (readers.read_landing(spark, str(tmp_path)), history.read_history(spark, str(tmp_path))):
         assert {r.ds.replace("%20", " ") for r in rows.collect()} == {"2024-01-01", "a b"}
         assert "regexp" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_loads_of_a_query_come_from_one_landed_copy(spark, sf_small):
+    """The source is joined and typed once, however many loads are taken from it."""
+    from parcelwise.plans import registry
+
+    for load in registry._three_loads(spark, sf_small):
+        plan = load._jdf.queryExecution().optimizedPlan().toString()
+        assert "raw_once" in load.inputFiles()[0] and "Join" not in plan
