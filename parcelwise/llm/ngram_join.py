@@ -48,6 +48,9 @@ WORDS = 5
 ARROW_BYTES = "4m"
 #: n-grams a task packs before it sends them on.
 FLUSH = 1_500_000
+#: Buckets of n-grams that are sent together, when there are this many groups at least.
+GROUPED = 4
+LEAST_GROUPS = 16
 #: Rounds in which sets are compared with one hub per n-gram, before all pairs that are still apart.
 HUB_ROUNDS = 3
 #: Counts are told apart up to here when n-grams are ordered (any order is right, if all sets use the same).
@@ -109,13 +112,30 @@ def _places(n: np.ndarray, most: int) -> np.ndarray:
     return n.astype(np.uint16 if most <= 1 << 16 else np.uint32)
 
 
+def _groups(buckets: int) -> np.ndarray:
+    """First bucket of every group, and the end: a set's key travels once per group, so a group holds several buckets."""
+    n = min(buckets, max(LEAST_GROUPS, buckets // GROUPED))
+    return np.arange(n + 1) * buckets // n
+
+
+def _keys(nodes: np.ndarray) -> bytes:
+    """Ascending node keys, as their steps."""
+    return tight(np.diff(nodes.view(np.uint64), prepend=np.uint64(0)))
+
+
+def _nodes(data: bytes) -> np.ndarray:
+    return np.cumsum(loose(data), dtype=np.uint64).view(np.int64)
+
+
 def _packed_shingles(docs: DataFrame, text_col: str, words: int, buckets: int) -> DataFrame:
-    """Rows (bucket, nodes, sizes, own, low, mid): the n-grams of many sets that fall into one bucket.
+    """Rows (part, nodes, sizes, own, low, mid): the n-grams of many sets that fall into one group of buckets.
 
-    N-grams are sorted by the lower 48 bits of their hash: ``low`` holds 32 of
-    these, ``mid`` the steps of the upper 16, ``own`` the place of each
-    n-gram's set in ``nodes`` and ``sizes``.
+    ``own``, ``low`` and ``mid`` have an element for each bucket. Its n-grams
+    are sorted by the lower 48 bits of their hash: ``low`` holds 32 of these,
+    ``mid`` the steps of the upper 16, ``own`` the place of each n-gram's set
+    in ``nodes`` and ``sizes``.
     """
+    groups = _groups(buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -123,22 +143,30 @@ def _packed_shingles(docs: DataFrame, text_col: str, words: int, buckets: int) -
         size = 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            nodes = np.array(list(held), dtype=np.int64)
-            sizes = np.array([len(s) for s in held.values()], dtype=np.uint32)
-            h = np.concatenate(list(held.values()))
+            keys = sorted(held)
+            nodes = np.array(keys, dtype=np.int64)
+            sizes = np.array([len(held[k]) for k in keys], dtype=np.uint32)
+            h = np.concatenate([held[k] for k in keys])
             own = np.repeat(np.arange(len(nodes)), sizes)
             key = ((h >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)) << np.uint64(48) | h & np.uint64((1 << 48) - 1)
             order = np.argsort(key)
             key, own = key[order], own[order]
-            bucket = (key >> np.uint64(48)).astype(np.int32)
-            edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            for s, e in zip(edges[:-1], edges[1:], strict=True):
+            edges = np.searchsorted(key >> np.uint64(48), np.arange(buckets + 1, dtype=np.uint64))
+            for part, (first, last) in enumerate(zip(groups[:-1], groups[1:], strict=True)):
+                s, e = edges[first], edges[last]
+                if s == e:
+                    continue
                 who, at = np.unique(own[s:e], return_inverse=True)
-                mid = (key[s:e] >> np.uint64(32)).astype(np.uint16)
-                columns = (nodes[who].view(np.uint64), sizes[who], _places(at, len(who)), key[s:e].astype(np.uint32), np.diff(mid, prepend=np.uint16(0)))
+                at = _places(at, len(who))
+                columns: list[list[bytes]] = [[], [], []]
+                for x, y in zip(edges[first:last], edges[first + 1:last + 1], strict=True):
+                    mid = (key[x:y] >> np.uint64(32)).astype(np.uint16)
+                    for column, c in zip(columns, (at[x - s:y - s], key[x:y].astype(np.uint32), np.diff(mid, prepend=np.uint16(0))), strict=True):
+                        column.append(tight(c))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[s])], pa.int32()), *(pa.array([tight(c)], pa.binary()) for c in columns)],
-                    names=["bucket", "nodes", "sizes", "own", "low", "mid"])
+                    [pa.array([part], pa.int32()), pa.array([_keys(nodes[who])], pa.binary()), pa.array([tight(sizes[who])], pa.binary()),
+                     *(pa.array([c], pa.list_(pa.binary())) for c in columns)],
+                    names=["part", "nodes", "sizes", "own", "low", "mid"])
 
         for batch in batches:
             for s in shingle_sets([lowered(t) for t in batch.column(0).to_pylist()], words):
@@ -156,30 +184,22 @@ def _packed_shingles(docs: DataFrame, text_col: str, words: int, buckets: int) -
         held, sent = {}, set()
         give_back()
 
-    return docs.select(text_col).mapInArrow(run, "bucket int, nodes binary, sizes binary, own binary, low binary, mid binary")
+    return docs.select(text_col).mapInArrow(run, "part int, nodes binary, sizes binary, own array<binary>, low array<binary>, mid array<binary>")
 
 
 def _shared(packed: DataFrame, buckets: int) -> DataFrame:
-    """Rows (place, bucket, nodes, sizes, runs, low, mid, counts): the n-grams that other sets have too, packed by the partition of their set.
+    """Rows (place, part, nodes, sizes, runs, low, mid, counts, sub): the n-grams that other sets have too, packed by the partition of their set.
 
     ``runs`` holds the number of n-grams per set, the n-grams lie set by set;
-    ``counts`` the sets that have each, up to MOST_COUNT.
+    ``counts`` the sets that have each, up to MOST_COUNT, ``sub`` the bucket
+    of each among those of the group.
     """
 
-    def of_bucket(bucket: int, parts: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
-        columns = [[loose(c) for c in part] for part in parts]
-        sent = np.concatenate([c[0] for c in columns]).view(np.int64)
-        nodes, first = np.unique(sent, return_index=True)
-        sizes = np.concatenate([c[1] for c in columns])[first]
-        at = np.searchsorted(nodes, sent)
-        offsets = np.cumsum([0] + [len(c[0]) for c in columns])
-        own = np.concatenate([at[o + c[2].astype(np.int64)] for o, c in zip(offsets, columns, strict=False)])
-        h = np.concatenate([c[3].astype(np.uint64) | np.cumsum(c[4], dtype=np.uint16).astype(np.uint64) << np.uint64(32) for c in columns])
-        columns = []
+    def of_bucket(h: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.argsort(h, kind="stable")
         h, own = h[order], own[order]
         again = h[1:] == h[:-1]
-        several = np.concatenate([again, [False]]) | np.concatenate([[False], again])
+        several = np.concatenate([again, [False]]) | np.concatenate([[False], again]) if len(h) else np.zeros(0, bool)
         h, own = h[several], own[several]
         order = np.lexsort((own, h))  # copies sent by several tasks fall together
         h, own = h[order], own[order]
@@ -187,48 +207,66 @@ def _shared(packed: DataFrame, buckets: int) -> DataFrame:
         h, own = h[fresh], own[fresh]
         _, gram, count = np.unique(h, return_inverse=True, return_counts=True)
         count = np.minimum(count, MOST_COUNT).astype(np.uint16)[gram]
-        h, own, count = h[count > 1], own[count > 1], count[count > 1]
+        return h[count > 1], own[count > 1], count[count > 1]
+
+    def of_part(part: int, rows: list[list]) -> Iterator[pa.RecordBatch]:
+        sent = [_nodes(row[0]) for row in rows]
+        offsets = np.cumsum([0] + [len(x) for x in sent])
+        sent = np.concatenate(sent)
+        nodes, first = np.unique(sent, return_index=True)
+        sizes = np.concatenate([loose(row[1]) for row in rows])[first]
+        at = np.searchsorted(nodes, sent)
+        found = []
+        for k in range(len(rows[0][2])):
+            own = np.concatenate([at[o + loose(row[2][k]).astype(np.int64)] for o, row in zip(offsets, rows, strict=False)])
+            h = np.concatenate([loose(row[3][k]).astype(np.uint64) | np.cumsum(loose(row[4][k]), dtype=np.uint16).astype(np.uint64) << np.uint64(32) for row in rows])
+            h, own, count = of_bucket(h, own)
+            found.append((h, own, count, np.full(len(h), k, np.uint16)))
+        h, own, count, sub = (np.concatenate(c) for c in zip(*found, strict=True))
         place = ((mixed(nodes.view(np.uint64)) >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int64)
-        order = np.lexsort((h, own, place[own]))
-        h, own, count = h[order], own[order], count[order]
+        order = np.lexsort((h, sub, own, place[own]))
+        h, own, count, sub = h[order], own[order], count[order], sub[order]
         turn = np.flatnonzero(np.concatenate([[True], place[own][1:] != place[own][:-1], [True]])) if len(own) else np.zeros(1, int)
         for s, e in zip(turn[:-1], turn[1:], strict=True):
             who, runs = np.unique(own[s:e], return_counts=True)
-            packed = (nodes[who].view(np.uint64), sizes[who], runs.astype(np.uint32), h[s:e].astype(np.uint32), (h[s:e] >> np.uint64(32)).astype(np.uint16), count[s:e])
+            columns = (sizes[who], runs.astype(np.uint32), h[s:e].astype(np.uint32), (h[s:e] >> np.uint64(32)).astype(np.uint16), count[s:e], sub[s:e])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(place[own[s]])], pa.int32()), pa.array([bucket], pa.int32()), *(pa.array([tight(c)], pa.binary()) for c in packed)],
-                names=["place", "bucket", "nodes", "sizes", "runs", "low", "mid", "counts"])
+                [pa.array([int(place[own[s]])], pa.int32()), pa.array([part], pa.int32()), pa.array([_keys(nodes[who])], pa.binary()),
+                 *(pa.array([tight(c)], pa.binary()) for c in columns)],
+                names=["place", "part", "nodes", "sizes", "runs", "low", "mid", "counts", "sub"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, parts = None, []
+        current, rows = None, []
         for batch in batches:
-            for bucket, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if bucket != current and parts:
-                    yield from of_bucket(current, parts)
-                    parts = []
-                current = bucket
-                parts.append(part)
-        if parts:
-            yield from of_bucket(current, parts)
-        parts = []
+            for part, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != current and rows:
+                    yield from of_part(current, rows)
+                    rows = []
+                current = part
+                rows.append(row)
+        if rows:
+            yield from of_part(current, rows)
+        rows = []
         give_back()
 
-    dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "place int, bucket int, nodes binary, sizes binary, runs binary, low binary, mid binary, counts binary")
+    dealt = packed.repartition(buckets, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "place int, part int, nodes binary, sizes binary, runs binary, low binary, mid binary, counts binary, sub binary")
 
 
 def _gathered(shared: DataFrame, buckets: int, percent: int) -> DataFrame:
     """Rows (node, n, m, weight, bitmap, entries) of the sets with enough shared n-grams, sorted rarest first."""
+    groups = _groups(buckets)
 
     def of_place(parts: list[list]) -> Iterator[pa.RecordBatch]:
         sent, sizes, node, entry = [], [], [], []
-        for bucket, *packed in parts:
-            nodes, size, runs, low, mid, count = (loose(c) for c in packed)
-            sent.append(nodes.view(np.int64))
+        for part, nodes, *packed in parts:
+            size, runs, low, mid, count, sub = (loose(c) for c in packed)
+            bucket = sub.astype(np.uint64) + np.uint64(groups[part])
+            sent.append(_nodes(nodes))
             sizes.append(size.astype(np.int64))
             node.append(np.repeat(sent[-1], runs))
             # count, bucket and hash in one number: entries sort rarest first and are equal for equal n-grams
-            gram = np.uint64(bucket % 64) << np.uint64(48) | mid.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)
+            gram = (bucket % np.uint64(64)) << np.uint64(48) | mid.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)
             entry.append((count.astype(np.uint64) << np.uint64(54) | gram).view(np.int64))
         sent, sizes, node, entry = (np.concatenate(x) for x in (sent, sizes, node, entry))
         order = np.lexsort((entry, node))
@@ -342,6 +380,20 @@ def _hub_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
     return _ordered(rows.join(hub, "gram").where((F.col("node") != F.col("node2")) & _possible(percent)))
 
 
+def _still_apart(rows: DataFrame, sets: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` of n-grams whose sets lie in several components, with these (comp).
+
+    Components only grow, so what is left out once stays out. Bitmaps and
+    sizes are moved for the rows that stay only.
+    """
+    comps = comps.select("node", F.col("component").alias("comp"))
+    places = rows.select("gram", "node", "place")
+    known = places.select("gram", "node").join(comps, "node", "left").select("gram", F.coalesce("comp", "node").alias("comp"))
+    alive = known.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gram")
+    left = places.join(alive, "gram", "left_semi").join(sets.select("node", "n", "m", "weight", *BITS), "node")
+    return left.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
 def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent: int = PERCENT, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     """(node, component) for every set that has a partner."""
     sets = stored(candidates(docs, text_col, words, percent), "join-sets")
@@ -363,9 +415,7 @@ def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent:
         tried = pairs if tried is None else tried.union(pairs)
         comps = connected_components(links)
         if turn < hub_rounds:  # n-grams whose sets are all united have nothing left to find
-            known = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-            alive = known.groupBy("gram").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("gram")
-            open_rows = stored(known.join(alive, "gram", "left_semi"), "join-open")
+            open_rows = stored(_still_apart(open_rows, sets, comps), "join-open")
             if open_rows.isEmpty():
                 break
     return comps

@@ -132,3 +132,45 @@ def test_rules_are_learned_without_moving_texts(spark, monkeypatch):
     docs = cases.documents(spark)
     quality.keep_good(docs, spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")).collect()
     assert seen and not any("Join" in plan for plan in seen.values())
+
+
+def test_set_keys_travel_once_per_group_of_buckets(spark):
+    docs = cases.documents(spark).select("text").coalesce(1)
+    buckets = 160
+    first = ngram_join._groups(buckets).tolist()
+    assert first[0] == 0 and first[-1] == buckets and len(first) == 41 and ngram_join._groups(12).tolist() == list(range(13))
+    rows = ngram_join._packed_shingles(docs, "text", 5, buckets).collect()
+    assert len(rows) <= 40  # one flush: a row per bucket before
+    sets = {int(k) for t in docs.collect() for s in shingles.shingle_sets([shingles.lowered(t["text"])]) if len(s) for k in [ngram_join.set_key(s)]}
+    assert {int(k) for r in rows for k in ngram_join._nodes(r["nodes"])} == sets
+    for r in rows:
+        assert len(r["own"]) == len(r["low"]) == len(r["mid"]) == first[r["part"] + 1] - first[r["part"]]
+
+
+def test_hub_rounds_go_on_with_the_rows_that_are_apart(spark):
+    bits = dict.fromkeys(ngram_join.BITS, 7)
+    sets = spark.createDataFrame([dict(node=k, n=9, m=8, weight=float(k), entries=[1], **bits) for k in range(1, 7)])
+    at = [(10, 1, 0), (10, 2, 1), (11, 1, 1), (11, 3, 0), (12, 4, 0), (13, 5, 0), (13, 6, 0)]
+    rows = spark.createDataFrame([dict(gram=g, node=k, place=p, n=9, m=8, weight=float(k), comp=-1, **bits) for g, k, p in at])
+    comps = spark.createDataFrame([(1, 1), (2, 1), (5, 5)], "node long, component long")
+    left = ngram_join._still_apart(rows, sets, comps)
+    assert set(left.columns) == {"gram", "node", "place", "n", "m", "weight", "comp", *ngram_join.BITS}
+    found = sorted((r["gram"], r["node"], r["place"], r["comp"], r["weight"], r["b3"]) for r in left.collect())
+    assert found == [(11, 1, 1, 1, 1.0, 7), (11, 3, 0, 3, 3.0, 7), (13, 5, 0, 5, 5.0, 7), (13, 6, 0, 6, 6.0, 7)]
+
+
+def test_later_hub_rounds_do_not_read_all_rows_again(spark, monkeypatch):
+    """The second round starts from what the first has left open."""
+    seen, whole = [], ngram_join._still_apart
+
+    def apart(rows, sets, comps):
+        seen.append(rows.columns)
+        return whole(rows, sets, comps)
+
+    monkeypatch.setattr(ngram_join, "_still_apart", apart)
+    # every n-gram of a text is in one of the others, and no two texts link
+    x, y, z = (" ".join(f"{c}{i}" for i in range(80)) for c in "xyz")
+    texts = [f"{x} {y}", f"{x} {z}", f"{y} {z}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ngram_join.join_components(docs).collect()
+    assert len(seen) > 1 and "comp" not in seen[0] and all("comp" in columns for columns in seen[1:])
