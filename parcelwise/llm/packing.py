@@ -14,7 +14,8 @@ the last window of a shard can need padding; its content is cut at powers of
 two.
 
 Nothing is shuffled: a shard is a run of consecutive rows of an input split,
-and memory is bounded by the shard and the longest document in it.
+and memory is bounded by the shard and the longest document in it. Between
+tasks a Python worker keeps a bounded part of the token ids that it knows.
 
 Rules for odd rows: a null or empty text is the end token alone; a document
 longer than the window fills whole windows of its own first; repeated rows are
@@ -28,6 +29,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from parcelwise.llm.common import give_back
+
 WINDOW = 2048
 END_ID = 1
 #: A shard is closed at so many tokens or documents.
@@ -47,6 +51,9 @@ K1, B = 1.2, 0.75
 #: White-space runs and words whose token ids a Python worker remembers.
 CACHE_RUNS = 1_800_000
 CACHE_WORDS = 1_000_000
+#: What it still remembers when a task has ended: an idle worker's memory is missing elsewhere.
+KEPT_RUNS = 600_000
+KEPT_WORDS = 500_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -119,6 +126,13 @@ class WordTokenizer:
             self._learn_runs(new)
         return [np.frombuffer(b"".join(map(runs.__getitem__, ws)), dtype="<u2") for ws in split]
 
+    def forget(self) -> None:
+        """Keep the runs and words that were met first: the frequent ones are among them."""
+        if len(self.runs) > KEPT_RUNS:
+            self.runs = dict(islice(self.runs.items(), KEPT_RUNS))
+        if len(self.words) > KEPT_WORDS:
+            self.words = dict(islice(self.words.items(), KEPT_WORDS))
+
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
@@ -282,5 +296,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
                         ids, tokens, held = [], [], 0
         if ids:
             yield packed()
+        ids, tokens = [], []
+        encode.forget()
+        give_back()
 
     return docs.select(id_col, text_col).mapInArrow(run, PIECES + ", ids array<int>" * with_ids)

@@ -2,13 +2,15 @@
 
 import io
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from parcelwise.llm import ngram_join, quality, shingles, suffix_dedup, warc
+from parcelwise.llm import ngram_join, packing, quality, shingles, suffix_dedup, warc
 from tests.llm import cases
 
 OWN_NAMES = ["node", "id", "text_key", "row", "own", "hash", "again", "component", "_id", "_key", "_again", "_node", "_gone", "_spans",
@@ -134,6 +136,28 @@ def test_rules_are_learned_without_moving_texts(spark, monkeypatch):
     assert seen and not any("Join" in plan for plan in seen.values())
 
 
+def test_packing_worker_forgets_between_tasks(monkeypatch):
+    """What a worker remembers when its task has ended stays in memory while it waits; ids are the same afterwards."""
+    class Frame:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(packing, "KEPT_RUNS", 5, raising=False)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 4, raising=False)
+    monkeypatch.setattr(packing, "_tokenizers", {})
+    texts = [" ".join(f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(100)), None]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], names=["doc_id", "text"])
+    run = packing.pack(Frame())
+    first = [b.to_pylist() for b in run(iter([batch]))]
+    (known,) = packing._tokenizers.values()
+    assert len(known.runs) <= 5 and len(known.words) <= 4
+    assert [b.to_pylist() for b in run(iter([batch]))] == first and sum(p["length"] for p in first[0]) == first[0][0]["doc_tokens"] + 1
+
+
 def test_set_keys_travel_once_per_group_of_buckets(spark):
     docs = cases.documents(spark).select("text").coalesce(1)
     buckets = 160
