@@ -45,7 +45,7 @@ def curriculum_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def retrieval_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    return packing.pack(docs, forget=True)
 
 
 STAGES = [

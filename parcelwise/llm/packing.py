@@ -14,8 +14,8 @@ the last window of a shard can need padding; its content is cut at powers of
 two.
 
 Nothing is shuffled: a shard is a run of consecutive rows of an input split,
-and memory is bounded by the shard and the longest document in it. Between
-tasks a Python worker keeps a bounded part of the token ids that it knows.
+and memory is bounded by the shard and the longest document in it. With
+``forget`` a worker keeps a smaller part of the token ids that it knows between tasks.
 
 Rules for odd rows: a null or empty text is the end token alone; a document
 longer than the window fills whole windows of its own first; repeated rows are
@@ -257,8 +257,12 @@ def _powers(pieces: list[tuple[int, int, int]], window: int) -> list[list[tuple[
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, vocabulary: str | None = None,
-         with_ids: bool = False, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """One row per piece; ``with_ids`` adds its token ids (array of int)."""
+         with_ids: bool = False, shard_tokens: int = SHARD_TOKENS, forget: bool = False) -> DataFrame:
+    """One row per piece; ``with_ids`` adds its token ids (array of int).
+
+    ``forget`` gives memory back after every task, for jobs that go on with
+    other work; tokens are then looked up again, which takes more CPU time.
+    """
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +301,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
         if ids:
             yield packed()
         ids, tokens = [], []
-        encode.forget()
-        give_back()
+        if forget:
+            encode.forget()
+            give_back()
 
     return docs.select(id_col, text_col).mapInArrow(run, PIECES + ", ids array<int>" * with_ids)

@@ -151,7 +151,7 @@ def test_packing_worker_forgets_between_tasks(monkeypatch):
     monkeypatch.setattr(packing, "_tokenizers", {})
     texts = [" ".join(f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(100)), None]
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(texts)], names=["doc_id", "text"])
-    run = packing.pack(Frame())
+    run = packing.pack(Frame(), forget=True)
     first = [b.to_pylist() for b in run(iter([batch]))]
     (known,) = packing._tokenizers.values()
     assert len(known.runs) <= 5 and len(known.words) <= 4
