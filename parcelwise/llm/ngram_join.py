@@ -11,15 +11,17 @@ prefix filter over one global order of n-grams, rarest first:
    set whose shared n-grams are fewer than the threshold asks for has no
    partner; of the others the prefix (n - ceil(t n) + 1 rarest) is kept;
 3. sets that share a prefix n-gram are candidates if their sizes allow it
-   (length filter), the places of the n-gram leave room for enough common ones
-   (positional filter) and bitmaps of their n-grams do not show too many that
-   the other lacks; every pair is taken once;
+   (length filter), enough n-grams of both are left from this one on, as they
+   are from the first common one of a pair that links (positional filter), and
+   bitmaps of their n-grams do not show too many that the other lacks; every
+   pair is taken once;
 4. a pair is probed at the middle of its n-grams (suffix filter) and verified
    once by its exact intersection.
 
 ``similar_pairs`` gives all linked pairs of sets. Components need fewer: the
 sets of a prefix n-gram are first compared with one of them (HUB_ROUNDS rounds
-with different hubs), and then all candidate pairs whose ends are still apart. So a
+with different hubs), and then all candidate pairs whose ends are still apart,
+less the rows that are too late in their set for any partner of the n-gram. So a
 group of many near copies costs a multiple of its size, not its square, and
 no link that matters is lost.
 
@@ -328,9 +330,13 @@ def prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def _possible(percent: int):
-    """Length, positional and bitmap filters for a row with both ends of a pair (n, m, place and n2, m2, place2)."""
+    """Length, positional and bitmap filters for a row with both ends of a pair (n, m, place and n2, m2, place2).
+
+    All common n-grams of a pair lie from its first one on, so at the first a
+    pair that links passes; at later ones, where less is left, it need not.
+    """
     n, n2, m, m2, p, p2 = (F.col(c) for c in ("n", "n2", "m", "m2", "place", "place2"))
-    most = F.least(p, p2) + 1 + F.least(m - p - 1, m2 - p2 - 1)
+    most = F.least(m - p, m2 - p2)
     missing = [sum((F.bit_count(F.col(a).bitwiseAND(F.bitwise_not(F.col(b)))) for a, b in ends), F.lit(0))
                for ends in ([(c, f"{c}2") for c in BITS], [(f"{c}2", c) for c in BITS])]
     most = F.least(most, m - missing[0], m2 - missing[1])
@@ -356,16 +362,40 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
         100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b", "overlap")
 
 
-def _all_candidates(rows: DataFrame, percent: int, apart: bool) -> DataFrame:
-    other = rows.select("gram", *[F.col(c).alias(f"{c}2") for c in rows.columns if c != "gram"])
-    met = rows.join(other, "gram").where((F.col("node") < F.col("node2")) & _possible(percent))
-    return _ordered(met.where("comp <> comp2") if apart else met)
+def _beside(rows: DataFrame) -> DataFrame:
+    """``rows`` as the other end of a pair."""
+    return rows.select("gram", *[F.col(c).alias(f"{c}2") for c in rows.columns if c != "gram"])
+
+
+def _all_candidates(rows: DataFrame, percent: int) -> DataFrame:
+    return _ordered(rows.join(_beside(rows), "gram").where((F.col("node") < F.col("node2")) & _possible(percent)))
+
+
+def _within_reach(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` that leave their set n-grams enough to link with the smallest set of the n-gram.
+
+    N-grams whose rows then lie in one component go; of the others ``main`` is
+    the component with most rows.
+    """
+    small = rows.groupBy("gram").agg(F.min("n").alias("small"))
+    enough = (100 + percent) * (F.col("m") - F.col("place")) >= percent * (F.col("n") + F.col("small"))
+    near = stored(rows.join(small, "gram").where(enough).drop("small"), "join-near")
+    comps = near.groupBy("gram", "comp").agg(F.count("*").alias("k"))
+    main = comps.groupBy("gram").agg(F.max(F.struct("k", "comp")).alias("most"), F.count("*").alias("comps")).where("comps > 1")
+    return near.join(main.select("gram", F.col("most.comp").alias("main")), "gram")
+
+
+def _apart_candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs of different components; one end at least is outside the main component of the n-gram."""
+    near = stored(_within_reach(rows, percent), "join-reach")
+    met = near.where("comp <> main").drop("main").join(_beside(near.drop("main")), "gram")
+    return _ordered(met.where((F.col("comp") != F.col("comp2")) & _possible(percent)))
 
 
 def similar_pairs(docs: DataFrame, text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """All linked pairs (a, b, overlap) of distinct sets; nodes as in ``signatures``."""
     sets = stored(candidates(docs, text_col, words, percent), "join-sets")
-    return verified(_all_candidates(prefixes(sets, percent), percent, apart=False), sets, percent)
+    return verified(_all_candidates(prefixes(sets, percent), percent), sets, percent)
 
 
 def _hub_pairs(rows: DataFrame, percent: int, turn: int) -> DataFrame:
@@ -403,7 +433,7 @@ def set_components(docs: DataFrame, text_col: str, words: int = WORDS, percent:
         if turn < hub_rounds:
             pairs = _hub_pairs(open_rows, percent, turn)
         else:
-            pairs = _all_candidates(open_rows, percent, apart=True)
+            pairs = _apart_candidates(open_rows, percent)
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "join-pairs")
         met = sets

@@ -198,3 +198,59 @@ def test_later_hub_rounds_do_not_read_all_rows_again(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     ngram_join.join_components(docs).collect()
     assert len(seen) > 1 and "comp" not in seen[0] and all("comp" in columns for columns in seen[1:])
+
+
+def test_a_pair_is_weighed_by_what_is_left_of_both_sets(spark):
+    """At its first common n-gram a linking pair has enough of both left, at a later one it may be refused."""
+    bits = dict.fromkeys([*ngram_join.BITS, *(f"{b}2" for b in ngram_join.BITS)], 0)
+    places = [(0, 0), (14, 14), (15, 14), (14, 15), (20, 20), (0, 24)]
+    rows = spark.createDataFrame([dict(n=100, n2=100, m=100, m2=100, place=p, place2=q, **bits) for p, q in places])
+    left = rows.where(ngram_join._possible(75)).select("place", "place2").collect()
+    assert sorted(map(tuple, left)) == [(0, 0), (14, 14)]  # 86 of 100 and 100 are the least that link
+
+
+def test_outliers_of_a_group_are_not_compared_with_all_of_it(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(240)]
+
+    def edited(words, places, mark):
+        return [f"{mark}{i}" if i in places else w for i, w in enumerate(words)]
+
+    texts = [base] + [edited(base, set(rng.choice(240, 3, replace=False).tolist()), f"m{k}x") for k in range(40)]
+    for k in range(8):  # about 0.68 of the base, each with a twin, so that its own n-grams are shared too
+        far = edited(base, set(range(5 + k, 240, 26)), f"o{k}x")
+        texts += [far, edited(far, {3}, f"t{k}x")]
+    texts += [edited(base, set(range(9, 240, 34)), "c"), edited(base, {*range(9, 240, 34), 20, 60, 100, 140}, "c")]  # a chain out of the group
+    docs = spark.createDataFrame([(k, " ".join(ws)) for k, ws in enumerate(texts)], "doc_id long, text string")
+
+    sets = [{tuple(ws[i:i + 5]) for i in range(len(ws) - 4)} for ws in texts]
+    root = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    assert 9 <= len(set(root)) < len(texts) - 40
+
+    compared, real = [], ngram_join.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        if name == "join-pairs":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", stored)
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.join_components(docs).collect()}
+    assert found == dict(enumerate(root))
+    assert len(compared) == ngram_join.HUB_ROUNDS + 1 and compared[-1] <= len(texts), compared
+    near = {(r["a"], r["b"]) for r in ngram_join.similar_pairs(docs).collect()}
+    assert len(near) == sum(100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) for a in range(len(sets)) for b in range(a))
+
+
+def test_pairs_within_the_main_component_are_not_met(spark):
+    bits = dict.fromkeys(ngram_join.BITS, 0)
+    at = [(1, 1, 1, 0), (1, 2, 1, 0), (1, 3, 1, 0), (1, 4, 4, 0), (1, 5, 5, 20), (2, 1, 1, 0), (2, 2, 1, 0), (2, 5, 5, 30)]
+    rows = spark.createDataFrame([dict(gram=g, node=k, comp=c, place=p, n=100, m=100, weight=1.0, **bits) for g, k, c, p in at])
+    left = ngram_join._within_reach(rows, 75).select("gram", "node", "main").collect()
+    assert sorted(map(tuple, left)) == [(1, 1, 1), (1, 2, 1), (1, 3, 1), (1, 4, 1)]
+    assert sorted(map(tuple, ngram_join._apart_candidates(rows, 75).collect())) == [(1, 4), (2, 4), (3, 4)]
