@@ -22,8 +22,9 @@ prefix filter over one global order of n-grams, rarest first:
 sets of a prefix n-gram are first compared with one of them (HUB_ROUNDS rounds
 with different hubs), and then all candidate pairs whose ends are still apart,
 less the rows that are too late in their set for any partner of the n-gram. So a
-group of many near copies costs a multiple of its size, not its square, and
-no link that matters is lost.
+group of many near copies costs a multiple of its size, not its square (sets
+that all but link with it can still meet many of it in the last round), and no
+link that matters is lost.
 
 Rules for odd rows: a null text or one without words has the empty set, links
 with nothing and is its own component; a text of fewer than n words is one
