@@ -98,3 +98,49 @@ def test_internal_names_as_extra_columns(spark):
     rows = some_rows()[:200]
     table = spark.createDataFrame([(*r, *["x"] * len(names)) for r in rows], SCHEMA + ", " + ", ".join(f"`{n}` string" for n in names))
     assert Counter(tuple(r) for r in cover_tree.hard_negatives(table, cells=4).collect()) == brute(rows)
+
+
+def test_windows_of_an_anchor_share_its_comparisons(monkeypatch):
+    """Vectors that no bound can part: every pair is compared about once, in a few large products."""
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(1500, 32))
+    rows = np.floor(256 * points / np.linalg.norm(points, axis=1)[:, None])
+    square = float((rows * rows).sum(axis=1).max())
+    tree = cover_tree.cover_tree(cover_tree.augmented(rows, square))
+    order = tree.pop("order")
+    ids, labels = np.arange(1500), rng.integers(0, 4, 1500)
+    block = {"tree": tree, "rows": rows[order], "ids": ids[order], "labels": labels[order], "norm": square ** 0.5}
+    pairs = calls = 0
+    plain = cover_tree.exact_scores
+
+    def counting(q, x):
+        nonlocal pairs, calls
+        pairs, calls = pairs + len(q) * len(x), calls + 1
+        return plain(q, x)
+
+    monkeypatch.setattr(cover_tree, "exact_scores", counting)
+    import pandas as pd
+    scores = (rows @ rows.T).astype(np.int64)
+    asks, want = [], {}
+    for a in range(100):
+        tops = np.sort(scores[a][np.arange(1500) != a])[::-1][[0, 7, 30, 120, 400]]
+        for k, hi in enumerate(tops):
+            lo = min(int(hi * 0.8), int(hi))
+            asks.append((5 * a + k, a, a, int(labels[a]), False, lo, int(hi), lo, list(rows[a])))
+            fits = [(-int(s), i) for i, s in enumerate(scores[a]) if i != a and labels[i] != labels[a] and lo <= s <= hi]
+            want[5 * a + k] = sorted(fits)[:5]
+    ask = pd.DataFrame(asks, columns=["qid", "vid", "self", "label", "same", "lo", "hi", "bar", "vec"]).sample(frac=1, random_state=1)
+    got = {q: [] for q in want}
+    for r in cover_tree.search(block, ask, 5).itertuples():
+        got[r.qid].append((-r.score, r.vec_id))
+    assert {q: sorted(v) for q, v in got.items()} == want and sum(map(len, want.values())) > 1000
+    assert pairs <= 1.5 * 100 * 1500 and calls < 200
+
+
+def test_scores_are_exact_in_every_width():
+    rng = np.random.default_rng(6)
+    for size in (2 ** 7, 2 ** 11, 2 ** 14, 2 ** 25, 2 ** 28):
+        q, x = (rng.integers(-size, size + 1, (7, 6)) for _ in range(2))
+        want = [[sum(int(a) * int(b) for a, b in zip(v, w, strict=True)) for w in x] for v in q]
+        got = cover_tree.exact_scores(cover_tree.narrow(q.astype(float)), cover_tree.narrow(x.astype(float)))
+        assert [[int(s) for s in row] for row in got] == want
