@@ -22,9 +22,9 @@ JSON_OPTIONS = {
     "ignoreNullFields": "true",
 }
 
-# Messages repeat the field names in every line, so a text topic is written compressed; the quick level loses little to the best one.
-# Readers tell the codec by the files' names.
-TEXT_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+# Messages repeat the field names in every line, so a text topic is written compressed; the third level takes hardly longer than the first
+# and saves a fifth of its bytes. Readers tell the codec by the files' names. A compressed file is read by one task, so files are bounded.
+TEXT_OPTIONS = {"compression": "gzip", "zlib.compress.level": "THREE", "maxRecordsPerFile": "250000"}
 
 # Message fields read as text, so the stream path types them with the same
 # ingestion rules as a CSV file; ``ingested_at`` is kept when the publisher set it.
@@ -46,6 +46,10 @@ def publish(df: DataFrame, topic: str, fmt: str = "text", **options: str) -> Non
 
 
 def decode(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> text columns (the raw fields) + ``ingested_at`` text."""
+    """JSON text -> text columns (the raw fields) + ``ingested_at`` text.
+
+    The columns leave a generator: a later filter on them (the key check) would
+    otherwise be moved below and parse every message again for itself.
+    """
     parsed = F.from_json(F.col(value_col).cast("string"), MESSAGE_TEXT_SCHEMA, {"mode": "PERMISSIVE"})
-    return messages.select(parsed.alias("m")).select("m.*")
+    return messages.select(F.inline(F.array(parsed)))
