@@ -26,7 +26,7 @@ from parcelwise.operators.sample import first_rows
 from parcelwise.plans import pipeline as P
 from parcelwise.plans import quality as Q
 from parcelwise.plans import reconcile as RC
-from parcelwise.session import delete_path, list_names, shared_path
+from parcelwise.session import delete_path, list_names, shared_path, tidy_shuffles
 from parcelwise.sinks import ddl as K
 from parcelwise.sinks import layout as L
 from parcelwise.sinks import writers as W
@@ -480,11 +480,20 @@ def q_stream_ingest(spark, sf_dir):
     return _no_run_time(events)
 
 
+def _publish_in_parts(spark, df, topic: str, path: str, least: int = 8) -> None:
+    """Publish ``df`` in ``least`` files or more: a landed table of as many tasks goes out as it lies, only a smaller one is dealt out."""
+    W.land_raw(df, path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    T1.publish(rows if rows.rdd.getNumPartitions() >= least else rows.repartition(least), topic)
+
+
 def q_stream_run_summary(spark, sf_dir):
     """The run log of a stream in three batches, added up."""
     topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
-    T1.publish(typed_source(spark, sf_dir).repartition(8), topic)
-    log = RL.ingest_logged(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint", f"{base}/_log", max_files_per_trigger=3)
+    with tidy_shuffles(spark):
+        _publish_in_parts(spark, typed_source(spark, sf_dir), topic, f"{base}/source")
+        files = sum(name.startswith("part-") for name in list_names(spark, topic))
+        log = RL.ingest_logged(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint", f"{base}/_log", max_files_per_trigger=-(-files // 3))
     return log.groupBy("query").agg(
         F.count("*").alias("batches"), *[F.sum(c).alias(c) for c in ("source_rows", "landed_rows", "undated_rows")],
         F.round(F.sum("total_cost"), 2).alias("total_cost"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
@@ -493,29 +502,32 @@ def q_stream_run_summary(spark, sf_dir):
 def q_stream_ingest_dedup(spark, sf_dir):
     """Messages arrive twice, and those of some customers days late: no id is lost, the newest row of each stays."""
     topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
-    W.land_raw(raw_shipments(spark, sf_dir), f"{base}/raw")  # once for all deliveries
-    raw = SR.read_landed(spark, f"{base}/raw")
     late = F.coalesce(F.col("customer_id").endswith("3"), F.lit(False))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    for delivery in (raw.filter(~late), raw.filter(late).withColumn("ingested_at", F.lit(LATE_TS).cast("timestamp")), raw.filter(~late)):
-        T1.publish(delivery, topic)
-        events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint", dedup_buckets=buckets)
+    with tidy_shuffles(spark):
+        W.land_raw(raw_shipments(spark, sf_dir), f"{base}/raw")  # once for all deliveries
+        raw = SR.read_landed(spark, f"{base}/raw")
+        for delivery in (raw.filter(~late), raw.filter(late).withColumn("ingested_at", F.lit(LATE_TS).cast("timestamp")), raw.filter(~late)):
+            T1.publish(delivery, topic)
+            events = T2.run_to_completion(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint", dedup_buckets=buckets)
     return _no_run_time(events).select(*S.SOURCE_COLUMNS)
 
 
 def q_stream_dedup_bounded(spark, sf_dir):
     """Three deliveries, 20 hours apart in event time, each with repeats of the one before; every id is kept once."""
     topic, base = shared_path(spark, "topic"), shared_path(spark, "stream")
-    W.land_raw(D.latest_per_key(raw_shipments(spark, sf_dir)), f"{base}/raw")  # once for all deliveries
+    with tidy_shuffles(spark):
+        W.land_raw(D.latest_per_key(raw_shipments(spark, sf_dir)), f"{base}/raw")  # once for all deliveries
     raw = SR.read_landed(spark, f"{base}/raw")
     third = F.pmod(F.crc32("customer_id"), F.lit(3))
     # event time by delivery: some hours apart, so repeats of the delivery before lie within the watermark
     at = lambda n: F.to_timestamp(F.lit(RUN_TS)) + F.make_dt_interval(hours=F.lit(20 * n))
     deliveries = [raw.where(F.coalesce(third, F.lit(0)) == n).withColumn("ingested_at", at(n)) for n in range(3)]
-    for n, delivery in enumerate(deliveries):
-        again = deliveries[n - 1] if n else delivery
-        T1.publish(delivery.unionByName(again), topic)
-        events = BD.ingest_distinct(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint")
+    with tidy_shuffles(spark):
+        for n, delivery in enumerate(deliveries):
+            again = deliveries[n - 1] if n else delivery
+            T1.publish(delivery.unionByName(again), topic)
+            events = BD.ingest_distinct(spark, topic, f"{base}/{S.STREAM_TABLE}", f"{base}/_checkpoint")
     return _no_run_time(events).select(*S.SOURCE_COLUMNS)
 
 

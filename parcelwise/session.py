@@ -83,6 +83,11 @@ def session_settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[No
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def tidy_shuffles(spark: SparkSession):
+    """Jobs started inside give back their shuffle files when they end, not when the driver next collects garbage."""
+    return session_settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")
 
